@@ -53,8 +53,7 @@ def write_streams(entries: DataFrame, path: str) -> None:
 def publish_requests(events: DataFrame, target: str, max_events: int = MAX_EVENTS, lanes: int = 1) -> DataFrame:
     """The entries of every broker call: which batch, which call of it, which index, and the message."""
     shaped = messages(events, target)
-    plan = plan_batches(events, max_events, lanes).select("source", "id", "lane", "round", "batch", "position")
-    batch = ["source", "lane", "round", "batch"]
-    sized = plan.join(shaped.select("source", "id", "size"), ["source", "id"])
-    calls = split_calls(sized, batch).join(plan, [*batch, "position"])
-    return calls.drop("position").join(shaped, ["source", "id"])
+    sized = events.withColumn("size", text.entry_size(text.envelope()))
+    plan = plan_batches(sized, max_events, lanes, carry=["size"])
+    calls = split_calls(plan, ["source", "lane", "round", "batch"])
+    return calls.join(shaped, ["source", "id"])

@@ -108,5 +108,5 @@ def republish_dead_letters(dead: DataFrame, corrections: DataFrame) -> tuple[Dat
     digest = F.md5(F.concat_ws(":", F.lit("republished"), "slot", "id"))
     cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
     new_id = F.concat_ws("-", *(F.substring(digest, start, size) for start, size in cuts))
-    rows = fixed.withColumnRenamed("id", "replaces").withColumn("id", new_id)
+    rows = fixed.withColumn("replaces", F.col("id")).withColumn("id", new_id)
     return rows, dead.join(corrections.select("slot", "id"), ["slot", "id"], "left_anti")

@@ -26,23 +26,28 @@ def lane_of(lanes: int) -> Column:
 
 
 def plan_batches(
-    events: DataFrame, max_events: int = MAX_EVENTS, lanes: int = 1, limit: int | None = None
+    events: DataFrame,
+    max_events: int = MAX_EVENTS,
+    lanes: int = 1,
+    carry: Sequence[str] = (),
+    limit: int | None = None,
 ) -> DataFrame:
     """Batches of at most ``max_events``, oldest first, never two events of one key.
 
     The n-th event of every key of a lane belongs to round n; a round is cut into batches in commit order.
-    Batches run in the order ``(round, batch)``, so a key's events stay in commit order.
+    Batches run in the order ``(round, batch)``, so a key's events stay in commit order. ``carry`` names short
+    columns to keep; payloads are better joined to the plan by ``(source, id)``.
     """
-    narrow = events.select(*KEY, "id", "commit_lsn", "row_seq")
+    narrow = events.select(*KEY, "id", "commit_lsn", "row_seq", *carry)
     order = ["commit_lsn", "row_seq"]
     rounds = running(narrow, KEY, order, {"round": count()}, log_levels(), limit=limit)
-    rounds = stage(rounds.select("source", lane_of(lanes).alias("lane"), "round", *KEY[1:], "id", *order), "rounds")
+    rounds = stage(rounds.select("source", lane_of(lanes).alias("lane"), "round", *KEY[1:], "id", *order, *carry), "rounds")
     placed = running(rounds, ["source", "lane", "round"], order, {"_n": count()}, log_levels(), limit=limit)
     return placed.select(
         "source", "lane", "round",
         F.floor((F.col("_n") - 1) / max_events).alias("batch"),
         ((F.col("_n") - 1) % max_events).alias("position"),
-        *KEY[1:], "id", *order,
+        *KEY[1:], "id", *order, *carry,
     )
 
 
@@ -83,6 +88,7 @@ def plan_buffers(events: DataFrame, max_events: int = MAX_EVENTS, buffer: int =
 def split_calls(
     entries: DataFrame,
     by: Sequence[str],
+    id: str = "id",
     position: str = "position",
     size: str = "size",
     max_entries: int = CALL_ENTRIES,
@@ -90,35 +96,33 @@ def split_calls(
 ) -> DataFrame:
     """Cuts each batch, in order, into calls within both limits. An entry too large for any call is alone.
 
-    ``by`` names one batch, so the folded array holds at most one batch of (position, size) pairs.
-    Returns ``by``, the position, and ``call`` and ``index`` counted from 0 in the batch and in the call.
+    ``by`` names one batch, so the folded array holds at most one batch of (position, size, id).
+    Returns ``by``, the id, and ``call`` and ``index`` counted from 0 in the batch and in the call.
     """
-    sizes = entries.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(position, size))).alias("_sizes"))
+    entry_of = F.struct(F.col(position).alias("at"), F.col(size).cast("bigint").alias("size"), F.col(id).alias("id"))
+    lists = entries.groupBy(*by).agg(F.array_sort(F.collect_list(entry_of)).alias("_entries"))
     start = F.struct(
         F.lit(-1).cast("bigint").alias("call"),
         F.lit(0).cast("bigint").alias("entries"),
         F.lit(0).cast("bigint").alias("bytes"),
-        F.expr("cast(array() as array<struct<position:bigint,call:bigint,index:bigint>>)").alias("out"),
+        F.expr("cast(array() as array<struct<id:string,call:bigint,index:bigint>>)").alias("out"),
     )
 
     def place(state: Column, entry: Column) -> Column:
-        entry_size = entry[size].cast("bigint")
         opens = (
             (state["call"] < 0)
             | (state["entries"] == max_entries)
-            | (state["bytes"] + entry_size > max_bytes)
+            | (state["bytes"] + entry["size"] > max_bytes)
         )
         call = F.when(opens, state["call"] + 1).otherwise(state["call"])
         index = F.when(opens, F.lit(0).cast("bigint")).otherwise(state["entries"])
-        placed = F.struct(entry[position].cast("bigint").alias("position"), call.alias("call"), index.alias("index"))
+        placed = F.struct(entry["id"].alias("id"), call.alias("call"), index.alias("index"))
         return F.struct(
             call.alias("call"),
             (index + 1).alias("entries"),
-            F.when(opens, entry_size).otherwise(state["bytes"] + entry_size).alias("bytes"),
+            F.when(opens, entry["size"]).otherwise(state["bytes"] + entry["size"]).alias("bytes"),
             F.concat(state["out"], F.array(placed)).alias("out"),
         )
 
-    placed = F.explode(F.aggregate("_sizes", start, place, lambda state: state["out"])).alias("p")
-    return sizes.select(*by, placed).select(
-        *by, F.col("p.position").alias(position), F.col("p.call").alias("call"), F.col("p.index").alias("index")
-    )
+    calls = F.inline(F.aggregate("_entries", start, place, lambda state: state["out"]))
+    return lists.select(*by, calls).withColumnRenamed("id", id)

@@ -92,7 +92,9 @@ def insert_values(data: Column, names: Column) -> Column:
             error.alias("error"),
         )
 
-    read_all = F.aggregate(up_to(count), start, read)
+    read_all = F.aggregate(
+        up_to(count), start, read, lambda end: F.struct(end["values"].alias("values"), end["error"].alias("error"))
+    )
     nothing = F.expr("cast(null as array<string>)")
 
     def failed(message: Column | str) -> Column:
@@ -107,7 +109,7 @@ def insert_values(data: Column, names: Column) -> Column:
         .when(size < FIRST_VALUE_AT - 1, failed("message is truncated"))
         .when(letter(data, TUPLE_KIND_AT) != NEW_TUPLE, failed("insert without a new tuple"))
         .when(count != F.size(names), failed(arity))
-        .otherwise(F.struct(read_all["values"].alias("values"), read_all["error"].alias("error")))
+        .otherwise(read_all)
     )
 
 
@@ -121,15 +123,21 @@ def relation_asof(log: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def decode(log: DataFrame, limit: int | None = None) -> DataFrame:
-    """Each insert as a map from column name to text, or the error that makes it unreadable."""
-    found = relation_asof(log, limit)
-    read = found.withColumn("_read", insert_values(F.col("data"), F.col("relation.names")))
-    ok = F.col("_read.error").isNull()
-    return read.select(
-        *[c for c in log.columns if c != "data"],
-        F.when(ok, F.map_from_arrays("relation.names", "_read.values")).alias("row"),
-        F.col("_read.error").alias("error"),
-    )
+    """Each insert with its column ``names`` and ``values``, or the ``error`` that makes it unreadable."""
+    found = relation_asof(log, limit).withColumn("names", F.col("relation.names"))
+    kept = [c for c in log.columns if c != "data"]
+    # A generator, so that each message is read once however often its values are used.
+    return found.select(*kept, "names", F.inline(F.array(insert_values(F.col("data"), F.col("names")))))
+
+
+def as_map(decoded: DataFrame) -> DataFrame:
+    """Decoded rows with one map from column name to text."""
+    return decoded.withColumn("row", F.map_from_arrays("names", "values")).drop("names", "values")
+
+
+def column_of(name: str) -> Column:
+    """A column of a decoded row by name, null if its relation has none."""
+    return F.get("values", F.array_position("names", name).cast("int") - 1)
 
 
 def assemble(log: DataFrame, limit: int | None = None) -> DataFrame:
@@ -164,11 +172,11 @@ def decoded_events(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = decode(assemble(log))
     missing = F.coalesce(
         "error",
-        *(F.when(F.col("row")[c].isNull(), F.lit(f"outbox row has no `{c}` value")) for c in REQUIRED),
+        *(F.when(column_of(c).isNull(), F.lit(f"outbox row has no `{c}` value")) for c in REQUIRED),
     )
     checked = rows.withColumn("error", missing)
     rejects = checked.where(F.col("error").isNotNull()).select("source", "wal_pos", "error")
-    values = {c: F.col("row")[c] for c in REQUIRED}
+    values = {c: column_of(c) for c in REQUIRED}
     values["occurred_at"] = text.rfc3339(values["created_at"])
     values["created_at"] = values["created_at"].try_cast("timestamp")
     values |= {c: F.col(c) for c in ("source", "commit_lsn", "committed_at")}

@@ -312,9 +312,7 @@ def call_split(spark, sf_dir):
         "source", "id", F.floor(place / 10).alias("batch"), (place % 10).alias("position"),
         text.entry_size(text.envelope()).alias("size"),
     )
-    calls = batches.split_calls(entries, ["source", "batch"], max_bytes=CALL_BYTES)
-    placed = calls.join(entries, ["source", "batch", "position"])
-    return placed.select("source", "batch", "id", "call", "index")
+    return batches.split_calls(entries, ["source", "batch"], max_bytes=CALL_BYTES)
 
 
 @query(
@@ -709,8 +707,8 @@ def quantile_sql(by: str) -> str:
     return f"""
 steps as (select {by}, bucket, coalesce(lag(try_cast(le as double)) over w, 0) lo, case when le = '+Inf' then null else cast(le as double) end hi,
   coalesce(lag(deliveries) over w, 0) below, deliveries n, max(deliveries) over (partition by {by}) total from hist window w as (partition by {by} order by bucket)),
-quantiles as (select {by}, qv, coalesce(lo + (hi - lo) * (qv * total - below) / (n - below), lo) seconds
-  from steps, (values (0.5), (0.99)) qs(qv) where n >= qv * total and below < qv * total)"""
+quantiles as (select {by}, qv, coalesce(lo + (hi - lo) * (qv * total - below) / (n - below), lo) as "seconds"
+  from steps, (values (cast(0.5 as double)), (cast(0.99 as double))) qs(qv) where n >= qv * total and below < qv * total)"""
 
 
 @query(q.with_(q.DELIVERIES, LATENCY_SQL, HISTOGRAM_SQL) + "select source, bucket, le, deliveries from hist")
@@ -720,11 +718,11 @@ def latency_histogram(spark, sf_dir):
 
 @query(
     q.with_(q.DELIVERIES, LATENCY_SQL, HISTOGRAM_SQL, quantile_sql("source"))
-    + "select source, cast(qv as varchar) q, round(seconds, 6) seconds from quantiles"
+    + 'select source, cast(qv as varchar) q, round("seconds", 6) as "seconds" from quantiles'
 )
 def latency_quantiles(spark, sf_dir):
     found = reports.histogram_quantiles(reports.latency_histogram(t.deliveries(spark, sf_dir)))
-    return found.select("source", F.format_number("q", "0.0#").alias("q"), F.round("seconds", 6).alias("seconds"))
+    return found.select("source", F.col("q").cast("string").alias("q"), F.round("seconds", 6).alias("seconds"))
 
 
 @query(
@@ -843,7 +841,7 @@ figures as (
   union all select day, 'dead_letters', '', sum(gain) from gained where metric = 'dead_letters_total' group by all
   union all select day, 'slot_lag', '', max(value) from dayed where metric = 'slot_lag_bytes' group by all
   union all select day, 'slot_lag_by_source', source, max(value) from dayed where metric = 'slot_lag_bytes' group by all
-  union all select day_us, 'latency_seconds', cast(qv as varchar), seconds from quantiles)""",
+  union all select day_us, 'latency_seconds', cast(qv as varchar), "seconds" from quantiles)""",
     )
     + "select at_us, panel, label, round(value, 6) as value from figures"
 )

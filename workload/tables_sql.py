@@ -58,7 +58,7 @@ ORDERS = f"""
 order_heads as (
   select concat('nation_', cast(c_nationkey as varchar)) source, o_orderkey, o_orderdate from orders join customer on o_custkey = c_custkey),
 order_rows as (
-  select source, o_orderkey, o_orderdate, 'order.created' event_type, 'head' part, 0 row_seq, '' extra from order_heads
+  select source, o_orderkey, o_orderdate, 'order.created' event_type, 'head' part, cast(0 as bigint) row_seq, '' extra from order_heads
   union all
   select source, o_orderkey, o_orderdate, 'order.line_added', concat_ws('-', l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int)),
     cast(l_linenumber as bigint) * 4294967296 + l_partkey * 4096 + cast(l_quantity as bigint), concat(', "part_id": ', cast(l_partkey as varchar))
