@@ -77,10 +77,10 @@ def split_hot(
         keys = [*by, *chunk]
         candidates = df.where(F.col("_split")) if chunk else df
         hot = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-        hot = stage(hot.select(*keys, F.lit(True).alias("_hot")), "hot")
+        hot = hot.select(*keys, F.lit(True).alias("_hot"))
         if hot.isEmpty():
             break
-        df = df.join(F.broadcast(hot), keys, "left")
+        df = df.join(F.broadcast(stage(hot, "hot")), keys, "left")
         for i, bound in enumerate(level):
             name = f"_chunk_{depth}_{i}"
             df = df.withColumn(name, F.when(F.col("_hot"), bound).otherwise(F.lit(-1)).cast("bigint"))

@@ -46,6 +46,22 @@ def arrive(part: DataFrame, path: str) -> None:
     part.write.mode("append").parquet(path)
 
 
+_relays: dict[tuple, Relay] = {}
+
+
+def once(run):
+    """Queries that look at different tables of one job share its run in a session."""
+
+    def shared(spark: SparkSession, sf_dir: str, **settings) -> Relay:
+        key = (run.__name__, spark.sparkContext.applicationId, sf_dir, *sorted(settings.items()))
+        if key not in _relays:
+            _relays[key] = run(spark, sf_dir, **settings)
+        return _relays[key]
+
+    return shared
+
+
+@once
 def relayed(spark: SparkSession, sf_dir: str, **settings) -> Relay:
     """The relay after every slice has arrived."""
     relay = Relay(spark, new_path(spark, "relay"), broker, **settings)
@@ -56,7 +72,10 @@ def relayed(spark: SparkSession, sf_dir: str, **settings) -> Relay:
     return relay
 
 
-def settled(relay: Relay) -> Relay:
+@once
+def settled(spark: SparkSession, sf_dir: str, **settings) -> Relay:
+    """The relay after everything it left pending has been sent again."""
+    relay = relayed(spark, sf_dir, **settings)
     while relay.retry_pending():
         pass
     return relay
@@ -87,7 +106,7 @@ def stream_relay(spark, sf_dir):
 @query(q.with_(q.ATTEMPTS) + "select source, id, attempt, outcome from attempts")
 def stream_retry(spark, sf_dir):
     """Without retries in place, failed events and what they hold back go through the pending table."""
-    relay = settled(relayed(spark, sf_dir, retries=2))
+    relay = settled(spark, sf_dir, retries=2)
     return relay.table("outcomes").select("source", "id", "attempt", "outcome")
 
 
@@ -102,7 +121,7 @@ def stream_dead_letters(spark, sf_dir):
 
 @query(q.with_(q.OUTBOX) + "select source, max(commit_lsn) acked from outbox group by source")
 def stream_ack(spark, sf_dir):
-    relay = settled(relayed(spark, sf_dir, retries=2))
+    relay = settled(spark, sf_dir, retries=2)
     return relay.at_step("acks", relay.last_step())
 
 
