@@ -33,14 +33,14 @@ def json_object(*columns: str) -> Column:
     fixed = text
     for code in ESCAPED_WITH_LETTERS:
         fixed = F.regexp_replace(fixed, rf"(?<!\\)((?:\\\\)*)\\u00{code.upper()}", rf"$1\\u00{code}")
-    return F.when(text.rlike(r"\\u00[01][A-F]"), fixed).otherwise(text)
+    return F.when(text.contains("\\u00"), fixed).otherwise(text)
 
 
 def envelope() -> Column:
     """The document consumers receive: six escaped texts, then headers and payload exactly as stored."""
-    texts = json_object(*ENVELOPE_TEXT_KEYS)
+    texts = F.rtrim(json_object(*ENVELOPE_TEXT_KEYS), F.lit("}"))  # it ends in a quote and one brace
     raw = [part for key in ENVELOPE_JSON_KEYS for part in (F.lit(f',"{key}":'), F.col(key))]
-    return F.concat(F.substring(texts, 1, F.length(texts) - 1), *raw, F.lit("}"))
+    return F.concat(texts, *raw, F.lit("}"))
 
 
 def lsn_text(lsn: Column) -> Column:
@@ -67,8 +67,11 @@ def database_time_text(timestamp: Column) -> Column:
 
 def rfc3339(text: Column) -> Column:
     """A database time in UTC as RFC 3339; other texts (``infinity``) stay as they are."""
-    utc = F.regexp_replace(F.regexp_replace(text, r"\+00$", "Z"), r"^([^ ]*) ", "$1T")
-    return F.when(text.endswith("+00"), utc).otherwise(text)
+    end = F.length(text) - 3
+    gap = F.instr(text, " ")
+    day = F.substring(text, F.lit(1), F.when(gap > 0, gap - 1).otherwise(end))
+    clock = F.when(gap > 0, F.concat(F.lit("T"), F.substring(text, gap + 1, end - gap))).otherwise("")
+    return F.when(text.endswith("+00"), F.concat(day, clock, F.lit("Z"))).otherwise(text)
 
 
 def broker_id(value: Column) -> Column:

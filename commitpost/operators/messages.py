@@ -50,10 +50,12 @@ def write_streams(entries: DataFrame, path: str) -> None:
     )
 
 
-def publish_requests(events: DataFrame, target: str, max_events: int = MAX_EVENTS, lanes: int = 1) -> DataFrame:
+def publish_requests(
+    events: DataFrame, target: str, max_events: int = MAX_EVENTS, lanes: int = 1, rows: int | None = None
+) -> DataFrame:
     """The entries of every broker call: which batch, which call of it, which index, and the message."""
     shaped = messages(events, target)
     sized = events.withColumn("size", text.entry_size(text.envelope()))
-    plan = plan_batches(sized, max_events, lanes, carry=["size"])
+    plan = plan_batches(sized, max_events, lanes, carry=["size"], rows=rows)
     calls = split_calls(plan, ["source", "lane", "round", "batch"])
     return calls.join(shaped, ["source", "id"])

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scan import count, log_levels, running
+from .scan import HOT_ROWS, count, log_levels, running
 from .stage import stage
 
 # The default batch, the buffer ahead of a publisher, and the limits of one broker call.
@@ -31,18 +31,21 @@ def plan_batches(
     lanes: int = 1,
     carry: Sequence[str] = (),
     limit: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Batches of at most ``max_events``, oldest first, never two events of one key.
 
     The n-th event of every key of a lane belongs to round n; a round is cut into batches in commit order.
     Batches run in the order ``(round, batch)``, so a key's events stay in commit order. ``carry`` names short
-    columns to keep; payloads are better joined to the plan by ``(source, id)``.
+    columns to keep; payloads are better joined to the plan by ``(source, id)``. ``rows`` as in ``running``.
     """
     narrow = events.select(*KEY, "id", "commit_lsn", "row_seq", *carry)
     order = ["commit_lsn", "row_seq"]
-    rounds = running(narrow, KEY, order, {"round": count()}, log_levels(), limit=limit)
-    rounds = stage(rounds.select("source", lane_of(lanes).alias("lane"), "round", *KEY[1:], "id", *order, *carry), "rounds")
-    placed = running(rounds, ["source", "lane", "round"], order, {"_n": count()}, log_levels(), limit=limit)
+    rounds = running(narrow, KEY, order, {"round": count()}, log_levels(), limit=limit, rows=rows)
+    rounds = rounds.select("source", lane_of(lanes).alias("lane"), "round", *KEY[1:], "id", *order, *carry)
+    if rows is None or rows > (limit or HOT_ROWS):
+        rounds = stage(rounds, "rounds")
+    placed = running(rounds, ["source", "lane", "round"], order, {"_n": count()}, log_levels(), limit=limit, rows=rows)
     return placed.select(
         "source", "lane", "round",
         F.floor((F.col("_n") - 1) / max_events).alias("batch"),

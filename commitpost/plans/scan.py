@@ -98,15 +98,20 @@ def running(
     before: bool = False,
     descending: bool = False,
     limit: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """Adds each aggregate of the rows of its group up to the row (or, with ``before``, up to the one before).
 
     ``order`` must be total within a group. ``levels`` are bounds that never decrease along it, coarse to
-    fine; each level is used only inside chunks the one before it left above ``limit`` rows.
+    fine; each level is used only inside chunks the one before it left above ``limit`` rows. A caller that
+    knows there are at most ``rows`` rows saves the search for large groups.
     """
+    limit = limit or HOT_ROWS
+    if rows is not None and rows <= limit:
+        levels = []
     frame_end = -1 if before else Window.currentRow
     direction = [F.desc(c) if descending else F.asc(c) for c in order]
-    chunked, chunk = split_hot(df, by, levels, limit or HOT_ROWS)
+    chunked, chunk = split_hot(df, by, levels, limit)
     local = Window.partitionBy(*by, *chunk).orderBy(*direction).rowsBetween(Window.unboundedPreceding, frame_end)
     if not chunk:
         return df.select("*", *(agg.over(local).alias(name) for name, agg in aggs.items()))

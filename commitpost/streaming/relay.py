@@ -18,7 +18,7 @@ from commitpost.operators.outcomes import new_dead_letters
 from commitpost.plans.batches import MAX_EVENTS
 from commitpost.plans.lookup import lookup_join
 from commitpost.plans.stage import stage
-from commitpost.sources.schema import EVENT_COLUMNS, contract_violations, valid_rows
+from commitpost.sources.schema import EVENT_COLUMNS, problem
 
 from .send import OUTCOMES, Send, send_in_order
 
@@ -97,13 +97,17 @@ class Relay:
         """Everything still pending and everything new, in commit order per key."""
         previous = self.last_step(before=step)
         pending = self.at_step("pending", previous)
-        self.write("rejects", contract_violations(new).select("source", "id", "problem"), step)
-        fresh = valid_rows(new).select(*EVENT_COLUMNS).dropDuplicates(["source", "id"])
+        fresh = new.select(*EVENT_COLUMNS).dropDuplicates(["source", "id"]).withColumn("problem", problem())
         fresh = fresh.join(pending.select("source", "id"), ["source", "id"], "left_anti")
-        work = stage(pending.unionByName(fresh.withColumn("attempt", F.lit(0))), "work")
+        read = pending.withColumn("problem", F.lit(None).cast("string")).unionByName(
+            fresh.withColumn("attempt", F.lit(0))
+        )
+        read = stage(read, "work")  # the stream is read once
+        self.write("rejects", read.where(F.col("problem").isNotNull()).select("source", "id", "problem"), step)
+        work = read.where(F.col("problem").isNull()).drop("problem")
 
         tried = work.select("source", "id", "attempt", text.ordering_key().alias("order_key"))
-        requests = publish_requests(work, self.target, self.max_events, self.lanes)
+        requests = publish_requests(work, self.target, self.max_events, self.lanes, rows=read.count())
         requests = requests.join(tried, ["source", "id"])
         outcomes = self.write("outcomes", send_in_order(requests, self.send, self.retries), step)
 
@@ -136,18 +140,17 @@ class Relay:
         A micro-batch holds whole transactions and positions only rise, so the source has sent everything up to
         the highest position seen. Positions settled beyond an open one are carried until it is passed.
         """
-        acked = self.at_step("acks", previous)
-        carried = lookup_join(self.at_step("open_positions", previous), acked, ["source"], F.col("lsn"))
-        carried = carried.where(F.col("lsn") > F.coalesce("acked", F.lit(0))).select("source", "lsn", F.lit(0).alias("open"))
+        carried = self.at_step("open_positions", previous).select("source", "lsn", F.lit(0).alias("open"))
         seen = state.select("source", F.col("commit_lsn").alias("lsn"), (~F.col("settled")).cast("int").alias("open"))
         counted = carried.unionByName(seen).groupBy("source", "lsn").agg(F.sum("open").alias("open"))
-        positions = self.write("open_positions", counted, step)
+        positions = stage(counted, "positions")
         ends = positions.groupBy("source").agg(F.min(F.when(F.col("open") > 0, F.col("lsn"))).alias("blocked"))
-        below = lookup_join(positions, ends, ["source"], F.col("lsn"))
-        safe = F.when(F.col("blocked").isNull() | (F.col("lsn") < F.col("blocked")), F.col("lsn"))
-        moved = below.groupBy("source").agg(F.coalesce(F.max(safe), F.lit(0)).alias("acked"))
-        acks = moved.unionByName(acked).groupBy("source").agg(F.max("acked").alias("acked"))
-        self.write("acks", acks, step)
+        known = lookup_join(positions, ends, ["source"], F.col("lsn"))
+        passed = F.col("blocked").isNull() | (F.col("lsn") < F.col("blocked"))
+        moved = known.where(passed).groupBy("source").agg(F.max("lsn").alias("acked"))
+        self.write("open_positions", known.where(~passed).select("source", "lsn", "open"), step)
+        before = self.at_step("acks", previous)
+        self.write("acks", moved.unionByName(before).groupBy("source").agg(F.max("acked").alias("acked")), step)
 
     def start(self, events: DataFrame, checkpoint: str, **trigger):
         """Starts the stream; ``trigger`` as in ``DataStreamWriter.trigger`` (default: what is there, then stop)."""
