@@ -13,6 +13,7 @@ from commitpost.plans.stage import new_path, stage
 from commitpost.sources import changelog, outbox as outbox_source, schema, tenants as registry
 
 from . import tables as t, tables_sql as q
+from .ship import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,7 @@ def query(sql: str | None = None):
     def register(run: Query) -> Query:
         def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship(spark)
             return run(spark, sf_dir)
 
         QUERIES[run.__name__] = in_utc
