@@ -1,4 +1,7 @@
-"""Compares registered queries with their SQL: python tests/check.py [sf_dir] [query ...]"""
+"""Compares registered queries with their SQL: python tests/check.py [sf_dir] [query ...]
+
+HOT_ROWS=200 in the environment makes groups above 200 rows count as hot, so that scans are split.
+"""
 
 import os
 import sys
@@ -49,6 +52,10 @@ def main():
 
     import __spark_entry__ as entry
 
+    if "HOT_ROWS" in os.environ:
+        from commitpost.plans import scan
+
+        scan.HOT_ROWS = int(os.environ["HOT_ROWS"])
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(entry.queries())
     spark = (

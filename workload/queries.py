@@ -39,6 +39,14 @@ def us(name: str):
     return F.unix_micros(name)
 
 
+def wal(spark, sf_dir):
+    return stage(t.wal_log(spark, sf_dir), "wal")
+
+
+def samples(spark, sf_dir):
+    return stage(t.metric_samples(spark, sf_dir), "samples")
+
+
 # ---- sources ----------------------------------------------------------------
 
 
@@ -91,7 +99,7 @@ def resume_after(spark, sf_dir):
 from wal_log w join wal_events e on w.source = e.source and w.id = e.id where w.kind = 'I' and e.tx % 13 <> 0"""
 )
 def txn_assembly(spark, sf_dir):
-    rows = changelog.assemble(t.wal_log(spark, sf_dir)).where(F.col("kind") == "I")
+    rows = changelog.assemble(wal(spark, sf_dir)).where(F.col("kind") == "I")
     return rows.select("source", "wal_pos", "commit_lsn", us("committed_at").alias("committed_us"))
 
 
@@ -105,7 +113,7 @@ closed as (select source, run, min(wal_pos) filter (kind = 'C') closed_at from r
 where kind = 'C' or (kind = 'K' and (run = 0 or wal_pos > closed_at))"""
 )
 def progress_marks(spark, sf_dir):
-    return changelog.progress_marks(t.wal_log(spark, sf_dir))
+    return changelog.progress_marks(wal(spark, sf_dir))
 
 
 WAL_FAULT = f"""case
@@ -121,7 +129,7 @@ WAL_FAULT = f"""case
 from wal_events e where exists (select 1 from wal_first f where f.source = e.source and f.commit_lsn <= e.commit_lsn)"""
 )
 def relation_asof(spark, sf_dir):
-    found = changelog.relation_asof(t.wal_log(spark, sf_dir)).where(F.col("relation").isNotNull())
+    found = changelog.relation_asof(wal(spark, sf_dir)).where(F.col("relation").isNotNull())
     return found.select("source", "wal_pos", F.col("relation.wal_pos").alias("relation_pos"))
 
 
@@ -131,7 +139,7 @@ def relation_asof(spark, sf_dir):
   commit_lsn, commit_lsn - 3900 + row_seq % 16 * 100 row_seq, epoch_us(committed_at) committed_us from judged where fault is null"""
 )
 def wal_decode(spark, sf_dir):
-    events, _ = changelog.decoded_events(t.wal_log(spark, sf_dir))
+    events, _ = changelog.decoded_events(wal(spark, sf_dir))
     return events.select(
         *[c for c in schema.EVENT_COLUMNS if c not in ("created_at", "committed_at")],
         us("created_at").alias("created_us"), us("committed_at").alias("committed_us"),
@@ -143,7 +151,7 @@ def wal_decode(spark, sf_dir):
     + "select source, commit_lsn - 3900 + row_seq % 16 * 100 wal_pos, fault error from judged where fault is not null"
 )
 def wal_rejects(spark, sf_dir):
-    return changelog.decoded_events(t.wal_log(spark, sf_dir))[1]
+    return changelog.decoded_events(wal(spark, sf_dir))[1]
 
 
 PROBLEM_SQL = """case when aggregate_id is null then 'aggregate_id: missing' when event_type is null then 'event_type: missing'
@@ -788,7 +796,7 @@ def slot_lag(spark, sf_dir):
 
 @query(q.with_(q.SAMPLES) + "select source, at_us, cast(sum(value) as bigint) up from samples where metric = 'source_up' group by all")
 def source_up(spark, sf_dir):
-    return reports.source_up(t.metric_samples(spark, sf_dir))
+    return reports.source_up(samples(spark, sf_dir))
 
 
 @query(
@@ -803,7 +811,7 @@ flags as (select s.replica, s.at_us, s.value = 1 source_ready, t.source is null
 def readiness(spark, sf_dir):
     at = (F.floor(us("sent_at") / 60_000_000) * 60_000_000).alias("at_us")
     failing = t.attempts(spark, sf_dir).where(F.col("outcome") == "retryable").select("source", at).distinct()
-    streams = alerts.gauge(t.metric_samples(spark, sf_dir), "source_up")
+    streams = alerts.gauge(samples(spark, sf_dir), "source_up")
     flags = streams.join(failing.withColumn("failed", F.lit(True)), ["source", "at_us"], "left").select(
         "replica", "at_us", (F.col("value") == 1).alias("source_ready"), F.col("failed").isNull().alias("sink_ready")
     )
@@ -825,7 +833,7 @@ def trailing_sql(by: str, value: str, minutes: int) -> str:
   {trailing_sql('replica, metric, source, kind', 'gain', 5)} in_5m, {trailing_sql('replica, metric, source, kind', 'gain', 15)} in_15m from gains"""
 )
 def counter_increase(spark, sf_dir):
-    counters = t.metric_samples(spark, sf_dir).where(F.col("metric").endswith("_total"))
+    counters = samples(spark, sf_dir).where(F.col("metric").endswith("_total"))
     increase = reports.counter_increase(counters, {"in_1m": 1, "in_5m": 5, "in_15m": 15})
     return increase.drop("replica", "value")
 
@@ -849,7 +857,7 @@ figures as (
 )
 def overview(spark, sf_dir):
     ok = t.attempts(spark, sf_dir).where(F.col("outcome") == "ok")
-    figures = reports.overview(stage(t.metric_samples(spark, sf_dir), "samples"), ok)
+    figures = reports.overview(samples(spark, sf_dir), ok)
     return figures.withColumn("value", F.round("value", 6))
 
 
@@ -871,12 +879,12 @@ ALL_FIRED = "select * from fired"
 
 @query(q.with_(q.SAMPLES, held_sql("select replica, source, at_us, value > 536870912 cond from samples where metric = 'slot_lag_bytes'", "replica, source", 10)) + ALL_FIRED)
 def alert_slot_lag(spark, sf_dir):
-    return alerts.slot_lag_high(t.metric_samples(spark, sf_dir))
+    return alerts.slot_lag_high(samples(spark, sf_dir))
 
 
 @query(q.with_(q.SAMPLES, held_sql("select replica, at_us, value = 0 cond from samples where metric = 'up'", "replica", 5)) + ALL_FIRED)
 def alert_relay_down(spark, sf_dir):
-    return alerts.relay_down(t.metric_samples(spark, sf_dir))
+    return alerts.relay_down(samples(spark, sf_dir))
 
 
 @query(
@@ -884,7 +892,7 @@ def alert_relay_down(spark, sf_dir):
     + ALL_FIRED
 )
 def alert_source_down(spark, sf_dir):
-    return alerts.source_down(t.metric_samples(spark, sf_dir))
+    return alerts.source_down(samples(spark, sf_dir))
 
 
 @query(
@@ -900,7 +908,7 @@ def alert_source_down(spark, sf_dir):
     + ALL_FIRED
 )
 def alert_publish_stalled(spark, sf_dir):
-    return alerts.publish_stalled(t.metric_samples(spark, sf_dir))
+    return alerts.publish_stalled(samples(spark, sf_dir))
 
 
 @query(
@@ -914,7 +922,7 @@ def alert_publish_stalled(spark, sf_dir):
     + ALL_FIRED
 )
 def alert_poison(spark, sf_dir):
-    return alerts.poison_events(t.metric_samples(spark, sf_dir))
+    return alerts.poison_events(samples(spark, sf_dir))
 
 
 @query(
@@ -922,5 +930,5 @@ def alert_poison(spark, sf_dir):
     + ALL_FIRED
 )
 def alert_firings(spark, sf_dir):
-    streams = alerts.gauge(t.metric_samples(spark, sf_dir), "source_up")
+    streams = alerts.gauge(samples(spark, sf_dir), "source_up")
     return alerts.held(streams, ["replica", "source"], F.col("value") == 0, 3)
