@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from commitpost.functions import text
@@ -17,8 +19,11 @@ def attributes() -> Column:
     return F.when(F.col("event_type") != "", typed).otherwise(always)
 
 
-def messages(events: DataFrame, target: str) -> DataFrame:
-    """Queue or topic messages. A target named ``*.fifo`` gets group and deduplication ids, others get none."""
+def messages(events: DataFrame, target: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Queue or topic messages. A target named ``*.fifo`` gets group and deduplication ids, others get none.
+
+    ``keep`` names further columns of the events to pass on.
+    """
     fifo = text.is_fifo(F.lit(target))
     shaped = events.withColumn("body", text.envelope())
     return shaped.select(
@@ -27,6 +32,7 @@ def messages(events: DataFrame, target: str) -> DataFrame:
         F.when(fifo, text.broker_id(text.ordering_key())).alias("group_id"),
         F.when(fifo, text.broker_id(text.dedup_key())).alias("dedup_id"),
         text.entry_size(F.col("body")).alias("size"),
+        *keep,
     )
 
 
@@ -51,10 +57,15 @@ def write_streams(entries: DataFrame, path: str) -> None:
 
 
 def publish_requests(
-    events: DataFrame, target: str, max_events: int = MAX_EVENTS, lanes: int = 1, rows: int | None = None
+    events: DataFrame,
+    target: str,
+    max_events: int = MAX_EVENTS,
+    lanes: int = 1,
+    keep: Sequence[str] = (),
+    rows: int | None = None,
 ) -> DataFrame:
     """The entries of every broker call: which batch, which call of it, which index, and the message."""
-    shaped = messages(events, target)
+    shaped = messages(events, target, keep)
     sized = events.withColumn("size", text.entry_size(text.envelope()))
     plan = plan_batches(sized, max_events, lanes, carry=["size"], rows=rows)
     calls = split_calls(plan, ["source", "lane", "round", "batch"])

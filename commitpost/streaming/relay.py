@@ -106,9 +106,10 @@ class Relay:
         self.write("rejects", read.where(F.col("problem").isNotNull()).select("source", "id", "problem"), step)
         work = read.where(F.col("problem").isNull()).drop("problem")
 
-        tried = work.select("source", "id", "attempt", text.ordering_key().alias("order_key"))
-        requests = publish_requests(work, self.target, self.max_events, self.lanes, rows=read.count())
-        requests = requests.join(tried, ["source", "id"])
+        keyed = work.withColumn("order_key", text.ordering_key())
+        requests = publish_requests(
+            keyed, self.target, self.max_events, self.lanes, keep=["attempt", "order_key"], rows=read.count()
+        )
         outcomes = self.write("outcomes", send_in_order(requests, self.send, self.retries), step)
 
         attempts = F.max("attempt").alias("attempts")

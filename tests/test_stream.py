@@ -22,8 +22,8 @@ def backlog(spark):
 
 
 def requests(df, lanes=4):
-    made = df.select("source", "id", F.lit(0).alias("attempt"), text.ordering_key().alias("order_key"))
-    return publish_requests(df, "q.fifo", lanes=lanes).join(made, ["source", "id"])
+    made = df.withColumn("attempt", F.lit(0)).withColumn("order_key", text.ordering_key())
+    return publish_requests(made, "q.fifo", lanes=lanes, keep=["attempt", "order_key"])
 
 
 def test_answers_are_judged_fail_safe():

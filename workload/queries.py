@@ -632,7 +632,7 @@ def poll_inversions(spark, sf_dir):
 
 @query(
     q.with_(q.ORDERS)
-    + "select source, id, row_number() over (partition by source order by commit_lsn, row_seq, id) place from outbox_orders"
+    + "select source, id, row_number() over (partition by source order by commit_lsn, row_seq) place from outbox_orders"
 )
 def commit_order(spark, sf_dir):
     return reconcile.commit_order(t.outbox_orders(spark, sf_dir)).select("source", "id", "place")

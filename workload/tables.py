@@ -113,7 +113,7 @@ def outbox_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         F.col("o_orderdate").cast("timestamp").alias("at"),
     )
-    line = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    line = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     lines = table(spark, sf_dir, "lineitem").select(*line).distinct().withColumnRenamed("l_orderkey", "o_orderkey")
     rows = head.select(
         "source", "o_orderkey", "at", F.lit("order.created").alias("event_type"), F.lit("head").alias("part"),
@@ -121,9 +121,9 @@ def outbox_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).unionByName(
         head.join(lines, "o_orderkey").select(
             "source", "o_orderkey", "at", F.lit("order.line_added").alias("event_type"),
-            F.concat_ws("-", *(F.col(c).cast("string") for c in line[1:4]), F.col("l_quantity").cast("int").cast("string")).alias("part"),
-            (F.col("l_linenumber").cast("bigint") * 4_294_967_296
-             + F.col("l_partkey") * 4_096 + F.col("l_quantity").cast("bigint")).alias("row_seq"),
+            F.concat_ws("-", *(F.col(c).cast("string") for c in line[1:3]), F.col("l_quantity").cast("int").cast("string")).alias("part"),
+            (F.shiftleft(F.col("l_linenumber").cast("bigint"), 44)
+             + F.col("l_partkey") * 64 + F.col("l_quantity").cast("bigint")).alias("row_seq"),
             F.concat(F.lit(', "part_id": '), F.col("l_partkey").cast("string")).alias("extra"),
         )
     )

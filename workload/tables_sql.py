@@ -60,9 +60,9 @@ order_heads as (
 order_rows as (
   select source, o_orderkey, o_orderdate, 'order.created' event_type, 'head' part, cast(0 as bigint) row_seq, '' extra from order_heads
   union all
-  select source, o_orderkey, o_orderdate, 'order.line_added', concat_ws('-', l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int)),
-    cast(l_linenumber as bigint) * 4294967296 + l_partkey * 4096 + cast(l_quantity as bigint), concat(', "part_id": ', cast(l_partkey as varchar))
-  from order_heads join (select distinct l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity from lineitem) on o_orderkey = l_orderkey),
+  select source, o_orderkey, o_orderdate, 'order.line_added', concat_ws('-', l_linenumber, l_partkey, cast(l_quantity as int)),
+    cast(l_linenumber as bigint) * 17592186044416 + l_partkey * 64 + cast(l_quantity as bigint), concat(', "part_id": ', cast(l_partkey as varchar))
+  from order_heads join (select distinct l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem) on o_orderkey = l_orderkey),
 outbox_orders as (
   select source, {uuid_sql("md5(concat('order-', cast(o_orderkey as varchar), '-', part))")} id, 'order' aggregate_type,
     cast(o_orderkey as varchar) aggregate_id, event_type, concat('{{"order_id": ', cast(o_orderkey as varchar), extra, '}}') payload,
