@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .stage import stage
+from .lookup import lookup_join
 
 HOT_ROWS = 1_000_000
-"""A group above this is split. At most rows / HOT_ROWS groups can be, which bounds the broadcast list of them."""
+"""A group above this is split. At most rows / HOT_ROWS groups can be."""
 
 
 @dataclass(frozen=True)
@@ -69,7 +69,7 @@ def time_levels(micros: str) -> list[list[Column]]:
 
 
 def split_hot(
-    df: DataFrame, by: Sequence[str], levels: Sequence[Sequence[Column]], limit: int
+    df: DataFrame, by: Sequence[str], order: Sequence[str], levels: Sequence[Sequence[Column]], limit: int
 ) -> tuple[DataFrame, list[str]]:
     """Adds chunk columns that cut every group above ``limit`` rows; none if there is no such group."""
     chunk: list[str] = []
@@ -80,7 +80,7 @@ def split_hot(
         hot = hot.select(*keys, F.lit(True).alias("_hot"))
         if hot.isEmpty():
             break
-        df = df.join(F.broadcast(stage(hot, "hot")), keys, "left")
+        df = lookup_join(df, hot, keys, F.struct(*order))
         for i, bound in enumerate(level):
             name = f"_chunk_{depth}_{i}"
             df = df.withColumn(name, F.when(F.col("_hot"), bound).otherwise(F.lit(-1)).cast("bigint"))
@@ -111,7 +111,7 @@ def running(
         levels = []
     frame_end = -1 if before else Window.currentRow
     direction = [F.desc(c) if descending else F.asc(c) for c in order]
-    chunked, chunk = split_hot(df, by, levels, limit)
+    chunked, chunk = split_hot(df, by, order, levels, limit)
     local = Window.partitionBy(*by, *chunk).orderBy(*direction).rowsBetween(Window.unboundedPreceding, frame_end)
     if not chunk:
         return df.select("*", *(agg.over(local).alias(name) for name, agg in aggs.items()))

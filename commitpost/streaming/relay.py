@@ -52,7 +52,11 @@ def read_events(
 
 @dataclass
 class Relay:
-    """Publishes a stream of events through ``send`` and keeps its tables under ``path``."""
+    """Publishes a stream of events through ``send`` and keeps its tables under ``path``.
+
+    A step needs only what the step before it wrote to ``pending``, ``open_positions`` and ``acks``: older
+    partitions of these can be dropped.
+    """
 
     spark: SparkSession
     path: str
@@ -61,6 +65,7 @@ class Relay:
     max_events: int = MAX_EVENTS
     lanes: int = 16
     retries: int = 0
+    finished: int | None = None
 
     def table(self, name: str) -> DataFrame:
         """A table over all steps, with its ``step``."""
@@ -68,15 +73,17 @@ class Relay:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     def at_step(self, name: str, step: int) -> DataFrame:
-        return self.table(name).where(F.col("step") == step).drop("step")
+        """What one step wrote; the other steps are not listed."""
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{name}/step={step}")
 
     def write(self, name: str, rows: DataFrame, step: int, mode: str = "overwrite") -> DataFrame:
-        path = f"{self.path}/{name}/step={step}"
-        rows.write.mode(mode).parquet(path)
-        return self.spark.read.schema(TABLES[name]).parquet(path)
+        rows.write.mode(mode).parquet(f"{self.path}/{name}/step={step}")
+        return self.at_step(name, step)
 
     def last_step(self, before: int | None = None) -> int:
-        """The last finished step; acknowledgements are written last."""
+        """The last finished step; acknowledgements are written last. Looked up once, then remembered."""
+        if self.finished is not None and (before is None or self.finished < before):
+            return self.finished
         steps = self.table("acks").select("step")
         if before is not None:
             steps = steps.where(F.col("step") < before)
@@ -134,6 +141,7 @@ class Relay:
         waiting = state.where(~settled).withColumn("attempt", F.coalesce("attempts", "attempt"))
         self.write("pending", waiting.select(*EVENT_COLUMNS, "attempt"), step)
         self.acknowledge(state.withColumn("settled", settled), previous, step)
+        self.finished = step
 
     def acknowledge(self, state: DataFrame, previous: int, step: int) -> None:
         """Moves each source's safe position up to its first open one.
