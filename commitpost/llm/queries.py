@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, rules, urls
+from . import bpe, decontaminate, language, pii, rules, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +76,26 @@ def op3_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+OP5 = """
+with doc_words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w from documents),
+windows as (
+    select doc_id, s, sha256(array_to_string(w[s : s + 49], ' ')) h
+    from (select doc_id, w, unnest(range(1, len(w) - 48)) s from doc_words where len(w) >= 50)),
+lost as (select doc_id, s from (select doc_id, s, min(doc_id) over (partition by h) low from windows) where low < doc_id),
+gone as (select doc_id, list(distinct k) ks from (select doc_id, unnest(range(s, s + 50)) k from lost) group by 1),
+left_over as (
+    select doc_id, w, coalesce(len(ks), 0) n_removed,
+        case when ks is null then w else list_filter(w, lambda x, i: not list_contains(ks, i)) end kept
+    from doc_words left join gone using (doc_id))
+select doc_id, len(w) n_words, n_removed, sha256(array_to_string(kept, ' ')) kept_sha256 from left_over
+"""
+
+
+@query(OP5)
+def op5_substring(spark, sf_dir):
+    return substring.dedup(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_language(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -109,3 +129,8 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') verdict from parts
 @query(OP8)
 def op8_urls(spark, sf_dir):
     return urls.judge(table(spark, sf_dir, "pages"), urls.given_rules(spark))
+
+
+@query()
+def op10_pii(spark, sf_dir):
+    return pii.report(table(spark, sf_dir, "documents"))
