@@ -6,6 +6,7 @@ operator compares the words themselves, or two independent hashes (128 bits).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,6 +124,28 @@ class Words:
         data = self.texts.data
         return b" ".join(data[s:e].tobytes() for s, e in zip(self.starts[start:end], self.ends[start:end])).decode()
 
+    def joined(self, keep: np.ndarray | None = None) -> list[bytes]:
+        """The words of each text (those marked in ``keep``), joined by one space."""
+        data = self.texts.data.copy()
+        kept = np.arange(len(self)) if keep is None else np.flatnonzero(keep)
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[self.starts[kept]] += 1
+        edge[self.ends[kept]] -= 1
+        take = np.cumsum(edge[:-1], dtype=np.int8) > 0
+        docs = self.doc(kept)
+        not_last = np.zeros(len(kept), bool)
+        not_last[:-1] = docs[1:] == docs[:-1]
+        gaps = self.ends[kept[not_last]]  # a kept word that is not the last one is followed by a separator
+        take[gaps] = True
+        data[gaps] = 32
+        places = np.concatenate([[0], np.cumsum(take)])[self.texts.offsets]
+        out = data[take].tobytes()
+        return [out[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist())]
+
+    def digests(self, keep: np.ndarray | None = None) -> list[str]:
+        """SHA-256 of the joined words."""
+        return [hashlib.sha256(text).hexdigest() for text in self.joined(keep)]
+
 
 def first_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """For each run of ``width`` values, the index of its first smallest one."""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, pii, rules, substring, urls
+from . import bpe, decontaminate, language, near_dup, pii, rules, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +76,11 @@ def op3_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query()
+def op4_near_dup(spark, sf_dir):
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 OP5 = """
 with doc_words as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') w from documents),
 windows as (

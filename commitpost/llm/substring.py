@@ -14,7 +14,6 @@ documents shorter than a window stay whole; repeated rows are treated alike; oth
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,29 +31,6 @@ WINDOWS = "doc_id bigint, whole_sha256 string, text string, windows array<struct
 KEPT = "kept_id bigint, kept_whole string, kept_removed bigint, kept_sha256 string"
 
 
-def joined(words: Words, keep: np.ndarray) -> list[bytes]:
-    """The kept words of each text, joined by one space."""
-    data = words.texts.data.copy()
-    take = np.zeros(len(data) + 1, np.int32)
-    np.add.at(take, words.starts[keep], 1)
-    np.add.at(take, words.ends[keep], -1)
-    take = np.cumsum(take[:-1]) > 0
-    kept = np.flatnonzero(keep)
-    docs = words.doc(kept)
-    not_last = np.zeros(len(kept), bool)
-    not_last[:-1] = docs[1:] == docs[:-1]
-    gaps = words.ends[kept[not_last]]  # a kept word that is not the last one is followed by a separator
-    take[gaps] = True
-    data[gaps] = 32
-    places = np.concatenate([[0], np.cumsum(take)])[words.texts.offsets]
-    out = data[take].tobytes()
-    return [out[a:b] for a, b in zip(places[:-1].tolist(), places[1:].tolist())]
-
-
-def _digest(text: bytes) -> str:
-    return hashlib.sha256(text).hexdigest()
-
-
 def _lists(rows: np.ndarray, values: pa.Array, n: int) -> pa.ListArray:
     """values, whose row numbers do not decrease, as one list for each of n rows."""
     return pa.ListArray.from_arrays(pa.array(np.searchsorted(rows, np.arange(n + 1)).astype(np.int32)), values)
@@ -65,12 +41,11 @@ def _base(documents: DataFrame, span: int, anchor: int) -> DataFrame:
         for whole in batches:
             for batch in slices(whole):
                 words = Texts(batch["text"]).words()
-                texts = joined(words, np.ones(len(words), bool))
                 _, anchors, hashes = winnow(words, span, anchor)
                 first = np.flatnonzero(np.diff(anchors, prepend=-1))  # anchors never step back
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch["doc_id"], pa.array(words.counts.astype(np.int64)), pa.array(list(map(_digest, texts))),
+                        batch["doc_id"], pa.array(words.counts.astype(np.int64)), pa.array(words.digests()),
                         _lists(words.doc(anchors[first]), pa.array(signed(hashes[first])), batch.num_rows),
                     ],
                     ["doc_id", "n_words", "whole_sha256", "anchors"],
@@ -82,8 +57,7 @@ def _base(documents: DataFrame, span: int, anchor: int) -> DataFrame:
 def _same_words(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, Words]:
     """The rows whose words have the digest that was joined by id: other rows may have the same id."""
     words = Texts(batch["text"]).words()
-    digests = map(_digest, joined(words, np.ones(len(words), bool)))
-    same = [a == b for a, b in zip(digests, batch["whole_sha256"].to_pylist())]
+    same = [a == b for a, b in zip(words.digests(), batch["whole_sha256"].to_pylist())]
     if all(same):
         return batch, words
     batch = batch.filter(pa.array(same, pa.bool_()))
@@ -140,7 +114,7 @@ def _cut(texts: DataFrame, span: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["doc_id"], batch["whole_sha256"], pa.array(words.counts - np.diff(kept)),
-                        pa.array(list(map(_digest, joined(words, keep)))),
+                        pa.array(words.digests(keep)),
                     ],
                     ["kept_id", "kept_whole", "kept_removed", "kept_sha256"],
                 )
