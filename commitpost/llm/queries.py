@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, near_dup, pii, rules, substring, urls
+from . import bpe, decontaminate, language, lm, near_dup, pii, rules, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,3 +139,12 @@ def op8_urls(spark, sf_dir):
 @query()
 def op10_pii(spark, sf_dir):
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_lm(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    scored = lm.score(table(spark, sf_dir, "documents"), remainder(5) != 1, path, public_tokenizers.PATTERN)
+    return scored.withColumn("held_out", F.coalesce(remainder(5) == 1, F.lit(False)))
