@@ -194,6 +194,14 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def encoded_and_checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``documents`` with ids, n_tokens, and round_trip: whether the ids decode to the text (a null text to nothing)."""
+    both = decode(encode(documents, path, pattern), path, pattern)
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    checked = both.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn("round_trip", same)
+    return checked.drop("decoded")
+
+
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, and the SHA-256 of the ids and of what they decode to, without moving the ids."""
     name = _add(documents, path)

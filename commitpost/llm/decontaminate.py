@@ -119,8 +119,8 @@ def document_hits(documents: DataFrame, sieve_bits, lengths: list[int], bits: in
     return keyed.mapInArrow(run, DOC_HITS)
 
 
-def decontaminate(documents: DataFrame, items: DataFrame, span: int = SPAN, bits: int = SIEVE_BITS) -> DataFrame:
-    """doc_id, n_words, n_hit and the sorted ids of the items whose windows occur, for each row of ``documents``."""
+def _exact_hits(documents: DataFrame, items: DataFrame, span: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """(every row with n_words, hits that are an item's window by its words)."""
     spark = documents.sparkSession
     windows = stage(item_windows(items, span), "item-windows")
     lengths = sorted(r["words"] for r in windows.select("words").distinct().collect())  # span values at most
@@ -128,7 +128,12 @@ def decontaminate(documents: DataFrame, items: DataFrame, span: int = SPAN, bits
     found = stage(document_hits(documents, bitmap, lengths, bits), "hits")
     of_window = windows.groupBy("window").agg(F.collect_set("item_id").alias("items"))
     hits = found.where(F.size("hits") > 0).select("doc_id", "row_key", F.explode("hits").alias("hit")).distinct()
-    exact = hits.join(of_window, F.col("hit.window") == F.col("window"))
+    return found.select("doc_id", "row_key", "n_words"), hits.join(of_window, F.col("hit.window") == F.col("window"))
+
+
+def decontaminate(documents: DataFrame, items: DataFrame, span: int = SPAN, bits: int = SIEVE_BITS) -> DataFrame:
+    """doc_id, n_words, n_hit and the sorted ids of the items whose windows occur, for each row of ``documents``."""
+    found, exact = _exact_hits(documents, items, span, bits)
     merged = exact.groupBy("doc_id", "row_key").agg(
         F.collect_list(F.struct("hit.start", "hit.words")).alias("spans"),
         F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
@@ -139,13 +144,22 @@ def decontaminate(documents: DataFrame, items: DataFrame, span: int = SPAN, bits
         .cast("bigint").alias("n_hit"),
         F.array_sort("items").alias("item_ids"),
     )
-    same = F.col("row_key").eqNullSafe(F.col("hit_key")) & F.col("doc_id").eqNullSafe(F.col("hit_id"))
-    return found.select("doc_id", "row_key", "n_words").join(merged, same, "left").select(
+    same = found["row_key"].eqNullSafe(merged["hit_key"]) & found["doc_id"].eqNullSafe(merged["hit_id"])
+    return found.join(merged, same, "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"),
     )
 
 
+def clean(documents: DataFrame, items: DataFrame, span: int = SPAN, bits: int = SIEVE_BITS) -> DataFrame:
+    """The rows of ``documents`` without any window of an item, all columns unchanged."""
+    _, exact = _exact_hits(documents, items, span, bits)
+    hit = exact.select(F.col("doc_id").alias("hit_id"), F.col("row_key").alias("hit_key")).distinct()
+    key = F.xxhash64(documents["doc_id"], documents["text"])
+    same = key.eqNullSafe(hit["hit_key"]) & documents["doc_id"].eqNullSafe(hit["hit_id"])
+    return documents.join(hit, same, "left_anti")
+
+
 def digest(judged: DataFrame) -> DataFrame:
     names = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
     return judged.select(

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..plans.stage import stage
 from .grams import LETTERS_DIGITS, Texts, Words, mix, signed, slices
@@ -272,8 +272,14 @@ def _texts_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents`` whose id is the smallest of its class, one row for each id; all rows with a null id."""
-    found = classes(documents, threshold).where("doc_id <> class_id").select("doc_id")
-    rest = documents.join(found, "doc_id", "left_anti").select(documents.columns)
-    null_id = rest.where("doc_id is null")
-    return rest.where("doc_id is not null").dropDuplicates(["doc_id"]).union(null_id)
+    """The rows of ``documents`` whose id is the smallest of its class, one row for each id (of rows with one id, that
+    with the smallest hash of its text, then the smallest text); and all rows with a null id."""
+    dropped = classes(documents, threshold).where("doc_id <> class_id").select("doc_id")
+    rest = documents.join(dropped, "doc_id", "left_anti").select(documents.columns)
+    repeated = documents.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return rest
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
+    row = F.struct(*(F.col(f"`{c}`") for c in documents.columns))
+    ranked = rest.join(repeated, "doc_id", "left_semi").select(row.alias("row"), place.alias("place")).where("place = 1")
+    return rest.join(repeated, "doc_id", "left_anti").select(documents.columns).union(ranked.select("row.*"))

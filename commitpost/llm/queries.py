@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, lm, near_dup, pii, rules, substring, urls
+from . import bpe, decontaminate, language, lm, near_dup, pii, quality, rules, substring, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -148,3 +148,14 @@ def op9_lm(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     scored = lm.score(table(spark, sf_dir, "documents"), remainder(5) != 1, path, public_tokenizers.PATTERN)
     return scored.withColumn("held_out", F.coalesce(remainder(5) == 1, F.lit(False)))
+
+
+PREDICTED_FROM = 0.3
+
+
+@query()
+def op1_quality(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = quality.score(documents, labels, remainder(5) != 0)
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"))
