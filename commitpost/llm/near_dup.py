@@ -155,44 +155,55 @@ def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray
     return np.divide(shared, total - shared, out=np.zeros(n), where=total > shared)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts reach the threshold. ``texts``: node, text."""
+def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float, kept=()) -> DataFrame:
+    """The pairs (a, b, and the bigint columns ``kept``) whose texts reach the threshold. ``texts``: node, text."""
+    names = ["a", "b", *kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text_b", 1 << 20):
                 close = similarities(batch["text_a"], batch["text_b"], idf.value) >= threshold - 1e-9
-                yield batch.select(["a", "b"]).filter(pa.array(close))
+                yield batch.select(names).filter(pa.array(close))
 
     side = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    return joined.select(*names, "text_a", "text_b").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """node, label: the last of each node's chain of parents. ``parents``: node, label, one smaller label a node."""
+    labels = stage(parents, "labels")
+    while True:
+        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+        after = labels.join(jump, "label", "left").select("node", F.coalesce("next", "label").alias("label"), F.col("next").isNotNull().alias("moved"))
+        after = stage(after, "labels")
+        labels = after.select("node", "label")
+        if after.where("moved").isEmpty():
+            return labels
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label: the smallest node of the connected part, for every node with a link.
+    """node, label: the smallest node of the connected part, for every node of ``links`` (a, b).
 
-    Every round takes the smallest label among a node's neighbours, then the label of its label, so that long chains
-    take few rounds; each round is written to the shared folder.
+    Every round takes the smallest label among a node and its neighbours, then the label of that label, so that long
+    chains take few rounds; each round is written to the shared folder.
     """
     both = stage(links.union(links.select("b", "a")).toDF("node", "other").distinct(), "links")
-    labels = stage(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label")), "labels")
+    labels = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("label"))
+    labels = stage(labels, "labels")
     while True:
-        near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("label").alias("near"))
-        hooked = labels.join(near, "node").select("node", F.least("label", "near").alias("label"))
+        near = both.join(labels.withColumnRenamed("node", "other"), "other").select("node", "label", F.lit(None).cast("bigint").alias("was"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        best = near.union(own).groupBy("node").agg(F.min("label").alias("label"), F.max("was").alias("was"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = hooked.join(jump, "label").select("node", F.least("label", "next").alias("label"))
-        after = stage(moved, "labels")
-        changed = after.join(labels.withColumnRenamed("label", "was"), "node").where("label <> was")
-        if changed.isEmpty():
-            return after
-        labels = after
+        after = stage(best.join(jump, "label").select("node", F.least("label", "next").alias("label"), "was"), "labels")
+        labels = after.select("node", "label")
+        if after.where("label <> was").isEmpty():
+            return labels
 
 
-def _labelled(buckets: DataFrame, classes: DataFrame | None) -> DataFrame:
-    if classes is None:
-        return buckets.withColumn("label", F.col("node"))
-    return buckets.join(classes, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    return buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
 def _open(labelled: DataFrame) -> DataFrame:
@@ -219,18 +230,18 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     candidates = buckets.select("node").distinct().join(nodes.select("node", "digest"), "node")
     texts = stage(_texts_of(documents, candidates), "texts")
 
-    def links_of(pairs: DataFrame) -> DataFrame:
-        ordered = pairs.where(F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b"))
-        return stage(verify(ordered.select("a", "b").distinct(), texts, idf, threshold), "found")
+    def linked(pairs: DataFrame, *kept: str) -> DataFrame:
+        even = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
+        return stage(verify(pairs.where(even), texts, idf, threshold, kept), "found")
 
     weights = nodes.select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
     parents = buckets.groupBy("node", "weight").agg(F.min("low").alias("a")).where("a < node")
-    links = links_of(parents.select("a", F.col("node").alias("b"), F.col("weight").alias("weight_b")).join(weights, "a"))
-    parts = components(links)
+    parents = parents.select("a", F.col("node").alias("b"), F.col("weight").alias("weight_b")).join(weights, "a")
+    labels = roots(linked(parents).select(F.col("b").alias("node"), F.col("a").alias("label")))
     buckets = buckets.drop("low")
     turn = 0
     while True:
-        labelled = stage(_labelled(buckets, parts), "labelled")
+        labelled = stage(_labelled(buckets, labels), "labelled")
         left = stage(_open(labelled), "open")
         total = left.agg(F.sum("rows").alias("rows"), F.sum("pairs").alias("pairs")).first()
         if not total["pairs"]:
@@ -245,15 +256,17 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             pivots = rest.groupBy("band").agg(drawn.alias("p"))
             pivots = pivots.select("band", F.col("p.node").alias("a"), F.col("p.weight").alias("weight_a"), F.col("p.label").alias("label_a"))
             pairs = pivots.join(side("b"), "band").where("label_a <> label_b")
-        new = links_of(pairs)
-        links = links.union(new)
-        parts = components(links)
+        found = linked(pairs.drop("band").distinct(), "label_a", "label_b")
+        merged = components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
+        merged = merged.select(F.col("node").alias("label"), F.col("label").alias("final"))
+        every = labels.union(merged.select("label", "label")).dropDuplicates(["node"])  # a label without a link yet is its own
+        labels = stage(every.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label")), "labels")
         if last:
             break
         turn += 1
 
     node_of = one.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest")
-    labelled = node_of.join(parts, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))
+    labelled = node_of.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))
     nulls = documents.where("doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
     return labelled.union(nulls)
 

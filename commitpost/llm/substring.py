@@ -135,13 +135,16 @@ def covered(documents: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> tup
     lists = anchors.join(shared, "anchor").groupBy("doc_id", "whole_sha256").agg(F.collect_set("anchor").alias("shared"))
     texts = documents.where("doc_id is not null").select("doc_id", "text").join(lists, "doc_id")
     candidates = stage(_windows(texts, span, anchor), "windows")
-    windows = candidates.select("doc_id", "whole_sha256", F.explode("windows").alias("w"))
-    windows = windows.select("doc_id", "whole_sha256", "w.*")
+    candidates = candidates.withColumn("text_key", F.xxhash64("whole_sha256"))
+    windows = candidates.select("doc_id", "text_key", F.explode("windows").alias("w")).select("doc_id", "text_key", "w.*")
     owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"))
     owners = owners.where("owner < high").select("h1", "h2", "owner")
-    lost = windows.join(owners, ["h1", "h2"]).where("doc_id > owner")
-    starts = lost.groupBy("doc_id", "whole_sha256").agg(F.collect_set("start").alias("starts"))
-    return base, candidates.select("doc_id", "whole_sha256", "text").join(starts, ["doc_id", "whole_sha256"])
+    # One more key than the aggregate has, so that both sides are dealt for the join alone: only then can Spark split
+    # the rows of a window that very many documents hold.
+    part = F.col("h1").bitwiseAND(F.lit(7)).alias("part")
+    lost = windows.select("*", part).join(owners.select("*", part), ["h1", "h2", "part"]).where("doc_id > owner")
+    starts = lost.groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts"))
+    return base, candidates.select("doc_id", "whole_sha256", "text", "text_key").join(starts, ["doc_id", "text_key"])
 
 
 def dedup(documents: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> DataFrame:
