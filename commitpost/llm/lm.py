@@ -1,7 +1,7 @@
 """Language-model scores: a small causal self-attention model over subword ids, and smoothed word counts.
 
 Tokens are the words of the lower-cased text and one end. The word counts give the base score, in one exact sum: the
-``HEAD`` most frequent words are sent to every task (16 MB whatever the corpus), all other words are joined.
+``HEAD`` most frequent words are sent to every task (8 MB whatever the corpus), all other words are joined.
 
 The model reads each word's subword ids. An id belongs to a class (by a leading space and the size of its rank); the
 attention model gives the probability of the next class from up to 15 ids before it, counts over all training texts
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..plans.stage import stage
 from .grams import SLICE_BYTES, Texts, Words, ragged, signed, slices
 
-HEAD = 1 << 20
+HEAD = 1 << 19
 WORDS_HELD = 600_000
 """Different words a task counts before it passes them on."""
 KEPT_WORDS = 500_000
@@ -363,6 +363,19 @@ def gather(documents: DataFrame, training: Column, name: str, pattern: str) -> D
     return known.mapInArrow(run, GATHERED).groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
 
 
+def _least_count(counts: DataFrame, head: int) -> int:
+    """The smallest power of 2 ** (1 / 8), rounded up, that at most ``head`` words reach."""
+    level = F.floor(F.log2("c") * 8).cast("int").alias("level")
+    sizes = {r["level"]: r["n"] for r in counts.groupBy(level).agg(F.count(F.lit(1)).alias("n")).collect()}  # 8 for each bit
+    total, least = 0, max(sizes, default=0) + 1
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > head:
+            break
+        least = at
+    return int(np.ceil(2 ** (least / 8) - 1e-9))
+
+
 SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_head bigint, head_log10 double, score double, tail array<struct<word:bigint,times:int>>"
 
 
@@ -375,7 +388,7 @@ def score(documents: DataFrame, training: Column, path: str, pattern: str, head:
     counts = gathered.where(F.col("kind") == WORD).select(F.col("key").alias("word"), F.col("n").alias("c"))
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, smoothed = int(totals["n"]), totals["n"] + 0.5 * (totals["v"] + 1)
-    frequent = counts.orderBy(F.desc("c"), "word").limit(head).toPandas().sort_values("word")
+    frequent = counts.where(F.col("c") >= _least_count(counts, head)).toPandas().sort_values("word")
     weights = gathered.where(F.col("kind") == WEIGHT).select("key", (F.col("total") / F.col("n")).alias("w")).toPandas()
     id_counts = gathered.where(F.col("kind") == ID).select("key", "n").toPandas()
     w = flat(start_weights()).astype(float)
