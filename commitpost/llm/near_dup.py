@@ -10,10 +10,11 @@ are candidates; a pair of weighted Jaccard similarity 0.8 escapes all bands once
 100,000. A link is a pair whose exact weighted Jaccard similarity, from both whole texts, reaches the threshold;
 classes are the connected parts.
 
-Texts with the same words are one node. Candidates of a bucket are not all paired: each node is first compared with
-one earlier node of its buckets, later with drawn pivots of its buckets, and only nodes that are still in different
-classes are compared again. Rounds go on until the pairs left are few against the rows, then all of them are compared;
-so no link between two classes is lost, and a large group of copies costs a few comparisons for each member.
+Texts with the same words are one node. Candidates of a bucket are never all paired. First each node is compared with
+the earliest node of its buckets, which settles groups of copies. Buckets that still hold two classes are thinned by a
+bound: what no other open text has cannot be shared, so two texts are at most as similar as the lighter of their
+shared weights allows. Texts that are alike only in a passage, or changed too much, drop out by themselves; of the
+others only pairs within the bound are compared. The bound is exact, so no link between two classes is lost.
 
 Cases: null text and text without words is alone in its class; texts of fewer than five words are linked to equal ones
 only; rows with a null id are alone, with a null class; rows of one id are one document, of which the text with the
@@ -34,9 +35,8 @@ from .grams import LETTERS_DIGITS, Texts, Words, mix, signed, slices
 SHINGLE, THRESHOLD = 5, 0.8
 HASHES, ROWS = 64, 4
 WORD_BUCKETS = 1 << 16
-PAIRS_PER_ROW = 4
-"""All remaining pairs are compared once they are fewer than this for each row of a bucket."""
-STAR_ROUNDS = 6
+THINNINGS = 2
+"""How often the bound is taken anew after texts have dropped out; any number gives the same classes."""
 
 SIGNATURES = "doc_id bigint, digest string, weight double, bands array<bigint>"
 
@@ -155,19 +155,18 @@ def similarities(left: pa.Array, right: pa.Array, idf: np.ndarray) -> np.ndarray
     return np.divide(shared, total - shared, out=np.zeros(n), where=total > shared)
 
 
-def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float, kept=()) -> DataFrame:
-    """The pairs (a, b, and the bigint columns ``kept``) whose texts reach the threshold. ``texts``: node, text."""
-    names = ["a", "b", *kept]
+def verify(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """The pairs (a, b) whose texts reach the threshold. ``texts``: node, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text_b", 1 << 20):
                 close = similarities(batch["text_a"], batch["text_b"], idf.value) >= threshold - 1e-9
-                yield batch.select(names).filter(pa.array(close))
+                yield batch.select(["a", "b"]).filter(pa.array(close))
 
     side = lambda s: texts.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.select(*names, "text_a", "text_b").mapInArrow(run, ", ".join(f"{n} bigint" for n in names))
+    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def roots(parents: DataFrame) -> DataFrame:
@@ -202,16 +201,30 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _labelled(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    return buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+def _with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _open(labelled: DataFrame) -> DataFrame:
-    """Buckets whose nodes are in more than one class, with the number of pairs between classes."""
-    sizes = labelled.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    n = sizes.groupBy("band").agg(F.sum("n").alias("rows"), F.sum(F.col("n") * F.col("n")).alias("squares"))
-    left = n.withColumn("pairs", (F.col("rows") * F.col("rows") - F.col("squares")) / 2)
-    return left.where("pairs > 0").select("band", "rows", "pairs")
+def _open(rows: DataFrame) -> DataFrame:
+    """The rows (bucket, node, ..., label) of buckets with more than one class."""
+    buckets = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    part = F.col("bucket").bitwiseAND(F.lit(7)).alias("part")  # a key the aggregate lacks: Spark may split large buckets
+    return rows.select("*", part).join(buckets.select("bucket", part), ["bucket", "part"], "left_semi").drop("part")
+
+
+def _own_weight(texts: DataFrame, idf) -> DataFrame:
+    """node, own: the weight of each text's shingles that no other of ``texts`` has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole):
+                docs, hashes, weights = shingles(words_of(batch["text"]), idf.value)
+                columns = [batch["node"].take(pa.array(docs)), pa.array(signed(hashes)), pa.array(weights)]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "shingle", "weight"])
+
+    found = texts.select("node", "text").mapInArrow(run, "node bigint, shingle bigint, weight double")
+    single = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
+    return single.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -230,40 +243,32 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     candidates = buckets.select("node").distinct().join(nodes.select("node", "digest"), "node")
     texts = stage(_texts_of(documents, candidates), "texts")
 
-    def linked(pairs: DataFrame, *kept: str) -> DataFrame:
-        even = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
-        return stage(verify(pairs.where(even), texts, idf, threshold, kept), "found")
-
     weights = nodes.select(F.col("node").alias("a"), F.col("weight").alias("weight_a"))
     parents = buckets.groupBy("node", "weight").agg(F.min("low").alias("a")).where("a < node")
     parents = parents.select("a", F.col("node").alias("b"), F.col("weight").alias("weight_b")).join(weights, "a")
-    labels = roots(linked(parents).select(F.col("b").alias("node"), F.col("a").alias("label")))
-    buckets = buckets.drop("low")
-    turn = 0
-    while True:
-        labelled = stage(_labelled(buckets, labels), "labelled")
-        left = stage(_open(labelled), "open")
-        total = left.agg(F.sum("rows").alias("rows"), F.sum("pairs").alias("pairs")).first()
-        if not total["pairs"]:
-            break
-        rest = labelled.join(left.select("band"), "band")
-        side = lambda s: rest.select("band", F.col("node").alias(s), F.col("weight").alias(f"weight_{s}"), F.col("label").alias(f"label_{s}"))
-        last = turn >= STAR_ROUNDS or total["pairs"] <= PAIRS_PER_ROW * total["rows"]
-        if last:
-            pairs = side("a").join(side("b"), "band").where("a < b and label_a <> label_b")
-        else:
-            drawn = F.min_by(F.struct("node", "weight", "label"), F.xxhash64("node", "band", F.lit(turn)))
-            pivots = rest.groupBy("band").agg(drawn.alias("p"))
-            pivots = pivots.select("band", F.col("p.node").alias("a"), F.col("p.weight").alias("weight_a"), F.col("p.label").alias("label_a"))
-            pairs = pivots.join(side("b"), "band").where("label_a <> label_b")
-        found = linked(pairs.drop("band").distinct(), "label_a", "label_b")
-        merged = components(found.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")))
-        merged = merged.select(F.col("node").alias("label"), F.col("label").alias("final"))
-        every = labels.union(merged.select("label", "label")).dropDuplicates(["node"])  # a label without a link yet is its own
-        labels = stage(every.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label")), "labels")
-        if last:
-            break
-        turn += 1
+    even = F.least("weight_a", "weight_b") >= (threshold - 1e-9) * F.greatest("weight_a", "weight_b")
+    links = verify(parents.where(even), texts, idf, threshold)
+    labels = roots(links.select(F.col("b").alias("node"), F.col("a").alias("label")))
+
+    # Linked texts weigh nearly the same, so they meet in one of their two levels of weight.
+    level = F.floor(F.log("weight") / -np.log(threshold)).cast("bigint")
+    leveled = buckets.select("node", "weight", "band", F.explode(F.array(level, level + 1)).alias("level"))
+    rows = leveled.select("node", "weight", F.xxhash64("band", "level").alias("bucket"))
+    rows = stage(_open(_with_labels(rows, labels)), "open")
+    for _ in range(THINNINGS):
+        own = _own_weight(texts.join(rows.select("node").distinct(), "node"), idf)
+        rows = rows.drop("shared").join(own, "node", "left")
+        rows = rows.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("own")
+        rows = stage(_open(rows.where(F.col("shared") >= (threshold - 1e-6) * F.col("weight"))), "open")
+    side = lambda s: rows.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "weight", "label", "shared")))
+    most = F.least("shared_a", "shared_b")
+    close = most >= (threshold - 1e-6) * (F.col("weight_a") + F.col("weight_b") - most)
+    pairs = side("a").join(side("b"), "bucket").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & close)
+    pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "label_a", "label_b").distinct(), "pairs")
+    links = verify(pairs, texts, idf, threshold).join(pairs, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("final"))
+    every = labels.union(merged.select("label", "label")).dropDuplicates(["node"])  # a label without a link yet is its own
+    labels = stage(every.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label")), "labels")
 
     node_of = one.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest")
     labelled = node_of.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))

@@ -156,13 +156,14 @@ def test_near_duplicates_against_brute_force(spark):
     assert len({got[i] for i, _ in docs}) < 0.6 * len(docs)
 
 
-def test_star_rounds_lose_no_link(spark, monkeypatch):
-    """The rounds by pivots, forced on small buckets, end with the same classes."""
-    docs = list(enumerate(family(60, 80, 9) + family(61, 30, 7)))
+def test_thinning_loses_no_link(spark):
+    """Texts around one passage, most of them unlike each other, a few linked beyond it."""
+    passage = prose(5, 60, [f"p{i}" for i in range(300)])
+    docs = [f"{passage} {prose(1000 + i, 20, [f'{i}x{j}' for j in range(99)])}" for i in range(120)]
+    docs += [f"{docs[i]} tail{i}" for i in range(0, 120, 9)] + [f"head{i} {docs[i]}" for i in range(0, 120, 13)] + family(61, 30, 9)
+    docs = list(enumerate(docs))
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
-    want = {r.doc_id: r.class_id for r in near_dup.classes(df).collect()}
-    monkeypatch.setattr(near_dup, "PAIRS_PER_ROW", 0)
-    assert {r.doc_id: r.class_id for r in near_dup.classes(df).collect()} == want == plain_classes(docs, near_dup.idf_table(df))
+    assert {r.doc_id: r.class_id for r in near_dup.classes(df).collect()} == plain_classes(docs, near_dup.idf_table(df))
 
 
 def test_signatures_estimate_the_similarity():
