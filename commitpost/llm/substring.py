@@ -132,15 +132,17 @@ def covered(documents: DataFrame, span: int = SPAN, anchor: int = ANCHOR) -> tup
     anchors = first.select("doc_id", "whole_sha256", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = shared.where("low < high").select("anchor")
-    lists = anchors.join(shared, "anchor").groupBy("doc_id", "whole_sha256").agg(F.collect_set("anchor").alias("shared"))
+    # One more key than the aggregate has, so that both sides are dealt for the join alone: only then can Spark split
+    # the rows of an anchor, or of a window below, that very many documents hold.
+    part = F.col("anchor").bitwiseAND(F.lit(7)).alias("part")
+    held = anchors.select("*", part).join(shared.select("anchor", part), ["anchor", "part"])
+    lists = held.groupBy("doc_id", "whole_sha256").agg(F.collect_set("anchor").alias("shared"))
     texts = documents.where("doc_id is not null").select("doc_id", "text").join(lists, "doc_id")
     candidates = stage(_windows(texts, span, anchor), "windows")
     candidates = candidates.withColumn("text_key", F.xxhash64("whole_sha256"))
     windows = candidates.select("doc_id", "text_key", F.explode("windows").alias("w")).select("doc_id", "text_key", "w.*")
     owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high"))
     owners = owners.where("owner < high").select("h1", "h2", "owner")
-    # One more key than the aggregate has, so that both sides are dealt for the join alone: only then can Spark split
-    # the rows of a window that very many documents hold.
     part = F.col("h1").bitwiseAND(F.lit(7)).alias("part")
     lost = windows.select("*", part).join(owners.select("*", part), ["h1", "h2", "part"]).where("doc_id > owner")
     starts = lost.groupBy("doc_id", "text_key").agg(F.collect_set("start").alias("starts"))
