@@ -25,22 +25,24 @@ def require_columns(df: DataFrame, columns=REQUIRED) -> None:
             raise ContractError(f"outbox table has no `{name}` column")
 
 
-def problem() -> Column:
-    """The first column that keeps a row from being an event, or null."""
-    checks = [F.when(F.col(c).isNull(), F.lit(f"{c}: missing")) for c in REQUIRED]
+def problem(columns=()) -> Column:
+    """The first column that keeps a row from being an event, or null. Of ``columns``, those that place an event in
+    its source are checked too."""
+    placed = [c for c in ("source", *POSITION) if c in columns]
+    checks = [F.when(F.col(c).isNull(), F.lit(f"{c}: missing")) for c in (*REQUIRED, *placed)]
     checks += [F.when(~text.is_json(F.col(c)), F.lit(f"{c}: not JSON")) for c in JSON_COLUMNS]
     return F.coalesce(*checks)
 
 
 def contract_violations(df: DataFrame) -> DataFrame:
     require_columns(df)
-    return df.withColumn("problem", problem()).where(F.col("problem").isNotNull())
+    return df.withColumn("problem", problem(df.columns)).where(F.col("problem").isNotNull())
 
 
 def valid_rows(df: DataFrame, strict: bool = False) -> DataFrame:
     """Rows that can be events. Others are left to ``contract_violations``; with ``strict`` one fails the job."""
     require_columns(df)
-    checked = df.withColumn("_problem", problem())
+    checked = df.withColumn("_problem", problem(df.columns))
     if strict:
         checked = checked.withColumn(
             "_problem",

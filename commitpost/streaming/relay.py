@@ -1,22 +1,26 @@
 """The relay as a streaming job: events in, broker calls out, and tables of what became of them.
 
-Every micro-batch writes, in this order: outcomes, dead letters, deliveries, the pending table, open positions,
-acknowledgements. A failure anywhere runs the micro-batch again: duplicates with the same ids, never a loss.
-Tables live under one folder, one ``step=`` partition per micro-batch or retry; a repeated micro-batch replaces
-its own partition, except in ``deliveries``, where copies stay visible as they would in a queue.
+Every step writes, in this order: rejects, outcomes, dead letters, deliveries, the pending table, acknowledgements. A
+failure anywhere runs the micro-batch again: duplicates with the same ids, never a loss. Tables live under one folder,
+one ``batch=``/``retry=`` partition per step: retry 0 is the micro-batch itself, later ones send again what is due. A
+repeated step replaces its own partition, except in ``deliveries``, where copies stay visible as they would in a queue.
+
+A row of the stream is an event, or, with ``progress`` set, a mark: its source has sent everything up to
+``commit_lsn`` (true), or nothing but a wake-up call (false).
 """
 
 from __future__ import annotations
 
+import datetime
+import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from commitpost.functions import text
+from commitpost.functions import outcome, text
 from commitpost.operators.messages import publish_requests
 from commitpost.operators.outcomes import new_dead_letters
 from commitpost.plans.batches import MAX_EVENTS
-from commitpost.plans.lookup import lookup_join
 from commitpost.plans.stage import stage
 from commitpost.sources.schema import EVENT_COLUMNS, problem
 
@@ -26,36 +30,53 @@ EVENT_SCHEMA = (
     "source string, id string, aggregate_type string, aggregate_id string, event_type string, payload string, "
     "headers string, created_at timestamp, occurred_at string, commit_lsn bigint, row_seq bigint, committed_at timestamp"
 )
-STEPS_PER_BATCH = 1_000_000
-"""Step ``n * STEPS_PER_BATCH`` is micro-batch n; the steps after it are retries of what it left pending."""
+STREAM_SCHEMA = f"{EVENT_SCHEMA}, progress boolean"
+DEAD_LETTER_BUCKETS = 64
+"""Dead letters are stored by a hash of their id, so a step reads the buckets of its own ids only."""
 
 TABLES = {
-    "rejects": "source string, id string, problem string",
+    "rejects": "source string, id string, commit_lsn bigint, row_seq bigint, problem string",
     "outcomes": OUTCOMES,
-    "deliveries": "source string, id string, attempt int, commit_lsn bigint, row_seq bigint, dedup_id string, body string",
+    "deliveries": "source string, id string, aggregate_type string, aggregate_id string, attempt int, commit_lsn bigint, "
+    "row_seq bigint, committed_at timestamp, sent_at timestamp, dedup_id string, body string",
     "dead_letters": "slot string, id string, envelope string, reason string, failed_at timestamp",
-    "pending": f"{EVENT_SCHEMA}, attempt int",
-    "open_positions": "source string, lsn bigint, open bigint",
-    "acks": "source string, acked bigint",
+    "pending": f"{EVENT_SCHEMA}, attempt int, retry_at timestamp",
+    "acks": "source string, acked bigint, seen bigint",
 }
 
+Step = tuple[int, int]
+"""(micro-batch, retry)"""
+
+
+def _earlier(step: Step) -> Column:
+    batch, retry = step
+    return (F.col("batch") < batch) | (F.col("batch") == batch) & (F.col("retry") < retry)
+
 
 def read_events(
     spark: SparkSession, path: str, format: str = "parquet", per_trigger: int | None = None, **options
 ) -> DataFrame:
     """Events from files as a stream, oldest files first; ``per_trigger`` files are taken at a time at most."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).format(format).options(**options)
+    reader = spark.readStream.schema(STREAM_SCHEMA).format(format).options(**options)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     return reader.load(path)
 
 
+def with_ticks(events: DataFrame, rows_per_second: int = 1) -> DataFrame:
+    """``events`` and wake-up calls: due events are sent again although nothing new arrives."""
+    ticks = events.sparkSession.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema.fields if f.name != "progress"]
+    return events.unionByName(ticks.select(*empty, F.lit(False).alias("progress")))
+
+
 @dataclass
 class Relay:
     """Publishes a stream of events through ``send`` and keeps its tables under ``path``.
 
-    A step needs only what the step before it wrote to ``pending``, ``open_positions`` and ``acks``: older
-    partitions of these can be dropped.
+    A step needs only what the step before it wrote to ``pending`` and ``acks``: older partitions of these can be
+    dropped. Failed events wait as ``backoff_ms`` says, ``initial_ms`` first and ``max_ms`` at most, and later events
+    of their keys wait with them.
     """
 
     spark: SparkSession
@@ -65,101 +86,123 @@ class Relay:
     max_events: int = MAX_EVENTS
     lanes: int = 16
     retries: int = 0
-    finished: int | None = None
+    initial_ms: int = outcome.INITIAL_BACKOFF_MS
+    max_ms: int = outcome.MAX_BACKOFF_MS
+    finished: Step | None = None
 
     def table(self, name: str) -> DataFrame:
-        """A table over all steps, with its ``step``."""
-        schema = f"{TABLES[name]}, step bigint"
+        """A table over all steps, with their ``batch`` and ``retry``."""
+        schema = f"{TABLES[name]}, batch bigint, retry bigint"
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
-    def at_step(self, name: str, step: int) -> DataFrame:
+    def at_step(self, name: str, step: Step) -> DataFrame:
         """What one step wrote; the other steps are not listed."""
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{name}/step={step}")
+        return self.spark.read.schema(TABLES[name]).parquet(self._folder(name, step))
+
+    def _folder(self, name: str, step: Step) -> str:
+        return f"{self.path}/{name}/batch={step[0]}/retry={step[1]}"
 
-    def write(self, name: str, rows: DataFrame, step: int, mode: str = "overwrite") -> DataFrame:
-        rows.write.mode(mode).parquet(f"{self.path}/{name}/step={step}")
+    def write(self, name: str, rows: DataFrame, step: Step, mode: str = "overwrite") -> DataFrame:
+        rows.write.mode(mode).parquet(self._folder(name, step))
         return self.at_step(name, step)
 
-    def last_step(self, before: int | None = None) -> int:
+    def last_step(self, before: Step | None = None) -> Step:
         """The last finished step; acknowledgements are written last. Looked up once, then remembered."""
         if self.finished is not None and (before is None or self.finished < before):
             return self.finished
-        steps = self.table("acks").select("step")
+        steps = self.table("acks").select("batch", "retry").distinct()
         if before is not None:
-            steps = steps.where(F.col("step") < before)
-        last = steps.agg(F.max("step")).first()[0]
-        return -1 if last is None else last
+            steps = steps.where(_earlier(before))
+        last = steps.agg(F.max(F.struct("batch", "retry"))).first()[0]
+        return (-1, 0) if last is None else (last["batch"], last["retry"])
 
     def prepare(self) -> None:
         """Empty tables, so that the first micro-batch has something to read."""
         for name, schema in TABLES.items():
-            empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("ignore").parquet(f"{self.path}/{name}/step=-1")
+            bucket = "/bucket=0" if name == "dead_letters" else ""
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self._folder(name, (-1, 0)) + bucket)
 
     def publish(self, new: DataFrame, batch: int) -> None:
         """One micro-batch of the stream."""
-        self.run_step(new, batch * STEPS_PER_BATCH)
+        self.run_step(new, (batch, 0))
 
-    def run_step(self, new: DataFrame, step: int) -> None:
-        """Everything still pending and everything new, in commit order per key."""
+    def run_step(self, new: DataFrame, step: Step) -> None:
+        """Everything due and everything new, in commit order per key."""
         previous = self.last_step(before=step)
+        now = F.lit(datetime.datetime.now(datetime.timezone.utc))
+        if "progress" not in new.columns:
+            new = new.withColumn("progress", F.lit(None).cast("boolean"))
         pending = self.at_step("pending", previous)
-        fresh = new.select(*EVENT_COLUMNS).dropDuplicates(["source", "id"]).withColumn("problem", problem())
+        checked = new.withColumn("problem", F.when(F.col("progress").isNull(), problem(EVENT_COLUMNS)))
+        taken = stage(checked.select(*EVENT_COLUMNS, "progress", "problem"), "taken")  # the stream is read once
+        self.write("rejects", taken.where("problem is not null").select("source", "id", "commit_lsn", "row_seq", "problem"), step)
+
+        # Copies of an event in one micro-batch: the one that was committed first.
+        earliest = F.min_by(F.struct(*EVENT_COLUMNS), F.struct("commit_lsn", "row_seq")).alias("e")
+        fresh = taken.where("progress is null and problem is null").groupBy("source", "id").agg(earliest).select("e.*")
         fresh = fresh.join(pending.select("source", "id"), ["source", "id"], "left_anti")
-        read = pending.withColumn("problem", F.lit(None).cast("string")).unionByName(
-            fresh.withColumn("attempt", F.lit(0))
-        )
-        read = stage(read, "work")  # the stream is read once
-        self.write("rejects", read.where(F.col("problem").isNotNull()).select("source", "id", "problem"), step)
-        work = read.where(F.col("problem").isNull()).drop("problem")
-
-        keyed = work.withColumn("order_key", text.ordering_key())
-        requests = publish_requests(
-            keyed, self.target, self.max_events, self.lanes, keep=["attempt", "order_key"], rows=read.count()
-        )
+        fresh = fresh.withColumn("attempt", F.lit(0)).withColumn("retry_at", F.lit(None).cast("timestamp"))
+        keyed = pending.unionByName(fresh).withColumn("order_key", text.ordering_key())
+        early = keyed.where(F.col("retry_at") > now).select("order_key").distinct().withColumn("early", F.lit(True))
+        work = stage(keyed.join(early, "order_key", "left"), "work")
+
+        due = work.where("early is null")
+        requests = publish_requests(due, self.target, self.max_events, self.lanes, keep=["attempt", "order_key"])
         outcomes = self.write("outcomes", send_in_order(requests, self.send, self.retries), step)
 
-        attempts = F.max("attempt").alias("attempts")
-        ended = F.max_by(F.struct("outcome", "reason"), "attempt").alias("last")
-        state = work.join(outcomes.groupBy("source", "id").agg(attempts, ended), ["source", "id"], "left")
-        state = stage(state, "state")
+        last = F.max_by(F.struct("outcome", "reason", "sent_at", F.col("attempt").alias("attempts")), "attempt").alias("last")
+        state = stage(work.join(outcomes.groupBy("source", "id").agg(last), ["source", "id"], "left"), "state")
 
         rejected = state.where(F.col("last.outcome") == "permanent").select(
             F.concat(F.lit("outbox_"), "source").alias("slot"), "id", text.envelope().alias("envelope"),
-            F.col("last.reason").alias("reason"), F.current_timestamp().alias("failed_at"),
+            F.col("last.reason").alias("reason"), F.col("last.sent_at").alias("failed_at"),
         )
-        stored = self.table("dead_letters").where(F.col("step") < step)
-        self.write("dead_letters", new_dead_letters(rejected, stored), step)
+        self.store_dead_letters(rejected, step)
 
         sent = state.where(F.col("last.outcome") == "ok").select(
-            "source", "id", F.col("attempts").alias("attempt"), "commit_lsn", "row_seq",
-            text.broker_id(text.dedup_key()).alias("dedup_id"), text.envelope().alias("body"),
+            "source", "id", "aggregate_type", "aggregate_id", F.col("last.attempts").alias("attempt"), "commit_lsn", "row_seq",
+            "committed_at", F.col("last.sent_at").alias("sent_at"), text.broker_id(text.dedup_key()).alias("dedup_id"),
+            text.envelope().alias("body"),
         )
         self.write("deliveries", sent, step, "append")
 
         settled = F.coalesce(F.col("last.outcome").isin("ok", "permanent"), F.lit(False))
-        waiting = state.where(~settled).withColumn("attempt", F.coalesce("attempts", "attempt"))
-        self.write("pending", waiting.select(*EVENT_COLUMNS, "attempt"), step)
-        self.acknowledge(state.withColumn("settled", settled), previous, step)
+        attempt = F.coalesce("last.attempts", "attempt")
+        jitter = outcome.jitter(F.col("source"), F.col("id"), attempt.cast("string"))
+        delay = outcome.backoff_ms(attempt - 1, jitter, self.initial_ms, self.max_ms)
+        again = F.timestamp_micros(F.unix_micros("last.sent_at") + delay * 1000)
+        waiting = state.where(~settled).withColumns({
+            "retry_at": F.when(F.col("last").isNull(), F.col("retry_at")).otherwise(again), "attempt": attempt,
+        })
+        waiting = self.write("pending", waiting.select(*EVENT_COLUMNS, "attempt", "retry_at"), step)
+        self.acknowledge(taken, waiting, previous, step)
         self.finished = step
 
-    def acknowledge(self, state: DataFrame, previous: int, step: int) -> None:
-        """Moves each source's safe position up to its first open one.
-
-        A micro-batch holds whole transactions and positions only rise, so the source has sent everything up to
-        the highest position seen. Positions settled beyond an open one are carried until it is passed.
+    def store_dead_letters(self, rejected: DataFrame, step: Step) -> None:
+        """Appends the dead letters that no earlier step has stored."""
+        bucket = F.pmod(F.xxhash64("slot", "id"), F.lit(DEAD_LETTER_BUCKETS)).alias("bucket")
+        rejected = stage(rejected.select("*", bucket), "rejected")
+        buckets = [r["bucket"] for r in rejected.select("bucket").distinct().collect()]  # DEAD_LETTER_BUCKETS at most
+        schema = f"{TABLES['dead_letters']}, batch bigint, retry bigint, bucket bigint"
+        stored = self.spark.read.schema(schema).parquet(f"{self.path}/dead_letters").where(F.col("bucket").isin(buckets))
+        stored = stored.where(_earlier(step))
+        new = new_dead_letters(rejected, stored) if buckets else rejected
+        new.write.mode("overwrite").partitionBy("bucket").parquet(self._folder("dead_letters", step))
+
+    def acknowledge(self, taken: DataFrame, waiting: DataFrame, previous: Step, step: Step) -> None:
+        """Moves each source's safe position: as far as it is known to be complete, and below its first open event.
+
+        A source is complete up to its latest mark, and below the highest position seen: more events of that one
+        may still come. ``seen`` carries this from step to step, one row for each source.
         """
-        carried = self.at_step("open_positions", previous).select("source", "lsn", F.lit(0).alias("open"))
-        seen = state.select("source", F.col("commit_lsn").alias("lsn"), (~F.col("settled")).cast("int").alias("open"))
-        counted = carried.unionByName(seen).groupBy("source", "lsn").agg(F.sum("open").alias("open"))
-        positions = stage(counted, "positions")
-        ends = positions.groupBy("source").agg(F.min(F.when(F.col("open") > 0, F.col("lsn"))).alias("blocked"))
-        known = lookup_join(positions, ends, ["source"], F.col("lsn"))
-        passed = F.col("blocked").isNull() | (F.col("lsn") < F.col("blocked"))
-        moved = known.where(passed).groupBy("source").agg(F.max("lsn").alias("acked"))
-        self.write("open_positions", known.where(~passed).select("source", "lsn", "open"), step)
-        before = self.at_step("acks", previous)
-        self.write("acks", moved.unionByName(before).groupBy("source").agg(F.max("acked").alias("acked")), step)
+        complete = F.when(F.col("progress"), F.col("commit_lsn")).when(F.col("progress").isNull(), F.col("commit_lsn") - 1)
+        reached = taken.where("source is not null").select("source", complete.alias("seen")).where("seen is not null")
+        carried = self.at_step("acks", previous)
+        known = carried.select("source", "acked", "seen").unionByName(reached.withColumn("acked", F.lit(None).cast("bigint")))
+        known = known.groupBy("source").agg(F.max("acked").alias("before"), F.max("seen").alias("seen"))
+        first_open = waiting.groupBy("source").agg(F.min("commit_lsn").alias("open"))
+        safe = F.greatest("before", F.least("seen", F.col("open") - 1))  # nulls are left out
+        self.write("acks", known.join(first_open, "source", "left").select("source", safe.alias("acked"), "seen"), step)
 
     def start(self, events: DataFrame, checkpoint: str, **trigger):
         """Starts the stream; ``trigger`` as in ``DataStreamWriter.trigger`` (default: what is there, then stop)."""
@@ -167,10 +210,16 @@ class Relay:
         writer = events.writeStream.foreachBatch(self.publish).option("checkpointLocation", checkpoint)
         return writer.trigger(**(trigger or {"availableNow": True})).start()
 
-    def retry_pending(self) -> bool:
-        """Publishes what is pending, without new events. True if something is pending still."""
-        step = self.last_step() + 1
-        self.run_step(self.spark.createDataFrame([], EVENT_SCHEMA), step)
+    def retry_pending(self, wait: bool = True) -> bool:
+        """Sends again what is due, without new events; with ``wait``, first waits for the earliest to be due. True if
+        something is pending still. It makes steps of its own, so no stream of this relay may run meanwhile; a
+        running stream retries by itself if it has ticks."""
+        last = self.last_step()
+        earliest = self.at_step("pending", last).agg(F.min("retry_at")).select(F.unix_micros("min(retry_at)")).first()[0]
+        if wait and earliest is not None:
+            time.sleep(max(0.0, earliest / 1e6 - time.time()))
+        step = (last[0], last[1] + 1)
+        self.run_step(self.spark.createDataFrame([], STREAM_SCHEMA), step)
         return not self.at_step("pending", step).isEmpty()
 
 

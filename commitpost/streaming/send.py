@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from commitpost.functions.outcome import CALL_TOO_LONG, CONTENT_ERRORS, NOT_REPORTED
 
 CALL = ["source", "lane", "round", "batch", "call"]
-OUTCOMES = "source string, id string, attempt int, outcome string, reason string"
+OUTCOMES = "source string, id string, attempt int, outcome string, reason string, sent_at timestamp"
 ROWS_OUT = 10_000
 
 Send = Callable[[list[dict]], Iterable[tuple]]
@@ -60,13 +60,14 @@ def send_in_order(requests: DataFrame, send: Send, retries: int = 0) -> DataFram
                 for entry in entries:
                     entry["attempt"] += 1
                 found = judged(entries, send)
+                at = pd.Timestamp.now(tz="UTC")
                 for entry in entries:
-                    yield entry["source"], entry["id"], entry["attempt"], *found[entry["index"]]
+                    yield entry["source"], entry["id"], entry["attempt"], *found[entry["index"]], at
                 entries = [entry for entry in entries if found[entry["index"]][0] == "retryable"]
             stopped.update(entry["order_key"] for entry in entries)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["source", "id", "attempt", "outcome", "reason"]
+        names = ["source", "id", "attempt", "outcome", "reason", "sent_at"]
         made: list[tuple] = []
         for attempt in attempts(batches):
             made.append(attempt)
