@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .grams import slices
 
 NO_RANK = 1 << 60
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 """Pieces whose ids a worker keeps; when there are more, it starts over."""
 KEPT_LENGTH = 64
 """Longer pieces (in bytes) are rare; they are not kept."""
@@ -196,10 +196,22 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def encoded_and_checked(documents: DataFrame, path: str, pattern: str) -> DataFrame:
     """``documents`` with ids, n_tokens, and round_trip: whether the ids decode to the text (a null text to nothing)."""
-    both = decode(encode(documents, path, pattern), path, pattern)
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    checked = both.withColumn("n_tokens", F.size("ids").cast("bigint")).withColumn("round_trip", same)
-    return checked.drop("decoded")
+    name = _add(documents, path)
+    rows = documents.drop("ids", "n_tokens", "round_trip")
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
+    schema = T.StructType([*rows.schema.fields, *added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = _ranks(name, pattern)
+        for whole in batches:
+            for batch in slices(whole):
+                texts = [text or "" for text in batch["text"].to_pylist()]
+                ids = [ranks.encode(text) for text in texts]
+                same = [ranks.decode(found) == text.encode() for found, text in zip(ids, texts)]
+                new = [pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(same)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema.names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def digests(documents: DataFrame, path: str, pattern: str) -> DataFrame:

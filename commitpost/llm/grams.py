@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 """Texts are worked on in slices of about this size, so that memory depends on the longest text, not on the batch."""
 
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -38,7 +38,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             steps[0] = 1
             pair.append(np.cumprod(steps, dtype=np.uint64))
         have = (pair[0], pair[1])
-        if size <= SLICE_BYTES * 4:
+        if size <= SLICE_BYTES * 8:
             _powers[base] = have
     return have
 

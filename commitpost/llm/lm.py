@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.stage import stage
-from .grams import SLICE_BYTES, Texts, Words, ragged, signed, slices
+from .grams import Texts, Words, ragged, signed, slices
 
 HEAD = 1 << 19
 WORDS_HELD = 600_000
@@ -407,7 +407,7 @@ def score(documents: DataFrame, training: Column, path: str, pattern: str, head:
         log_c, scorer = np.log10(c + 0.5), Scorer(model)
         ends = ids[subwords.end]  # one for each training text
         for whole in batches:
-            for batch in slices(whole, limit=SLICE_BYTES // 2):
+            for batch in slices(whole):
                 tokens = Tokens(batch["text"], subwords)
                 rows, counts = batch.num_rows, tokens.words.counts
                 mine = signed(tokens.hashes)
