@@ -260,11 +260,15 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows = rows.drop("shared").join(own, "node", "left")
         rows = rows.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("own")
         rows = stage(_open(rows.where(F.col("shared") >= (threshold - 1e-6) * F.col("weight"))), "open")
-    side = lambda s: rows.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "weight", "label", "shared")))
+    lists = rows.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))  # two for each band at most
+    rows = rows.join(lists, "node")
+    side = lambda s: rows.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "weight", "label", "shared", "buckets")))
     most = F.least("shared_a", "shared_b")
     close = most >= (threshold - 1e-6) * (F.col("weight_a") + F.col("weight_b") - most)
-    pairs = side("a").join(side("b"), "bucket").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & close)
-    pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "label_a", "label_b").distinct(), "pairs")
+    apart = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    once = F.col("bucket") == F.array_min(F.array_intersect("buckets_a", "buckets_b"))  # a pair's first common bucket
+    pairs = side("a").join(side("b"), "bucket").where(apart & close & once)
+    pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "label_a", "label_b"), "pairs")
     links = verify(pairs, texts, idf, threshold).join(pairs, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
     merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("final"))
     every = labels.union(merged.select("label", "label")).dropDuplicates(["node"])  # a label without a link yet is its own
