@@ -21,7 +21,7 @@ NOT_REPORTED = "missing from the broker response"
 
 
 def entry_failure(sender_fault: Column, code: Column) -> Column:
-    """Only content the broker will never accept is permanent: a stall is visible, a skipped event is not."""
+    """Permanent if the broker blames the content; anything else is worth another try."""
     content = code.rlike(f"({'|'.join(CONTENT_ERRORS)})$")
     return F.when(sender_fault & content, "permanent").otherwise("retryable")
 

@@ -18,7 +18,7 @@ ESCAPED_WITH_LETTERS = ("0b", "0e", "0f", "1a", "1b", "1c", "1d", "1e", "1f")
 
 
 def ordering_key() -> Column:
-    """Events sharing it reach the broker in commit order."""
+    """The unit of order: one aggregate of one source."""
     return F.concat_ws(":", "source", "aggregate_type", "aggregate_id")
 
 
@@ -75,7 +75,7 @@ def rfc3339(text: Column) -> Column:
 
 
 def broker_id(value: Column) -> Column:
-    """Group and deduplication ids allow 128 visible ASCII characters; a clipped key can only merge groups."""
+    """The key in the alphabet and length of broker ids. Keys that become equal share a group, which keeps their order."""
     return F.left(F.regexp_replace(value, r"[^\x21-\x7E]", "_"), F.lit(BROKER_ID_CHARS))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from commitpost.plans.scan import Agg, count, running
 from commitpost.plans.stage import stage
 
-from .reports import MINUTE_US, SERIES, counter_steps, source_up, trailing_sums
+from .reports import MINUTE_US, counter_steps, series, source_up, trailing_sums
 
 # Thresholds and hold times of the rules, and how old a sample may get before its series is gone.
 SLOT_LAG_BYTES = 512 * 1024 * 1024
@@ -68,5 +68,5 @@ def publish_stalled(samples: DataFrame, minutes: int = STALL_MINUTES) -> DataFra
 def poison_events(samples: DataFrame, minutes: int = POISON_MINUTES) -> DataFrame:
     """Stretches in which a dead letter was counted within the last minutes."""
     gains = counter_steps(gauge(samples, "dead_letters_total"))
-    recent = trailing_sums(gains, SERIES, "gain", {"recent": minutes})
+    recent = trailing_sums(gains, series(gains), "gain", {"recent": minutes})
     return held(recent, ["replica", "source"], F.col("recent") > 0, 0)

@@ -10,7 +10,7 @@ from commitpost.plans.scan import Agg, count, log_levels, running, time_levels
 
 
 def publish_outcomes(requests: DataFrame, responses: DataFrame) -> DataFrame:
-    """One outcome per request ``(call, index)``. What the broker does not report is retried, never assumed sent.
+    """One outcome per request ``(call, index)``. A request without an answer is retryable.
 
     Answers whose index is not a number or was never sent are ignored; a failure wins over a success.
     """

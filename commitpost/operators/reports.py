@@ -139,14 +139,16 @@ def slot_lag(slots: DataFrame) -> DataFrame:
     return slots.groupBy("source").agg(F.max(lag).alias("lag_bytes"))
 
 
-SERIES = ["replica", "metric", "source", "kind"]
+def series(samples: DataFrame) -> list[str]:
+    """What names a counter; one of each sink, if samples tell sinks apart."""
+    return [c for c in ("replica", "metric", "source", "sink", "kind") if c in samples.columns]
 
 
 def counter_steps(samples: DataFrame, limit: int | None = None) -> DataFrame:
     """What each counter gained since its sample before; after a reset it gained all it shows."""
     day = [[F.floor(F.col("at_us") / (1_440 * MINUTE_US))], [F.col("at_us")]]
     before = {"previous": Agg("last", F.col("value"))}
-    seen = running(samples, SERIES, ["at_us"], before, day, before=True, limit=limit)
+    seen = running(samples, series(samples), ["at_us"], before, day, before=True, limit=limit)
     gain = F.when(F.col("value") >= F.col("previous"), F.col("value") - F.col("previous")).otherwise(F.col("value"))
     return seen.where(F.col("previous").isNotNull()).withColumn("gain", gain).drop("previous")
 
@@ -173,7 +175,7 @@ def trailing_sums(rows: DataFrame, by: list[str], value: str, minutes: dict[str,
 
 def counter_increase(samples: DataFrame, minutes: dict[str, int]) -> DataFrame:
     """Increase of every counter over trailing windows: plain sums of gains, nothing extrapolated."""
-    return trailing_sums(counter_steps(samples), SERIES, "gain", minutes)
+    return trailing_sums(counter_steps(samples), series(samples), "gain", minutes)
 
 
 def rate_per_minute(delivered: DataFrame) -> DataFrame:

@@ -10,9 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .scan import HOT_ROWS, count, log_levels, running
 from .stage import stage
 
-# The default batch, the buffer ahead of a publisher, and the limits of one broker call.
+# The default batch, and the limits of one broker call.
 MAX_EVENTS = 10
-BUFFER_EVENTS = 1_024
 CALL_ENTRIES = 10
 CALL_BYTES = 262_144
 
@@ -54,11 +53,12 @@ def plan_batches(
     )
 
 
-def plan_buffers(events: DataFrame, max_events: int = MAX_EVENTS, buffer: int = BUFFER_EVENTS) -> DataFrame:
+def plan_buffers(events: DataFrame, max_events: int, buffer: int) -> DataFrame:
     """Oldest-first batches out of a bounded buffer: fill it, empty it batch by batch, fill it again.
 
     Each batch takes the oldest events left whose key it does not hold yet. A buffer is at most ``buffer``
-    rows, whatever the size of the source or of a key.
+    rows, whatever the size of the source or of a key. No batch spans two buffers, so ``buffer`` is a choice of the
+    caller that changes the batches: what its publisher holds in memory.
     """
     narrow = events.select(*KEY, "id", "commit_lsn", "row_seq")
     placed = running(narrow, ["source"], ["commit_lsn", "row_seq"], {"_n": count()}, log_levels())

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from commitpost.functions import text
 from commitpost.plans.scan import Agg, running
 
-from .schema import EVENT_COLUMNS, REQUIRED
+from .schema import EVENT_COLUMNS, JSON_COLUMNS, REQUIRED
 
 # The message layout of the database's logical replication, positions from 1.
 OID_AT, OID_BYTES = 2, 4
@@ -25,9 +25,9 @@ def chunks():
     return [[F.shiftright("wal_pos", 24)], [F.col("wal_pos")]]
 
 
-def uint(data: Column, start: Column | int, size: int) -> Column:
+def uint(data: Column, start: Column | int, size: int, kind: str = "int") -> Column:
     at = F.lit(start) if isinstance(start, int) else start
-    return F.conv(F.hex(F.substring(data, at, F.lit(size))), 16, 10).cast("int")
+    return F.conv(F.hex(F.substring(data, at, F.lit(size))), 16, 10).cast(kind)
 
 
 def letter(data: Column, start: Column | int) -> Column:
@@ -76,15 +76,17 @@ def insert_values(data: Column, names: Column) -> Column:
 
     def read(state: Column, i: Column) -> Column:
         kind = letter(data, state["at"])
-        length = uint(data, state["at"] + 1, LENGTH_BYTES)
+        length = F.coalesce(uint(data, state["at"] + 1, LENGTH_BYTES, "bigint"), F.lit(0))
+        fits = length <= size - state["at"] - LENGTH_BYTES  # a length of 32 bits may be larger than any message
+        length = F.when(fits, length).otherwise(size).cast("int")
         value = F.substring(data, state["at"] + 1 + LENGTH_BYTES, length).cast("string")
         is_text = kind == TEXT_VALUE
-        after = state["at"] + 1 + F.when(is_text, F.coalesce(length, F.lit(0)) + LENGTH_BYTES).otherwise(0)
+        after = state["at"] + 1 + F.when(is_text, length + LENGTH_BYTES).otherwise(0)
         error = (
             F.when(state["error"].isNotNull(), state["error"])
-            .when(after > size + 1, F.lit("message is truncated"))
+            .when(after > size + 1, F.lit("the message ends too early"))
             .when(is_text & ~F.is_valid_utf8(value), F.lit("value is not UTF-8"))
-            .when(~kind.isin(NULL_VALUE, TEXT_VALUE), F.concat(F.lit("unsupported value kind in "), F.element_at(names, i)))
+            .when(~kind.isin(NULL_VALUE, TEXT_VALUE), F.concat(F.lit("value kind not read in "), F.element_at(names, i)))
         )
         return F.struct(
             after.alias("at"),
@@ -101,13 +103,11 @@ def insert_values(data: Column, names: Column) -> Column:
         reason = F.lit(message) if isinstance(message, str) else message
         return F.struct(nothing.alias("values"), reason.alias("error"))
 
-    arity = F.concat(
-        F.lit("insert has "), count.cast("string"), F.lit(" columns, its relation has "), F.size(names).cast("string")
-    )
+    arity = F.concat(count.cast("string"), F.lit(" values for "), F.size(names).cast("string"), F.lit(" columns"))
     return (
-        F.when(names.isNull(), failed("insert before its relation"))
-        .when(size < FIRST_VALUE_AT - 1, failed("message is truncated"))
-        .when(letter(data, TUPLE_KIND_AT) != NEW_TUPLE, failed("insert without a new tuple"))
+        F.when(names.isNull(), failed("relation not seen yet"))
+        .when(size < FIRST_VALUE_AT - 1, failed("the message ends too early"))
+        .when(letter(data, TUPLE_KIND_AT) != NEW_TUPLE, failed("no new row in the insert"))
         .when(count != F.size(names), failed(arity))
         .otherwise(read_all)
     )
@@ -172,7 +172,8 @@ def decoded_events(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = decode(assemble(log))
     missing = F.coalesce(
         "error",
-        *(F.when(column_of(c).isNull(), F.lit(f"outbox row has no `{c}` value")) for c in REQUIRED),
+        *(F.when(column_of(c).isNull(), F.lit(f"no value for `{c}`")) for c in REQUIRED),
+        *(F.when(~text.is_json(column_of(c)), F.lit(f"{c}: not JSON")) for c in JSON_COLUMNS),
     )
     checked = rows.withColumn("error", missing)
     rejects = checked.where(F.col("error").isNotNull()).select("source", "wal_pos", "error")

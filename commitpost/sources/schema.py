@@ -29,7 +29,10 @@ def problem(columns=()) -> Column:
     """The first column that keeps a row from being an event, or null. Of ``columns``, those that place an event in
     its source are checked too."""
     placed = [c for c in ("source", *POSITION) if c in columns]
-    checks = [F.when(F.col(c).isNull(), F.lit(f"{c}: missing")) for c in (*REQUIRED, *placed)]
+    absent = {c: F.col(c).isNull() for c in (*REQUIRED, *placed)}
+    if "occurred_at" in columns:  # the text of a time that no timestamp can hold is enough
+        absent["created_at"] &= F.col("occurred_at").isNull()
+    checks = [F.when(missing, F.lit(f"{c}: missing")) for c, missing in absent.items()]
     checks += [F.when(~text.is_json(F.col(c)), F.lit(f"{c}: not JSON")) for c in JSON_COLUMNS]
     return F.coalesce(*checks)
 

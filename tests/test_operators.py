@@ -19,7 +19,7 @@ def test_outcomes_fail_safe(spark):
             ("c", "2", False, False, "InternalError", "late"),
             ("c", "x", True, False, "", ""),
             ("c", "9", True, False, "", ""),
-            ("c", "3", False, True, "KMS.AccessDeniedException", None),
+            ("c", "3", False, True, "OverLimit", None),
         ],
         "call string, index string, ok boolean, sender_fault boolean, code string, message string",
     )
@@ -28,7 +28,7 @@ def test_outcomes_fail_safe(spark):
         0: ("ok", None),
         1: ("permanent", "InvalidMessageContents: bad"),
         2: ("retryable", "InternalError: late"),
-        3: ("retryable", "KMS.AccessDeniedException: "),
+        3: ("retryable", "OverLimit: "),
         4: ("retryable", "missing from the broker response"),
     }
     audit = {(r["index"], r["problem"]) for r in outcomes.answer_audit(requests, answers).collect()}
@@ -46,7 +46,7 @@ def test_a_failed_call_is_retried_unless_one_entry_is_too_long(spark):
 
 def test_dead_letters_are_stored_once(spark):
     shape = "slot string, id string, envelope string, reason string, failed_at timestamp"
-    at = [f"2026-01-01 00:00:0{i}" for i in range(3)]
+    at = [f"2031-01-02 00:00:0{i}" for i in range(3)]
     failed = spark.sql(
         f"select * from values ('s','1','{{}}','late',timestamp'{at[2]}'),('s','1','{{}}','first',timestamp'{at[0]}'),"
         f"('s','2','{{}}','r',timestamp'{at[1]}') as v(slot, id, envelope, reason, failed_at)"
@@ -88,11 +88,11 @@ def test_tenant_names(spark):
 @pytest.mark.parametrize(
     ("row", "problem"),
     [
-        (("acme", "postgres://relay@db/{database}", "outbox_{database}", "pub"), None),
-        (("acme", "postgres://relay@db/app", "outbox_{database}", "pub"), "dsn is not a template"),
-        (("acme", "postgres://relay@db/{database}", "outbox_slot", "pub"), "slot is not a template"),
-        (("acme-corp", "postgres://relay@db/{database}", "outbox_{database}", "pub"), "not a slot name"),
-        (("acme", "postgres://relay@db/{database}", "outbox_{database}", "pub_{database}"), "publication is a template"),
+        (("north", "postgres://courier@pg7.test/{database}", "outbox_{database}", "pub"), None),
+        (("north", "postgres://courier@pg7.test/ledger", "outbox_{database}", "pub"), "dsn is not a template"),
+        (("north", "postgres://courier@pg7.test/{database}", "outbox_slot", "pub"), "slot is not a template"),
+        (("north-2", "postgres://courier@pg7.test/{database}", "outbox_{database}", "pub"), "not a slot name"),
+        (("north", "postgres://courier@pg7.test/{database}", "outbox_{database}", "pub_{database}"), "publication is a template"),
     ],
 )
 def test_tenant_registry(spark, row, problem):
@@ -101,23 +101,23 @@ def test_tenant_registry(spark, row, problem):
     got = tenants.expand_tenants(rows).collect()
     assert [r["problem"] for r in got] == [problem]
     if problem is None:
-        assert (got[0]["dsn"], got[0]["slot"]) == ("postgres://relay@db/acme", "outbox_acme")
+        assert (got[0]["dsn"], got[0]["slot"]) == ("postgres://courier@pg7.test/north", "outbox_north")
 
 
 def test_without_databases_the_list_is_one_source(spark):
     shape = "group_id int, database string, dsn_template string, slot_template string, publication string"
     rows = [
-        (1, "", "postgres://relay@db/app", "outbox_slot", "p"), (1, " ", "postgres://relay@db/app", "outbox_slot", "p"),
-        (2, "", "postgres://relay@db/{database}", "outbox_slot", "p"),
+        (1, "", "postgres://courier@pg7.test/ledger", "outbox_slot", "p"), (1, " ", "postgres://courier@pg7.test/ledger", "outbox_slot", "p"),
+        (2, "", "postgres://courier@pg7.test/{database}", "outbox_slot", "p"),
     ]
     got = {r["group_id"]: r for r in tenants.expand_tenants(spark.createDataFrame(rows, shape)).collect()}
-    assert (got[1]["source"], got[1]["slot"], got[1]["problem"]) == ("app", "outbox_slot", None)
+    assert (got[1]["source"], got[1]["slot"], got[1]["problem"]) == ("ledger", "outbox_slot", None)
     assert got[2]["problem"] == "no databases for the templates"
 
 
 def test_tenants_need_names_of_their_own(spark):
     shape = "group_id int, database string, dsn_template string, slot_template string, publication string"
-    same = "postgres://relay@{database}.internal/app"
+    same = "postgres://courier@{database}.pg.test/ledger"
     rows = [(1, "a", same, "o_{database}", "p"), (1, "b", same, "o_{database}", "p")]
     got = tenants.expand_tenants(spark.createDataFrame(rows, shape)).collect()
     assert {r["problem"] for r in got} == {"several sources of one name"}
@@ -142,11 +142,11 @@ def insert(values, kinds=None):
 
 def log(spark, rows):
     shape = "source string, wal_pos bigint, kind string, relation_oid bigint, data binary, end_lsn bigint, commit_micros bigint"
-    full = [("acme", pos, kind, t.RELATION_OID, data, end, at) for pos, kind, data, end, at in rows]
+    full = [("north", pos, kind, t.RELATION_OID, data, end, at) for pos, kind, data, end, at in rows]
     return spark.createDataFrame(full, shape)
 
 
-VALUES = ["e1", "policy", "São", "policy.approved", '{"n": 1}', "{}", "2026-09-28 14:03:11.5+00"]
+VALUES = ["e1", "parcel", "Żar", "parcel.weighed", '{"n": 1}', "{}", "2031-02-07 21:45:09.5+00"]
 
 
 def test_change_log_gives_committed_events(spark):
@@ -163,8 +163,8 @@ def test_change_log_gives_committed_events(spark):
     events_, rejects = changelog.decoded_events(log(spark, rows))
     got = {r["id"]: r for r in events_.collect()}
     assert set(got) == {"e1", "e2"} and rejects.count() == 0
-    assert (got["e1"]["occurred_at"], got["e2"]["occurred_at"]) == ("2026-09-28T14:03:11.5Z", "infinity")
-    assert (got["e1"]["aggregate_id"], got["e1"]["payload"], got["e1"]["commit_lsn"]) == ("São", '{"n": 1}', 50)
+    assert (got["e1"]["occurred_at"], got["e2"]["occurred_at"]) == ("2031-02-07T21:45:09.5Z", "infinity")
+    assert (got["e1"]["aggregate_id"], got["e1"]["payload"], got["e1"]["commit_lsn"]) == ("Żar", '{"n": 1}', 50)
     assert got["e2"]["headers"] == "{}" and got["e2"]["commit_lsn"] == 130
     marks = [r["lsn"] for r in changelog.progress_marks(log(spark, rows)).orderBy("wal_pos").collect()]
     assert marks == [50, 60, 130]
@@ -173,13 +173,13 @@ def test_change_log_gives_committed_events(spark):
 @pytest.mark.parametrize(
     ("message", "error"),
     [
-        (insert(VALUES)[:-3], "message is truncated"),
-        (insert(VALUES)[:6], "message is truncated"),
-        (insert(VALUES[:3]), "insert has 3 columns, its relation has 7"),
-        (insert(VALUES).replace(b"N", b"K", 1), "insert without a new tuple"),
-        (insert(VALUES)[:8] + b"u" + insert(VALUES)[9:], "unsupported value kind in id"),
+        (insert(VALUES)[:-3], "the message ends too early"),
+        (insert(VALUES)[:6], "the message ends too early"),
+        (insert(VALUES[:3]), "3 values for 7 columns"),
+        (insert(VALUES).replace(b"N", b"K", 1), "no new row in the insert"),
+        (insert(VALUES)[:8] + b"u" + insert(VALUES)[9:], "value kind not read in id"),
         (insert([b"\xff\xfe"] + VALUES[1:]), "value is not UTF-8"),
-        (insert([None] + VALUES[1:]), "outbox row has no `id` value"),
+        (insert([None] + VALUES[1:]), "no value for `id`"),
     ],
 )
 def test_unreadable_inserts_say_why(spark, message, error):
@@ -191,7 +191,7 @@ def test_unreadable_inserts_say_why(spark, message, error):
     assert events_.count() == 0
     assert [r["error"] for r in rejects.collect()] == [error]
     unknown = changelog.decoded_events(log(spark, [r for r in rows if r[1] != "R"]))[1]
-    assert [r["error"] for r in unknown.collect()] == ["insert before its relation"]
+    assert [r["error"] for r in unknown.collect()] == ["relation not seen yet"]
 
 
 def test_reconciliation(spark):
@@ -256,3 +256,24 @@ def test_readiness_is_any_source_and_all_sinks(spark):
     df = spark.createDataFrame(flags, "replica string, source_ready boolean, sink_ready boolean")
     got = {r["replica"]: r["ready"] for r in reports.readiness(df, ["replica"]).collect()}
     assert got == {"a": True, "b": False, "c": False}
+
+
+def test_counters_of_two_sinks_are_apart(spark):
+    rows = [(minute * 60_000_000, "r", "sent", "s", sink, "", base + minute) for minute in range(5) for sink, base in (("queue", 10.0), ("log", 900.0))]
+    samples = spark.createDataFrame(rows, "at_us bigint, replica string, metric string, source string, sink string, kind string, value double")
+    got = reports.counter_increase(samples, {"up": 60}).where("at_us = 240000000").collect()
+    assert sorted((r["sink"], r["up"]) for r in got) == [("log", 4.0), ("queue", 4.0)]
+
+
+@pytest.mark.parametrize("length", [b"\xff\xff\xff\xff", b"\x7f\xff\xff\xff"])
+def test_a_huge_length_is_one_reject(spark, length):
+    bad = insert(VALUES)
+    bad = bad[:10] + length + bad[14:]
+    broken = insert([*VALUES[:4], "{", *VALUES[5:]])
+    rows = [
+        (1, "B", None, None, None), (2, "R", t.relation_message(NAMES), None, None), (3, "I", bad, None, None),
+        (4, "I", insert(VALUES), None, None), (5, "I", broken, None, None), (6, "C", None, 50, 1_000_000),
+    ]
+    events_of, rejects = changelog.decoded_events(log(spark, rows))
+    assert [r["row_seq"] for r in events_of.collect()] == [4]
+    assert sorted((r["wal_pos"], r["error"]) for r in rejects.collect()) == [(3, "the message ends too early"), (5, "payload: not JSON")]

@@ -1,4 +1,4 @@
-"""Batches, calls, acknowledgement, lookups and deduplication against sequential replays."""
+"""Batches, calls, acknowledgement, lookups and deduplication against their definitions."""
 
 import random
 from collections import defaultdict
@@ -47,32 +47,29 @@ def test_split_batches_are_the_plain_ones(backlog):
     assert sorted(map(tuple, hot)) == sorted(map(tuple, plain))
 
 
-def greedy(keys, max_events):
-    """Batch of each event: take the oldest of distinct keys again and again."""
-    left, found, number = list(enumerate(keys)), {}, 0
-    while left:
-        taken, rest = set(), []
-        for i, key in left:
-            if len(taken) < max_events and key not in taken:
-                taken.add(key)
-                found[i] = number
-            else:
-                rest.append((i, key))
-        left, number = rest, number + 1
-    return [found[i] for i in range(len(keys))]
-
-
-def test_buffers_are_taken_oldest_first(backlog):
-    plan = batches.plan_buffers(backlog, max_events=4, buffer=100).collect()
+def test_buffers_leave_no_older_event_behind(backlog):
+    """A batch an event could have joined, had there been room, is full of older ones."""
+    size, buffer = 4, 100
+    plan = batches.plan_buffers(backlog, size, buffer).collect()
     keys = {r["id"]: r["aggregate_id"] for r in backlog.collect()}
     buffers = defaultdict(list)
     for r in plan:
-        buffers[r["source"], r["buffer"]].append(r)
-    assert sum(map(len, buffers.values())) == 1500
+        buffers[r["source"], r["buffer"]].append((r["commit_lsn"], r["row_seq"], r["batch"], keys[r["id"]]))
+    assert len(plan) == 1500 and max(map(len, buffers.values())) <= buffer
     for rows in buffers.values():
-        rows.sort(key=lambda r: (r["commit_lsn"], r["row_seq"]))
-        assert len(rows) <= 100
-        assert [r["batch"] for r in rows] == greedy([keys[r["id"]] for r in rows], 4)
+        rows.sort()
+        members = defaultdict(list)
+        for *at, number, key in rows:
+            members[number].append((at, key))
+        for number, inside in members.items():
+            assert len({key for _, key in inside}) == len(inside) <= size
+            for *at, own, key in rows:
+                if own > number and key not in {k for _, k in inside}:
+                    assert len(inside) == size and max(inside)[0] < at
+        of_key = defaultdict(list)
+        for *_, number, key in rows:
+            of_key[key].append(number)
+        assert all(a < b for numbers in of_key.values() for a, b in zip(numbers, numbers[1:]))
 
 
 def call_sizes(spark, sizes, **limits):
@@ -85,30 +82,26 @@ def call_sizes(spark, sizes, **limits):
 
 
 def test_calls_are_cut_by_entries_and_bytes(spark):
-    assert call_sizes(spark, [1] * 25) == [10, 10, 5]
-    assert call_sizes(spark, [200_000, 100_000, 10_000]) == [1, 2]
-    assert call_sizes(spark, [10_000, 300_000, 10_000]) == [1, 1, 1]
+    assert call_sizes(spark, [7] * 32) == [10, 10, 10, 2]
+    assert call_sizes(spark, [150_000, 130_000, 90_000, 42_144]) == [1, 3]
+    assert call_sizes(spark, [5_000, 262_145, 4_000]) == [1, 1, 1]
     assert call_sizes(spark, []) == []
     assert call_sizes(spark, [3, 3, 3, 3], max_entries=3, max_bytes=6) == [2, 2]
 
 
-def replay(log):
-    """The safe position after each step, step by step."""
-    open_at, observed, acked, out = {}, 0, 0, {}
-    for seq, action, lsn in log:
-        if action == "track":
-            open_at[lsn] = open_at.get(lsn, 0) + 1
-        elif action == "progress":
-            observed = max(observed, lsn)
-            open_at.setdefault(lsn, 0)
-        else:
-            open_at[lsn] -= 1
-        for position in sorted(open_at):
-            if open_at[position] or position > observed:
-                break
-            acked = max(acked, position)
-            del open_at[position]
-        out[seq] = acked
+def safe_positions(log):
+    """By definition: the highest position that a mark has reached and at or below which nothing is open, so far."""
+    out = {}
+    for n, (seq, _, _) in enumerate(log, 1):
+        past = log[:n]
+        reached = max((lsn for _, action, lsn in past if action == "progress"), default=0)
+        still = [lsn for _, action, lsn in past if action == "track"]
+        for _, action, lsn in past:
+            if action == "confirm":
+                still.remove(lsn)
+        known = {lsn for _, action, lsn in past if action != "confirm" and lsn <= reached}
+        here = max((p for p in known if not any(lsn <= p for lsn in still)), default=0)
+        out[seq] = max(here, *out.values()) if out else here
     return out
 
 
@@ -132,12 +125,12 @@ def random_log(rng):
 
 
 @pytest.mark.parametrize("limit", [3, None])
-def test_acknowledgement_equals_a_replay(spark, limit):
+def test_acknowledgement_is_the_safe_position(spark, limit):
     rng = random.Random(11)
     logs = {f"s{i}": random_log(rng) for i in range(120)}
     rows = [(source, *step) for source, log in logs.items() for step in log]
     df = spark.createDataFrame(rows, "source string, seq bigint, action string, lsn bigint").cache()
-    expected = {source: replay(log) for source, log in logs.items()}
+    expected = {source: safe_positions(log) for source, log in logs.items()}
     timeline = {(r["source"], r["seq"]): r["acked"] for r in ack.ack_timeline(df, limit).collect()}
     assert timeline == {(s, seq): acked for s, steps in expected.items() for seq, acked in steps.items()}
     final = {r["source"]: r["acked"] for r in ack.ack_frontier(df).collect()}
@@ -147,12 +140,12 @@ def test_acknowledgement_equals_a_replay(spark, limit):
 @pytest.mark.parametrize(
     ("steps", "acked"),
     [
-        ([("track", 10), ("progress", 10), ("track", 20), ("progress", 20), ("confirm", 20)], 0),
-        ([("track", 10), ("progress", 10), ("track", 20), ("progress", 20), ("confirm", 10), ("confirm", 20)], 20),
-        ([("track", 10), ("track", 10), ("progress", 10), ("confirm", 10)], 0),
-        ([("track", 10), ("confirm", 10)], 0),
-        ([("progress", 5), ("progress", 9)], 9),
-        ([("progress", 50), ("progress", 30)], 50),
+        ([("track", 31), ("progress", 31), ("track", 47), ("progress", 47), ("confirm", 47)], 0),
+        ([("track", 31), ("progress", 31), ("track", 47), ("progress", 47), ("confirm", 31)], 31),
+        ([("track", 8), ("track", 8), ("confirm", 8), ("progress", 8), ("progress", 12)], 0),
+        ([("track", 8), ("confirm", 8)], 0),
+        ([("progress", 3), ("progress", 70)], 70),
+        ([("progress", 65), ("progress", 64)], 65),
     ],
 )
 def test_acknowledgement_cases(spark, steps, acked):

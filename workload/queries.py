@@ -117,9 +117,9 @@ def progress_marks(spark, sf_dir):
 
 
 WAL_FAULT = f"""case
-  when not exists (select 1 from wal_first f where f.source = e.source and f.commit_lsn <= e.commit_lsn) then 'insert before its relation'
-  when h % 211 = 5 then 'message is truncated'
-  when h % 223 = 5 then concat('unsupported value kind in ', case when period % 2 = 0 then 'id' else 'trace' end) end"""
+  when not exists (select 1 from wal_first f where f.source = e.source and f.commit_lsn <= e.commit_lsn) then 'relation not seen yet'
+  when h % 211 = 5 then 'the message ends too early'
+  when h % 223 = 5 then concat('value kind not read in ', case when period % 2 = 0 then 'id' else 'trace' end) end"""
 
 
 @query(
@@ -293,7 +293,7 @@ def publish_batches(spark, sf_dir):
 
 @query()
 def publish_batches_exact(spark, sf_dir):
-    return batches.plan_buffers(t.outbox(spark, sf_dir))
+    return batches.plan_buffers(t.outbox(spark, sf_dir), batches.MAX_EVENTS, buffer=1_000)
 
 
 CALL_BYTES = 65_536
@@ -348,7 +348,7 @@ def batch_violations(spark, sf_dir):
 
 # ---- outcomes ---------------------------------------------------------------
 
-CODES_SQL = "['InvalidParameterValue', 'AWS.SimpleQueueService.InvalidMessageContents', 'InvalidAttributeValue', 'MessageTooLong', 'InvalidParameter', 'InternalError', 'KMS.AccessDeniedException']"
+CODES_SQL = "['InvalidParameterValue', 'Queue.InvalidMessageContents', 'InvalidAttributeValue', 'MessageTooLong', 'InvalidParameter', 'ServiceUnavailable', 'OverLimit']"
 PERMANENT_SQL = "regexp_matches(code, '(InvalidParameterValue|InvalidMessageContents|InvalidAttributeValue|MessageTooLong|InvalidParameter)$')"
 
 

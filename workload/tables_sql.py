@@ -161,8 +161,8 @@ tenants as (
   select cast(c_nationkey as bigint) group_id,
     case when c_custkey % 19 = 0 then concat(' ', nm) when c_custkey % 23 = 0 then '  ' when c_custkey % 29 = 0 then replace(nm, '_', '-')
       when c_custkey % 31 = 0 then 'customer_shared' else nm end as database,
-    case when c_custkey % 37 = 0 then 'postgres://relay@db/app' when c_custkey % 41 = 0 then 'postgres://relay@{database}.internal/app'
-      else 'postgres://relay:pw@db:5432/{database}?sslmode=require' end dsn_template,
+    case when c_custkey % 37 = 0 then 'postgres://courier@pg7.test/ledger' when c_custkey % 41 = 0 then 'postgres://courier@{database}.pg.test/ledger'
+      else 'postgres://courier:s3@pg7.test:6432/{database}?application_name=mail' end dsn_template,
     case when c_custkey % 43 = 0 then 'outbox_slot' else 'outbox_{database}' end slot_template,
     case when c_custkey % 47 = 0 then 'outbox_pub_{database}' else 'outbox_pub' end publication
   from (select *, lower(replace(c_name, '#', '_')) nm from customer))"""
