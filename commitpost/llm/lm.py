@@ -3,12 +3,17 @@
 Tokens are the words of the lower-cased text and one end. The word counts give the base score, in one exact sum: the
 ``HEAD`` most frequent words are sent to every task (8 MB whatever the corpus), all other words are joined.
 
-The model reads each word's subword ids. An id belongs to a class (by a leading space and the size of its rank); the
-attention model gives the probability of the next class from up to 15 ids before it, counts over all training texts
-that of the id within its class. Windows of ``WINDOW`` ids overlap by ``CONTEXT``: each id is scored once, with at
-least so much context where the text has it; causal and border masks are batched. Training is one pass: every task
-takes a window of every ``TRAIN_EVERY`` words of each training text, steps from the same start, and the weights are
-averaged by windows seen. Both the counts and the windows grow with the corpus.
+The model reads and predicts each word's subword ids. An input is the sum of an embedding of its own id, one of its
+class (by a leading space and the size of its rank) and one of its place. From up to 15 ids before it, attention gives
+the probability of the next class, and then that of the id within its class by yes-no decisions down a tree (Huffman's,
+of the id counts): each decision starts from the counts and is moved by what attention knows, so the probabilities of
+all ids sum to 1. Windows of ``WINDOW`` ids overlap by ``CONTEXT``: each id is scored once, with at least so much context
+where the text has it; causal and border masks are batched.
+
+Training reads every id of every training text once, in the windows that scoring uses. Stretches of windows are dealt by
+a hash of document and place into parts of about ``PART`` windows, and the parts into at most ``ROUNDS`` rounds. Each
+part steps from the weights of the round before, in the order of its hashes; what the parts changed is averaged, rows of
+the id tables by how often a part used them. Steps and result depend on the corpus, not on how its files are cut.
 
 Cases: null text is empty, and an empty text is its end alone; a null id is neither trained on nor held out; without
 training texts all counts are 0 and the model is its start; repeated rows are scored alike; other columns are ignored.
@@ -25,7 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.stage import stage
-from .grams import Texts, Words, ragged, signed, slices
+from .grams import BASES, Texts, Words, mix, ragged, signed, slices
 
 HEAD = 1 << 19
 WORDS_HELD = 600_000
@@ -34,9 +39,12 @@ KEPT_WORDS = 500_000
 """Words whose ids a worker keeps; when there are more, it starts over."""
 WINDOW, STRIDE, WIDTH = 16, 12, 8
 CONTEXT = WINDOW - STRIDE
-TRAIN_EVERY, TRAIN_WORDS = 160, 10
-"""A training window begins at every 160th word of each text and spans up to 10 words."""
-BATCH, RATE = 64, 0.02
+STRETCH = 64
+"""Windows that are dealt out together."""
+PART, ROUNDS, PARTS_A_TASK = 1 << 15, 8, 8
+BATCH, RATE, TABLE_RATE = 256, 0.02, 0.1
+SLICE = 1 << 16
+"""Numbers of a model that are added up in one group."""
 SIZES = 8
 CLASSES = 2 * SIZES + 1  # the last is the end
 START = CLASSES
@@ -63,6 +71,8 @@ class Subwords:
             self.spaced[rank] = token.startswith(b" ")
             self.kinds[rank] = SIZES * token.startswith(b" ") + min(SIZES - 1, (rank + 1).bit_length() // 2)
         self.kinds[self.end] = CLASSES - 1
+        self.input_kinds = self.kinds.copy()
+        self.input_kinds[self.end] = START  # as an input, an end is what stands before a text
         self.kept: dict[int, tuple[int, ...]] = {}
 
     def of_words(self, words: Words, first: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,50 +127,99 @@ class Tokens:
         ids[inside] = self.unique_ids[ragged((np.cumsum(lengths) - lengths)[self.which], per_word)]
         return ids, offsets
 
-    def training_windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """(inputs, targets): the classes of one window for every TRAIN_EVERY words of each text, the first at its start."""
-        words, lengths = self.words, self.unique_lengths
-        n = np.maximum(1, -(-words.counts // TRAIN_EVERY))
+    def stretches(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, lengths, text, number in it) of the stretches of up to STRETCH windows: each holds the ids it trains on,
+        after the CONTEXT + 1 before them (ends where the text has none). They cover every id of every text once."""
+        ids, offsets = self.ids()
+        sizes, most = np.diff(offsets), STRETCH * STRIDE
+        n = -(-sizes // most)
         text = np.repeat(np.arange(len(n)), n)
-        begin = words.offsets[text] + ragged(np.zeros(len(n), np.int64), n) * TRAIN_EVERY
-        size = np.minimum(TRAIN_WORDS, words.offsets[text + 1] - begin)
-        which = self.which[ragged(begin, size)]
-        per_word = lengths[which]
-        ids = self.unique_ids[ragged((np.cumsum(lengths) - lengths)[which], per_word)]
-        row = np.repeat(np.repeat(np.arange(len(size)), size), per_word)
-        count = np.bincount(row, minlength=len(size))
-        column = ragged(np.zeros(len(size), np.int64), count)
-        classes = np.full((len(size), WINDOW + 1), -1)
-        fits = column <= WINDOW
-        classes[row[fits], column[fits]] = self.subwords.kinds[ids[fits]]
-        ends = (begin + size == words.offsets[text + 1]) & (count <= WINDOW)
-        classes[ends, count[ends]] = CLASSES - 1
-        targets = classes[:, 1:].copy()
-        inputs = np.where(classes[:, :-1] < 0, START, classes[:, :-1])
-        opening = begin == words.offsets[text]
-        targets[opening, :CONTEXT], inputs[opening, : CONTEXT + 1] = -1, START
-        targets[opening, CONTEXT:] = classes[opening, :STRIDE]
-        inputs[opening, CONTEXT + 1 :] = np.where(classes[opening, : STRIDE - 1] < 0, START, classes[opening, : STRIDE - 1])
-        return inputs, targets
-
-
-def score_windows(classes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        number = ragged(np.zeros(len(n), np.int64), n)
+        start = offsets[text] + number * most
+        lengths = np.minimum(most, offsets[text + 1] - start) + CONTEXT + 1
+        at = ragged(start - CONTEXT - 1, lengths)
+        inside = at >= np.repeat(offsets[text], lengths)
+        return np.where(inside, ids[np.maximum(at, 0)], self.subwords.end), lengths, text, number
+
+    def training_windows(self) -> tuple[np.ndarray, ...]:
+        """``laid_out`` of all windows of each text."""
+        return laid_out(*self.stretches()[:2], self.subwords)
+
+
+def laid_out(ids: np.ndarray, lengths: np.ndarray, subwords: Subwords) -> tuple[np.ndarray, ...]:
+    """(class inputs, class targets, id inputs, id targets) of the windows of stretches; class targets are -1 where none is."""
+    n = -(-(lengths - CONTEXT - 1) // STRIDE)
+    begin = np.cumsum(lengths) - lengths
+    which = np.repeat(np.arange(len(n)), n)
+    at = (begin[which] + ragged(np.zeros(len(n), np.int64), n) * STRIDE)[:, None] + np.arange(WINDOW + 1)
+    there = at < (begin + lengths)[which, None]
+    own = np.where(there, ids[np.minimum(at, max(len(ids) - 1, 0))], subwords.end)
+    targets = np.where(there[:, 1:] & (np.arange(WINDOW) >= CONTEXT), subwords.kinds[own[:, 1:]], -1)
+    return subwords.input_kinds[own[:, :-1]], targets, own[:, :-1], own[:, 1:]
+
+
+def score_windows(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(inputs, targets, first place of each window, its text). Every text is laid out after CONTEXT empty places and
     filled up to whole strides; window i begins at its place i * STRIDE and scores all but its first CONTEXT places."""
     sizes = np.diff(offsets)
     n = -(-sizes // STRIDE)
     region = n * STRIDE + CONTEXT
     start = np.cumsum(region) - region
-    targets = np.full(int(region.sum()), -1, np.int16)
+    targets = np.full(int(region.sum()), -1, np.int32)
     place = ragged(start + CONTEXT, sizes)
-    targets[place] = classes
-    inputs = np.full(len(targets), START, np.int16)
-    inputs[1:] = np.where(targets[:-1] < 0, START, targets[:-1])
-    inputs[start + CONTEXT] = START
+    targets[place] = ids
+    inputs = np.full(len(targets), end, np.int32)
+    inputs[1:] = np.where(targets[:-1] < 0, end, targets[:-1])
+    inputs[start + CONTEXT] = end
     text = np.repeat(np.arange(len(sizes)), n)
     return inputs, targets, start[text] + ragged(np.zeros(len(n), np.int64), n) * STRIDE, text
 
 
+class Tree:
+    """Huffman's tree of the ids of each class, by their counts. ``nodes`` and ``sides`` from ``offsets[id]`` are the
+    decisions on the way to an id, ``prior`` the log odds of each node's side 1 by the counts."""
+
+    def __init__(self, kinds: np.ndarray, counts: np.ndarray):
+        n, weight = len(kinds), (counts + 0.5).tolist()
+        parent, side = np.full(2 * n, -1), np.zeros(2 * n, np.int8)
+        prior = np.zeros(n, np.float32)
+        order = np.lexsort((np.arange(n), counts, kinds))
+        new = 0
+        for leaves in np.split(order, np.flatnonzero(np.diff(kinds[order])) + 1):
+            leaves, made, i, j = leaves.tolist(), [], 0, 0  # two queues, both by weight
+            for _ in range(len(leaves) - 1):
+                pair = []
+                for _ in range(2):
+                    if j >= len(made) or i < len(leaves) and weight[leaves[i]] <= weight[made[j]]:
+                        pair.append(leaves[i])
+                        i += 1
+                    else:
+                        pair.append(made[j])
+                        j += 1
+                low, high = pair
+                parent[low] = parent[high] = n + new
+                side[high] = 1
+                prior[new] = np.log(weight[high] / weight[low])
+                weight.append(weight[low] + weight[high])
+                made.append(n + new)
+                new += 1
+        steps, at = [], np.arange(n)
+        while (parent[at] >= 0).any():
+            steps.append((np.where(parent[at] >= 0, parent[at] - n, -1), side[at]))
+            at = np.where(parent[at] >= 0, parent[at], at)
+        nodes = np.array([x for x, _ in steps]).reshape(len(steps), n).T
+        sides = np.array([x for _, x in steps]).reshape(len(steps), n).T
+        self.lengths = (nodes >= 0).sum(axis=1)
+        self.offsets = np.cumsum(self.lengths) - self.lengths
+        self.nodes, self.sides, self.prior = nodes[nodes >= 0], sides[nodes >= 0].astype(np.float32), prior
+
+    def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(which of ``ids``, node, side) of all decisions on the way to each."""
+        lengths = self.lengths[ids]
+        at = ragged(self.offsets[ids], lengths)
+        return np.repeat(np.arange(len(ids)), lengths), self.nodes[at], self.sides[at]
+
+
 SHAPES = {
     "embedding": (CLASSES + 1, WIDTH), "place": (WINDOW, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH),
     "value": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,),
@@ -168,23 +227,20 @@ SHAPES = {
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 
 
-def start_weights(seed: int = 5) -> dict[str, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    scale = {"bias": 0.0, "place": 0.05}
-    return {k: (rng.normal(size=s) * scale.get(k, 0.3)).astype(np.float32) for k, s in SHAPES.items()}
-
-
-def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([weights[k].ravel() for k in SHAPES])
+TABLES = ("piece", "node")
+"""Embeddings of the ids, and of the decisions of the tree; they start at 0."""
 
 
-def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
-    out, at = {}, 0
-    for k, shape in SHAPES.items():
-        size = int(np.prod(shape))
-        out[k] = values[at : at + size].reshape(shape).astype(np.float32)
-        at += size
-    return out
+def start_weights(seed: int = 5, kinds: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """``kinds``: of each id, for the tables; without, the model knows classes alone. Classes without ids are as good as
+    impossible."""
+    rng = np.random.default_rng(seed)
+    scale = {"bias": 0.0, "place": 0.05}
+    out = {k: (rng.normal(size=s) * scale.get(k, 0.3)).astype(np.float32) for k, s in SHAPES.items()}
+    if kinds is None:
+        return out
+    out["bias"][np.bincount(kinds, minlength=CLASSES) == 0] = -30
+    return out | {k: np.zeros((len(kinds), WIDTH), np.float32) for k in TABLES}
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -192,17 +248,29 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def attend(w: dict[str, np.ndarray], inputs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """What each place of each window knows: its own input and, by attention, those before it."""
+def attend(w: dict[str, np.ndarray], inputs: np.ndarray, ids: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """What each place of each window knows: its own input (class and id) and, by attention, those before it."""
     x = w["embedding"][inputs] + w["place"]
+    if ids is not None:
+        x = x + w["piece"][ids]
     q, k, v = x @ w["query"], x @ w["key"], x @ w["value"]
     a = _softmax(np.where(CAUSAL > 0, q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5), np.float32(-1e9)))
     return x, q, k, v, a, x + a @ v
 
 
-def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean cross-entropy of the targets that are there, and its gradients."""
-    x, q, k, v, a, h = attend(w, inputs)
+def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different rows, the sum of the values of each, and how many there are."""
+    different, back, times = np.unique(rows, return_inverse=True, return_counts=True)
+    sums = np.stack([np.bincount(back, column, len(different)) for column in values.T], axis=1)
+    return different, sums.astype(values.dtype), times
+
+
+def gradients(
+    w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, input_ids: np.ndarray | None = None,
+    target_ids: np.ndarray | None = None, tree: Tree | None = None,
+) -> tuple[float, dict]:
+    """Mean cross-entropy of the targets that are there, and its gradients; those of the tables by row (``_by_row``)."""
+    x, q, k, v, a, h = attend(w, inputs, None if tree is None else input_ids)
     p = _softmax(h @ w["out"] + w["bias"])
     there = targets >= 0
     n = max(1, there.sum())
@@ -214,6 +282,16 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
     flat2 = lambda m: m.reshape(-1, m.shape[-1])
     g = {"out": flat2(h).T @ flat2(d), "bias": flat2(d).sum(axis=0)}
     dh = d @ w["out"].T
+    if tree is not None:
+        which, nodes, sides = tree.ways(target_ids[there])
+        known = h[there]
+        known_there, decides = known[which], w["node"][nodes]
+        signs = 2 * sides - 1
+        z = signs * (tree.prior[nodes] + np.einsum("ij,ij->i", known_there, decides))
+        loss += np.logaddexp(0, -z).sum() / n
+        dz = (-signs / (1 + np.exp(np.clip(z, -60, 60))) / np.float32(n))[:, None]
+        g["node"] = _by_row(nodes, dz * known_there)
+        dh[there] += np.stack([np.bincount(which, c, len(known)) for c in (dz * decides).T], axis=1).astype(dh.dtype)
     dv = a.transpose(0, 2, 1) @ dh
     da = dh @ v.transpose(0, 2, 1)
     ds = a * (da - (da * a).sum(axis=-1, keepdims=True)) * np.float32(WIDTH**-0.5)
@@ -224,106 +302,137 @@ def gradients(w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray)
     one_hot = inputs.ravel()[:, None] == np.arange(CLASSES + 1)
     g["embedding"] = one_hot.T.astype(np.float32) @ flat2(dx)
     g["place"] = dx.sum(axis=0)
+    if tree is not None:
+        g["piece"] = _by_row(input_ids.ravel(), flat2(dx))
     return float(loss), g
 
 
 class Trainer:
-    """Adam over batches of windows, in the order they come."""
+    """Adam (Adagrad for the tables) over batches of windows, in the order they come. ``done``: steps taken before."""
 
-    def __init__(self):
-        self.weights = start_weights()
+    def __init__(self, weights: dict[str, np.ndarray] | None = None, tree: Tree | None = None, done: int = 0):
+        self.weights = {k: v.copy() for k, v in (weights or start_weights()).items()}
+        self.tree, self.done = tree, done
         self.first = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-        self.second = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
+        self.second = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.used = {k: np.zeros(len(self.weights[k]), np.float32) for k in TABLES if k in self.weights}
         self.steps = self.seen = 0
-        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting: list[tuple[np.ndarray, ...]] = []
         self.n_waiting = 0
 
-    def add(self, inputs: np.ndarray, targets: np.ndarray) -> None:
-        self.waiting.append((inputs, targets))
-        self.n_waiting += len(inputs)
+    def add(self, *windows: np.ndarray) -> None:
+        self.waiting.append(windows)
+        self.n_waiting += len(windows[0])
         if self.n_waiting >= BATCH:
-            self.flush()
+            self._take(self.n_waiting // BATCH * BATCH)
 
     def flush(self) -> None:
-        if not self.n_waiting:
+        self._take(self.n_waiting)
+
+    def _take(self, n: int) -> None:
+        if not n:
             return
-        inputs, targets = (np.concatenate(x) for x in zip(*self.waiting))
-        self.waiting, self.n_waiting = [], 0
-        for at in range(0, len(inputs), BATCH):
-            _, g = gradients(self.weights, inputs[at : at + BATCH], targets[at : at + BATCH])
+        windows = [np.concatenate(x) for x in zip(*self.waiting)]
+        self.waiting, self.n_waiting = [tuple(x[n:] for x in windows)], self.n_waiting - n
+        for at in range(0, n, BATCH):
+            _, g = gradients(self.weights, *(x[at : min(n, at + BATCH)] for x in windows), self.tree)
             self.steps += 1
-            rate = RATE / (1 + self.steps / 400)
+            rate = 1 / (1 + (self.done + self.steps) / 400)
             for k in SHAPES:
                 self.first[k] = 0.9 * self.first[k] + 0.1 * g[k]
                 self.second[k] = 0.99 * self.second[k] + 0.01 * g[k] ** 2
                 step = self.first[k] / (1 - 0.9**self.steps) / (np.sqrt(self.second[k] / (1 - 0.99**self.steps)) + 1e-8)
-                self.weights[k] = (self.weights[k] - rate * step).astype(np.float32)
-        self.seen += len(inputs)
+                self.weights[k] = (self.weights[k] - RATE * rate * step).astype(np.float32)
+            for k in TABLES:
+                if k in g:
+                    rows, grad, times = g[k]
+                    self.second[k][rows] += grad**2
+                    self.weights[k][rows] -= TABLE_RATE * rate * grad / (np.sqrt(self.second[k][rows]) + 1e-8)
+                    self.used[k][rows] += times
+        self.seen += n
 
 
 class Scorer:
-    """``attend`` by tables over (class, place), without the largest-first step of a softmax: products and logits of so
+    """``attend`` by tables over ids and places, without the largest-first step of a softmax: products and logits of so
     small a model stay far below what float32 can take as an exponent, and are cut at ``LIMIT`` to be sure."""
 
     LIMIT = 60
 
-    def __init__(self, w: dict[str, np.ndarray]):
-        x = (w["embedding"][:, None, :] + w["place"]).reshape(-1, WIDTH)
-        self.x, self.out, self.bias = x, np.ascontiguousarray(w["out"].T), w["bias"][:, None]
-        self.query, self.key = x @ w["query"] * np.float32(WIDTH**-0.5), x @ w["key"]
-        self.value = np.hstack([x @ w["value"], np.ones((len(x), 1), np.float32)])  # the last sums the weights
-        most = np.sqrt((self.query**2).sum(axis=1).max() * (self.key**2).sum(axis=1).max())
-        if most > self.LIMIT:
-            self.query *= np.float32(self.LIMIT / most)
-
-    def class_log10(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
-        """log10 P(class) of the scored places of each window; ``targets`` of those alone."""
-        index = inputs.astype(np.int64) * WINDOW + np.arange(WINDOW)
-        asking = index[:, CONTEXT:]
-        a = self.query.take(asking, axis=0) @ self.key.take(index, axis=0).transpose(0, 2, 1)
+    def __init__(self, w: dict[str, np.ndarray], tree: Tree | None = None):
+        self.w, self.tree = w, tree
+        self.out, self.bias = np.ascontiguousarray(w["out"].T), w["bias"][:, None]
+        self.x: np.ndarray | None = None
+
+    def prepare(self, subwords: Subwords) -> None:
+        if self.x is not None:
+            return
+        w, scale = self.w, np.float32(WIDTH**-0.5)
+        x, place = w["embedding"][subwords.input_kinds], w["place"]
+        self.x = x + w["piece"] if "piece" in w else x
+        self.place = place[CONTEXT:]
+        self.query, self.query_place = self.x @ w["query"] * scale, place[CONTEXT:] @ w["query"] * scale
+        self.key, self.key_place = self.x @ w["key"], place @ w["key"]
+        self.value = np.hstack([self.x @ w["value"], np.ones((len(x), 1), np.float32)])  # the last sums the weights
+        self.value_place = np.hstack([place @ w["value"], np.zeros((WINDOW, 1), np.float32)])
+
+    def log10(self, inputs: np.ndarray, targets: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+        """log10 P of the scored places of each window, 0 where no target is; ``targets`` of those alone."""
+        asking = inputs[:, CONTEXT:]
+        a = (self.query.take(asking, axis=0) + self.query_place) @ (self.key.take(inputs, axis=0) + self.key_place).transpose(0, 2, 1)
+        np.clip(a, -self.LIMIT, self.LIMIT, out=a)
         np.exp(a, out=a)
         a *= CAUSAL[CONTEXT:]
-        found = (a @ self.value.take(index, axis=0)).reshape(-1, WIDTH + 1).T
-        h = found[:WIDTH] / found[WIDTH] + self.x.take(asking.ravel(), axis=0).T
-        logits = self.out @ h
+        found = (a @ (self.value.take(inputs, axis=0) + self.value_place)).reshape(-1, WIDTH + 1)
+        h = found[:, :WIDTH] / found[:, WIDTH:] + (self.x.take(asking, axis=0) + self.place).reshape(-1, WIDTH)
+        logits = self.out @ h.T
         logits += self.bias
         np.clip(logits, -self.LIMIT, self.LIMIT, out=logits)
-        right = logits[np.maximum(targets, 0).ravel(), np.arange(logits.shape[1])]
+        targets = targets.ravel()
+        right = logits[kinds[targets], np.arange(logits.shape[1])]
         np.exp(logits, out=logits)
-        return ((right - np.log(logits.sum(axis=0))) * np.float32(1 / np.log(10))).reshape(-1, STRIDE)
-
-
-def model_log10(scorer: Scorer, tokens: Tokens, inside_log10: np.ndarray) -> np.ndarray:
-    """log10 probability of each text. ``inside_log10``: of each id within its class."""
+        scores = np.where(targets >= 0, right - np.log(logits.sum(axis=0)), 0).astype(np.float64)
+        if self.tree is not None:
+            there = np.flatnonzero(targets >= 0)
+            which, nodes, sides = self.tree.ways(targets[there])
+            z = self.tree.prior[nodes] + np.einsum("ij,ij->i", h[there].take(which, axis=0), self.w["node"].take(nodes, axis=0))
+            z *= 2 * sides - 1
+            scores[there] -= np.bincount(which, np.log1p(np.exp(np.clip(-z, -self.LIMIT, self.LIMIT))), len(there))
+        return (scores / np.log(10)).reshape(-1, STRIDE)
+
+
+def model_log10(scorer: Scorer, tokens: Tokens, inside_log10: np.ndarray | None = None) -> np.ndarray:
+    """log10 probability of each text. ``inside_log10``: of each id within its class, for a scorer without a tree."""
     ids, offsets = tokens.ids()
-    inputs, targets, first, text = score_windows(tokens.subwords.kinds[ids], offsets)
+    scorer.prepare(tokens.subwords)
+    inputs, targets, first, text = score_windows(ids, offsets, tokens.subwords.end)
     n = len(offsets) - 1
     sums = np.zeros(n)
     places, asked = np.arange(WINDOW), np.arange(CONTEXT, WINDOW)
     for at in range(0, len(first), BLOCK):
         block = first[at : at + BLOCK, None]
-        target = targets[block + asked]
-        values = scorer.class_log10(inputs[block + places], target)
-        sums += np.bincount(text[at : at + BLOCK], np.where(target >= 0, values, 0).sum(axis=1, dtype=np.float64), n)
-    return sums + np.bincount(np.repeat(np.arange(n), np.diff(offsets)), inside_log10[ids], n)
+        values = scorer.log10(inputs[block + places], targets[block + asked], tokens.subwords.kinds)
+        sums += np.bincount(text[at : at + BLOCK], values.sum(axis=1), n)
+    if scorer.tree is None:
+        sums += np.bincount(np.repeat(np.arange(n), np.diff(offsets)), inside_log10[ids], n)
+    return sums
 
 
-# Kinds of what training passes on: counts of words, of ids, and sums of weights.
-WORD, ID, WEIGHT = 0, 1, 2
-GATHERED = "kind int, key bigint, n bigint, total double"
+# Kinds of what the first pass gives: counts of words, of ids, and stretches (key is their hash, n their windows).
+WORD, ID, STRETCHES = 0, 1, 2
+GATHERED = "kind int, key bigint, n bigint, ids binary"
 
 
 def gather(documents: DataFrame, training: Column, name: str, pattern: str) -> DataFrame:
-    """One pass over the training texts: word counts, id counts, and each task's weights times its windows."""
+    """One pass over the training texts: each task's word counts and id counts, and all stretches."""
 
-    def rows(kind: int, keys: np.ndarray, n: np.ndarray, total: np.ndarray | None = None) -> pa.RecordBatch:
-        total = np.zeros(len(keys)) if total is None else total
-        columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(n), pa.array(total)]
-        return pa.RecordBatch.from_arrays(columns, ["kind", "key", "n", "total"])
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray, ids: pa.Array | None = None) -> pa.RecordBatch:
+        ids = pa.nulls(len(keys), pa.binary()) if ids is None else ids
+        columns = [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(n), ids]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "key", "n", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = _subwords(name, pattern)
-        trainer, texts = Trainer(), 0
+        texts = 0
         ids = np.zeros(subwords.end + 1, np.int64)
         parts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
@@ -341,26 +450,101 @@ def gather(documents: DataFrame, training: Column, name: str, pattern: str) -> D
                 of_word = np.repeat(counts, tokens.unique_lengths)
                 ids += np.bincount(tokens.unique_ids, of_word, len(ids)).astype(np.int64)
                 texts += batch.num_rows
-                trainer.add(*tokens.training_windows())
+                own, lengths, text, number = tokens.stretches()
+                row = np.asarray(batch["row"]).view(np.uint64)[text]
+                key = mix(mix(row) + number.astype(np.uint64) * np.uint64(BASES[0]))
+                edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32) * 4
+                packed = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(edges), pa.py_buffer(own.astype("<u4"))])
+                yield rows(STRETCHES, signed(key), -(-(lengths - CONTEXT - 1) // STRIDE), packed)
                 if held > 2 * WORDS_HELD:
                     parts = [merged()]
                     held = len(parts[0][0])
                     if held > WORDS_HELD:
                         yield rows(WORD, signed(parts[0][0]), parts[0][1])
                         parts, held = [], 0
-        trainer.flush()
         if parts:
             keys, n = merged()
             yield rows(WORD, signed(keys), n)
         yield rows(WORD, signed(np.array([END_HASH])), np.array([texts]))
         ids[subwords.end] = texts
         yield rows(ID, np.arange(len(ids)), ids)
-        values = flat(trainer.weights).astype(float)
-        seen = np.full(len(values), trainer.seen)
-        yield rows(WEIGHT, np.arange(len(values)), seen, values * trainer.seen)
 
-    known = documents.where(training).select("text")
-    return known.mapInArrow(run, GATHERED).groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    known = documents.where(training).select(F.xxhash64("doc_id").alias("row"), "text")
+    return known.mapInArrow(run, GATHERED)
+
+
+def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str) -> tuple[dict[str, np.ndarray], Tree]:
+    """The model after all rounds over ``stretches``, and the tree of its ids."""
+    spark = stretches.sparkSession
+    size, kinds = len(id_counts), _subwords(name, pattern).kinds
+    tree, weights = Tree(kinds, id_counts), start_weights(kinds=kinds)
+    windows = stretches.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    parts = -(-windows // PART)
+    rounds = min(ROUNDS, parts)
+    part = F.pmod("key", F.lit(max(parts, 1)))
+
+    def one_round(turn: int) -> DataFrame:
+        shared = spark.sparkContext.broadcast((weights, tree))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            before, decisions = shared.value
+            subwords = _subwords(name, pattern)
+            total = np.zeros(sum(v.size for v in before.values()) + len(TABLES) * size + 1)
+            trainer, current = None, None
+
+            def add() -> None:
+                trainer.flush()
+                at = 0
+                for k, v in before.items():
+                    times = trainer.used[k][:, None] if k in TABLES else trainer.seen
+                    total[at : at + v.size] += ((trainer.weights[k] - v) * times).ravel()
+                    at += v.size
+                for k in TABLES:
+                    total[at : at + size] += trainer.used[k]
+                    at += size
+                total[at] += trainer.seen
+
+            for whole in batches:
+                numbers = np.asarray(whole["part"])
+                edges = [0, *(np.flatnonzero(np.diff(numbers)) + 1).tolist(), len(numbers)]
+                for a, b in zip(edges[:-1], edges[1:]):
+                    if a == b:
+                        continue
+                    if numbers[a] != current:
+                        if trainer:
+                            add()
+                        trainer, current = Trainer(before, decisions, turn * (PART // BATCH)), numbers[a]
+                    for at in range(a, b, 16):
+                        packed = [np.frombuffer(x.as_buffer(), "<u4") for x in whole["ids"][at : min(b, at + 16)]]
+                        lengths = np.array([len(x) for x in packed])
+                        trainer.add(*laid_out(np.concatenate(packed).astype(np.int64), lengths, subwords))
+            if trainer:
+                add()
+                cut = [total[at : at + SLICE].astype("<f4").tobytes() for at in range(0, len(total), SLICE)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(cut), dtype=np.int32)), pa.array(cut, pa.binary())], ["slice", "total"])
+
+        def added(table: pa.Table) -> pa.Table:
+            total = sum(np.frombuffer(x.as_buffer(), "<f4").astype(float) for x in table["total"]).astype("<f4")
+            return pa.table({"slice": table["slice"][:1], "total": pa.array([total.tobytes()], pa.binary())})
+
+        mine = stretches.where(part % rounds == turn).select(part.alias("part"), "key", "ids")
+        tasks = max(1, -(-parts // (rounds * PARTS_A_TASK)))
+        dealt = mine.repartition(tasks, "part").sortWithinPartitions("part", "key", "ids")
+        out = "slice int, total binary"
+        return dealt.mapInArrow(run, out).groupBy("slice").applyInArrow(added, out)
+
+    for turn in range(rounds):
+        found = sorted(one_round(turn).collect())
+        if not found:
+            continue
+        total = np.concatenate([np.frombuffer(r["total"], "<f4") for r in found])
+        ends = np.cumsum([v.size for v in weights.values()])
+        used = {k: total[ends[-1] + i * size :][:size, None] for i, k in enumerate(TABLES)}
+        weights = {
+            k: (v + total[e - v.size : e].reshape(v.shape) / np.maximum(used.get(k, total[-1]), 1)).astype(np.float32)
+            for (k, v), e in zip(weights.items(), ends)
+        }
+    return weights, tree
 
 
 def _least_count(counts: DataFrame, head: int) -> int:
@@ -384,28 +568,23 @@ def score(documents: DataFrame, training: Column, path: str, pattern: str, head:
     spark = documents.sparkSession
     spark.sparkContext.addFile(path)
     name = path.rsplit("/", 1)[-1]
-    gathered = stage(gather(documents, training, name, pattern).where("n > 0"), "gathered")
+    passed = stage(gather(documents, training, name, pattern).where("n > 0"), "passed")
+    gathered = stage(passed.where(F.col("kind") != STRETCHES).groupBy("kind", "key").agg(F.sum("n").alias("n")), "gathered")
     counts = gathered.where(F.col("kind") == WORD).select(F.col("key").alias("word"), F.col("n").alias("c"))
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_train, smoothed = int(totals["n"]), totals["n"] + 0.5 * (totals["v"] + 1)
     frequent = counts.where(F.col("c") >= _least_count(counts, head)).toPandas().sort_values("word")
-    weights = gathered.where(F.col("kind") == WEIGHT).select("key", (F.col("total") / F.col("n")).alias("w")).toPandas()
-    id_counts = gathered.where(F.col("kind") == ID).select("key", "n").toPandas()
-    w = flat(start_weights()).astype(float)
-    w[weights["key"].to_numpy()] = weights["w"].to_numpy()
-    shared = spark.sparkContext.broadcast(
-        (frequent["word"].to_numpy(), frequent["c"].to_numpy(), shaped(w), id_counts["key"].to_numpy(), id_counts["n"].to_numpy())
-    )
+    found = gathered.where(F.col("kind") == ID).select("key", "n").toPandas()
+    id_counts = np.zeros(_subwords(name, pattern).end + 1, np.int64)
+    id_counts[found["key"].to_numpy()] = found["n"].to_numpy()
+    ends = int(id_counts[-1])  # one for each training text
+    model, tree = train(passed.where(F.col("kind") == STRETCHES), id_counts, name, pattern)
+    shared = spark.sparkContext.broadcast((frequent["word"].to_numpy(), frequent["c"].to_numpy(), model, tree))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = _subwords(name, pattern)
-        words, c, model, keys, n = shared.value
-        ids = np.zeros(subwords.end + 1)
-        ids[keys] = n
-        of_class = np.bincount(subwords.kinds, ids + 0.5)
-        inside = np.log10((ids + 0.5) / of_class[subwords.kinds])
-        log_c, scorer = np.log10(c + 0.5), Scorer(model)
-        ends = ids[subwords.end]  # one for each training text
+        words, c, model, tree = shared.value
+        log_c, scorer = np.log10(c + 0.5), Scorer(model, tree)
         for whole in batches:
             for batch in slices(whole):
                 tokens = Tokens(batch["text"], subwords)
@@ -427,7 +606,7 @@ def score(documents: DataFrame, training: Column, path: str, pattern: str, head:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch["row"], batch["doc_id"], pa.array(counts.astype(np.int64) + 1), pa.array(n_head.astype(np.int64)),
-                        pa.array(head_sum), pa.array(model_log10(scorer, tokens, inside)),
+                        pa.array(head_sum), pa.array(model_log10(scorer, tokens)),
                         pa.ListArray.from_arrays(pa.array(edges), tail),
                     ],
                     ["row", "doc_id", "n_tokens", "n_head", "head_log10", "score", "tail"],

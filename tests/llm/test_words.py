@@ -358,6 +358,94 @@ def test_training_lowers_the_cross_entropy():
     assert lm.model_log10(lm.Scorer(trainer.weights), held, zero)[0] > 0.7 * lm.model_log10(lm.Scorer(lm.start_weights()), held, zero)[0]
 
 
+def taught(seed=4):
+    """A model with a tree whose tables are not 0."""
+    s, rng = subwords(), np.random.default_rng(seed)
+    tree = lm.Tree(s.kinds, rng.integers(0, 1000, s.end + 1) * (rng.random(s.end + 1) < 0.3))
+    w = lm.start_weights(kinds=s.kinds)
+    return s, w | {k: (rng.normal(size=w[k].shape) * 0.5).astype(np.float32) for k in lm.TABLES}, tree
+
+
+def test_gradients_of_ids():
+    s, w, tree = taught()
+    w = {k: v.astype(float) for k, v in w.items()}
+    ids, lengths = lm.Tokens(pa.array([prose(1, 40), "one", prose(2, 9)]), s).stretches()[:2]
+    windows = lm.laid_out(ids, lengths, s)
+    _, g = lm.gradients(w, *windows, tree)
+    for name in w:
+        rows, values = g[name][:2] if name in lm.TABLES else (range(len(w[name])), g[name])
+        for i in range(0, len(values), max(1, len(values) // 4)):
+            at = (int(rows[i]),) + (3,) * (w[name].ndim - 1)
+            up, down = (w | {name: w[name].copy()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (lm.gradients(up, *windows, tree)[0] - lm.gradients(down, *windows, tree)[0]) / 2e-5
+            assert abs(slope - np.asarray(values)[(i,) + at[1:]]) < 1e-5
+
+
+def test_probabilities_of_all_ids_sum_to_one_and_depend_on_the_ids_before():
+    s, w, tree = taught()
+    scorer, every = lm.Scorer(w, tree), np.arange(s.end + 1)
+    scorer.prepare(s)
+
+    def of_all(context):
+        inputs = np.full((1, lm.WINDOW), s.end)
+        inputs[0, : len(context)] = context
+        targets = np.full((len(every), lm.STRIDE), -1)
+        targets[:, len(context) - 1 - lm.CONTEXT] = every
+        return np.concatenate([
+            scorer.log10(np.repeat(inputs, len(part), axis=0), part, s.kinds).sum(axis=1) for part in np.array_split(targets, 30)
+        ])
+
+    one = [s.end] * 5 + s.encode(" the red house")
+    other = one[:-1] + [next(i for i in every if i != one[-1] and s.kinds[i] == s.kinds[one[-1]])]  # another id of the class
+    a, b = of_all(one), of_all(other)
+    assert abs((10**a).sum() - 1) < 1e-4 and abs((10**b).sum() - 1) < 1e-4
+    same = s.kinds == s.kinds[one[-1]]
+    assert np.ptp((a - b)[same]) > 0.01  # also within a class
+
+
+def test_training_windows_cover_every_id_once():
+    s = subwords()
+    texts = [prose(1, 3000), None, "one", prose(2, 9), prose(3, 700)]
+    tokens = lm.Tokens(pa.array(texts), s)
+    _, targets, before, own = tokens.training_windows()
+    ids, offsets = tokens.ids()
+    assert own[targets >= 0].tolist() == ids.tolist()
+    want = np.concatenate([[s.end], ids[:-1]])
+    assert before[targets >= 0].tolist() == want.tolist()  # an end before each text's first id
+    assert (targets[targets >= 0] == s.kinds[ids]).all() and len(lm.Tokens(pa.array([], pa.string()), s).training_windows()[0]) == 0
+
+
+def test_scores_do_not_depend_on_the_layout_and_rise_with_order(spark, monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(lm, "PART", 1 << 9)
+    rng = random.Random(8)
+    follows = {w: rng.sample(WORDS, 2) for w in WORDS}
+
+    def chain(seed, n):
+        walk, out = random.Random(seed), ["oak"]
+        for _ in range(n):
+            out.append(walk.choice(follows[out[-1]]))
+        return out
+
+    docs = [(i, " ".join(chain(i, 400))) for i in range(300)]
+    for i in range(10):
+        words = chain(1000 + i, 300)
+        docs.append((1000 + i, " ".join(words)))
+        random.Random(i).shuffle(words)
+        docs.append((2000 + i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    got = [
+        {r.doc_id: r.score for r in lm.score(df.repartition(n), F.col("doc_id") < 1000, path, public_tokenizers.PATTERN).collect()}
+        for n in (1, 200)
+    ]
+    assert max(abs(got[0][i] - got[1][i]) / abs(got[0][i]) for i in got[0]) < 1e-3
+    assert all(got[0][1000 + i] > 0.8 * got[0][2000 + i] for i in range(10))
+
+
 @pytest.mark.parametrize("head", [lm.HEAD, 5])
 def test_base_scores_against_brute_force(spark, head):
     import zlib
