@@ -26,7 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkFiles
+from pyspark import Broadcast, SparkFiles
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.stage import stage
@@ -71,6 +71,7 @@ class Subwords:
             self.spaced[rank] = token.startswith(b" ")
             self.kinds[rank] = SIZES * token.startswith(b" ") + min(SIZES - 1, (rank + 1).bit_length() // 2)
         self.kinds[self.end] = CLASSES - 1
+        self.packed = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
         self.input_kinds = self.kinds.copy()
         self.input_kinds[self.end] = START  # as an input, an end is what stands before a text
         self.kept: dict[int, tuple[int, ...]] = {}
@@ -211,13 +212,13 @@ class Tree:
         sides = np.array([x for _, x in steps]).reshape(len(steps), n).T
         self.lengths = (nodes >= 0).sum(axis=1)
         self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.nodes, self.sides, self.prior = nodes[nodes >= 0], sides[nodes >= 0].astype(np.float32), prior
+        self.nodes, self.sides, self.prior = nodes[nodes >= 0].astype(np.int32), sides[nodes >= 0], prior
 
     def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(which of ``ids``, node, side) of all decisions on the way to each."""
         lengths = self.lengths[ids]
         at = ragged(self.offsets[ids], lengths)
-        return np.repeat(np.arange(len(ids)), lengths), self.nodes[at], self.sides[at]
+        return np.repeat(np.arange(len(ids)), lengths), self.nodes[at], self.sides[at].astype(np.float32)
 
 
 SHAPES = {
@@ -453,8 +454,8 @@ def gather(documents: DataFrame, training: Column, name: str, pattern: str) -> D
                 own, lengths, text, number = tokens.stretches()
                 row = np.asarray(batch["row"]).view(np.uint64)[text]
                 key = mix(mix(row) + number.astype(np.uint64) * np.uint64(BASES[0]))
-                edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32) * 4
-                packed = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(edges), pa.py_buffer(own.astype("<u4"))])
+                edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32) * subwords.packed.itemsize
+                packed = pa.Array.from_buffers(pa.binary(), len(key), [None, pa.py_buffer(edges), pa.py_buffer(own.astype(subwords.packed))])
                 yield rows(STRETCHES, signed(key), -(-(lengths - CONTEXT - 1) // STRIDE), packed)
                 if held > 2 * WORDS_HELD:
                     parts = [merged()]
@@ -473,8 +474,8 @@ def gather(documents: DataFrame, training: Column, name: str, pattern: str) -> D
     return known.mapInArrow(run, GATHERED)
 
 
-def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str) -> tuple[dict[str, np.ndarray], Tree]:
-    """The model after all rounds over ``stretches``, and the tree of its ids."""
+def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str) -> tuple[dict[str, np.ndarray], Broadcast]:
+    """The model after all rounds over ``stretches``, and the tree of its ids, which all tasks have."""
     spark = stretches.sparkSession
     size, kinds = len(id_counts), _subwords(name, pattern).kinds
     tree, weights = Tree(kinds, id_counts), start_weights(kinds=kinds)
@@ -483,11 +484,11 @@ def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str)
     rounds = min(ROUNDS, parts)
     part = F.pmod("key", F.lit(max(parts, 1)))
 
-    def one_round(turn: int) -> DataFrame:
-        shared = spark.sparkContext.broadcast((weights, tree))
+    held_tree = spark.sparkContext.broadcast(tree)
 
+    def one_round(turn: int, shared: Broadcast) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            before, decisions = shared.value
+            before, decisions = shared.value, held_tree.value
             subwords = _subwords(name, pattern)
             total = np.zeros(sum(v.size for v in before.values()) + len(TABLES) * size + 1)
             trainer, current = None, None
@@ -515,7 +516,7 @@ def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str)
                             add()
                         trainer, current = Trainer(before, decisions, turn * (PART // BATCH)), numbers[a]
                     for at in range(a, b, 16):
-                        packed = [np.frombuffer(x.as_buffer(), "<u4") for x in whole["ids"][at : min(b, at + 16)]]
+                        packed = [np.frombuffer(x.as_buffer(), subwords.packed) for x in whole["ids"][at : min(b, at + 16)]]
                         lengths = np.array([len(x) for x in packed])
                         trainer.add(*laid_out(np.concatenate(packed).astype(np.int64), lengths, subwords))
             if trainer:
@@ -534,7 +535,9 @@ def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str)
         return dealt.mapInArrow(run, out).groupBy("slice").applyInArrow(added, out)
 
     for turn in range(rounds):
-        found = sorted(one_round(turn).collect())
+        shared = spark.sparkContext.broadcast(weights)
+        found = sorted(one_round(turn, shared).collect())
+        shared.destroy()
         if not found:
             continue
         total = np.concatenate([np.frombuffer(r["total"], "<f4") for r in found])
@@ -544,7 +547,7 @@ def train(stretches: DataFrame, id_counts: np.ndarray, name: str, pattern: str)
             k: (v + total[e - v.size : e].reshape(v.shape) / np.maximum(used.get(k, total[-1]), 1)).astype(np.float32)
             for (k, v), e in zip(weights.items(), ends)
         }
-    return weights, tree
+    return weights, held_tree
 
 
 def _least_count(counts: DataFrame, head: int) -> int:
@@ -579,12 +582,12 @@ def score(documents: DataFrame, training: Column, path: str, pattern: str, head:
     id_counts[found["key"].to_numpy()] = found["n"].to_numpy()
     ends = int(id_counts[-1])  # one for each training text
     model, tree = train(passed.where(F.col("kind") == STRETCHES), id_counts, name, pattern)
-    shared = spark.sparkContext.broadcast((frequent["word"].to_numpy(), frequent["c"].to_numpy(), model, tree))
+    shared = spark.sparkContext.broadcast((frequent["word"].to_numpy(), frequent["c"].to_numpy(), model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         subwords = _subwords(name, pattern)
-        words, c, model, tree = shared.value
-        log_c, scorer = np.log10(c + 0.5), Scorer(model, tree)
+        words, c, model = shared.value
+        log_c, scorer = np.log10(c + 0.5), Scorer(model, tree.value)
         for whole in batches:
             for batch in slices(whole):
                 tokens = Tokens(batch["text"], subwords)
