@@ -8,7 +8,7 @@ can invert the network; choose it per corpus and keep it secret.
 
 Kinds: e-mail addresses (all but the last label; letters keep their case), phone numbers (+1 keeps the country code,
 others two digits), payment cards (13 to 19 digits with a right check digit), IPv4 addresses, social security numbers,
-IBANs, dates from 1700 to 2099 (2024-02-29, 29.02.2024, 02/29/2024), and keys of 32 to 128 hex digits. What fails its
+IBANs (also in groups of four), dates from 1700 to 2099 (2024-02-29, 29.02.2024, 02/29/2024, or else 29/02/2024), and keys of 32 to 128 hex digits. What fails its
 rule stays as it is.
 
 Cases: null text stays null, empty text empty; repeated rows are treated alike; all other columns are kept, whatever
@@ -26,16 +26,19 @@ KEY = "set a key of your own"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 PHONE_1 = r"(?<![0-9+])\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
-PHONE = r"(?<![0-9+])\+[2-9][0-9]{0,2}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,5})){2,5}(?![0-9])"
-CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])"
+PHONE = r"(?<![0-9+])\+[2-9][0-9]{0,2}(?:[ .-][0-9](?![0-9]))?(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{2,5})){2,5}(?![0-9])"
+PHONE_00 = r"(?<![0-9+])00[1-9][0-9]{0,2}(?:[ .-][0-9](?![0-9]))?(?:[ .-](?:\([0-9]{1,4}\)|[0-9]{2,5})){2,5}(?![0-9])"
+NATIONAL = r"(?<![0-9+.-])(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9-])"
+CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"
-ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9-])"
-DATE = r"(?<![0-9./])(?:[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9])"
+GROUPED_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+ISO_DATE = r"(?<![0-9-])[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?![0-9-])"
+DATE = r"(?<![0-9./])(?:[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9])"
 HEX_KEY = r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![A-Za-z0-9])"
 # The long ones first: at one place the first alternative that fits is taken.
-PATTERN = "|".join([EMAIL, IBAN, HEX_KEY, PHONE_1, PHONE, CARD, IP, SSN, ISO_DATE, DATE])
+PATTERN = "|".join([EMAIL, IBAN, GROUPED_IBAN, HEX_KEY, PHONE_1, PHONE, PHONE_00, NATIONAL, CARD, IP, SSN, ISO_DATE, DATE])
 
 FIRST_DAY, DAYS, DAY_ROWS = "1700-01-01", 146_097, 189  # 400 years of the calendar are 189 * 773 days
 
@@ -153,8 +156,9 @@ def _email(v: Column, key: str) -> Column:
     return F.concat(permuted_text(F.substr(v, F.lit(1), F.length(v) - F.length(last)), key, "email"), last)
 
 
-def _phone(v: Column, key: str, fixed: int) -> Column:
-    kept = lambda d: F.concat(F.substring(d, 1, fixed), permuted_digits(F.substr(d, F.lit(fixed + 1), F.length(d)), key, f"phone{fixed}"))
+def _phone(v: Column, key: str, kind: int, fixed: int) -> Column:
+    """``kind``: the digits of the country code that stay; ``fixed``: the digits before the permuted ones as written."""
+    kept = lambda d: F.concat(F.substring(d, 1, fixed), permuted_digits(F.substr(d, F.lit(fixed + 1), F.length(d)), key, f"phone{kind}"))
     return let(let(_digits(v), kept), lambda d: _refill(v, d))
 
 
@@ -208,10 +212,11 @@ def _date(v: Column, key: str, notation: str) -> Column:
         moved = let(pair, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * per_row + p["r"]).cast("int")))
         return F.date_format(moved, notation)
 
-    year, month, day = {"yyyy-MM-dd": (1, 6, 9), "dd.MM.yyyy": (7, 4, 1), "MM/dd/yyyy": (7, 1, 4)}[notation]
-    iso = F.concat_ws("-", F.substring(v, year, 4), F.substring(v, month, 2), F.substring(v, day, 2))
+    year, month, day = {"yyyy-MM-dd": (0, 1, 2), "dd.MM.yyyy": (2, 1, 0), "MM/dd/yyyy": (2, 0, 1), "dd/MM/yyyy": (2, 1, 0)}[notation]
+    parts = F.split(v, "[./-]")
+    iso = F.concat_ws("-", parts[year], F.lpad(parts[month], 2, "0"), F.lpad(parts[day], 2, "0"))
     index = F.datediff(iso.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
-    return let(index, lambda i: F.when(i.between(0, DAYS - 1), another(i)).otherwise(v))
+    return let(index, lambda i: F.when(i.between(0, DAYS - 1), another(i)).otherwise(_date(v, key, "dd/MM/yyyy") if notation == "MM/dd/yyyy" else v))
 
 
 def _hex_key(v: Column, key: str) -> Column:
@@ -224,13 +229,16 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return (
         F.when(value.contains("@"), _email(value, key))
         .when(value.rlike(_all("[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")), _iban(value, key))
-        .when(value.rlike(r"^\+1[^0-9]*[0-9]{3}[^0-9]*[0-9]{3}[^0-9]*[0-9]{4}$"), _phone(value, key, 1))
-        .when(value.startswith("+"), F.when(n.between(8, 15), _phone(value, key, 2)).otherwise(value))
-        .when(value.rlike(_all("[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}")), _card(value, key))
+        .when(value.rlike("^[A-Z]{2}[0-9]{2} "), F.regexp_replace(_iban(F.regexp_replace(value, " ", ""), key), "(.{4})(?!$)", "$1 "))
+        .when(value.rlike(r"^\+1[^0-9]*[0-9]{3}[^0-9]*[0-9]{3}[^0-9]*[0-9]{4}$"), _phone(value, key, 1, 1))
+        .when(value.startswith("+"), F.when(n.between(8, 15), _phone(value, key, 2, 2)).otherwise(value))
+        .when(value.rlike(_all(NATIONAL)), _phone(value, key, 1, 0))
+        .when(value.rlike(_all(PHONE_00)), F.when(n.between(10, 17), F.when(value.rlike("^001"), _phone(value, key, 1, 3)).otherwise(_phone(value, key, 2, 4))).otherwise(value))
+        .when(value.rlike(_all("[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}")), _card(value, key))
         .when(value.rlike(_all("[0-9A-Fa-f]{32,128}")), _hex_key(value, key))
         .when(value.rlike(_all(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")), _ip(value, key))
         .when(value.rlike(_all("[0-9]{3}-[0-9]{2}-[0-9]{4}")), _ssn(value, key))
-        .when(value.rlike(_all("[0-9]{4}-[0-9]{2}-[0-9]{2}")), _date(value, key, "yyyy-MM-dd"))
+        .when(value.rlike(_all("[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}")), _date(value, key, "yyyy-MM-dd"))
         .when(value.contains("/"), _date(value, key, "MM/dd/yyyy"))
         .otherwise(_date(value, key, "dd.MM.yyyy"))
     )

@@ -274,6 +274,23 @@ def test_numbers_with_check_rules_stay_valid(spark):
     assert (b, c) == ("000-12-3456", "666-12-3456") and a == got[3] != "123-45-6789" and re.fullmatch(r"\d{3}-\d\d-\d{4}", d)
 
 
+def test_other_written_forms_are_found(spark):
+    forms = [
+        "(523) 555-1055", "523-555-1055", "+1 523 555 1055", "0044 20 7946 0958", "+44 20 7946 0958", "+33 1 42 68 53 00",
+        "GB82 WEST 1234 5698 7654 32", "3782 822463 10005", "2024-2-9", "9.2.2024", "29/02/2024", "2/29/2024",
+    ]
+    left = ["GB82 WEST 1234 5698 7654 31", "3782 822463 10006", "31/02/2024", "123-555-1055"]
+    text = "\n".join(f"<{v}>" for v in forms + left)
+    new = pii.report(spark.createDataFrame([(1, text)], "doc_id int, text string")).first()
+    got = [x[1:-1] for x in new.text.split("\n")]
+    assert got[len(forms) :] == left and all(a != b for a, b in zip(got, forms)) and new.n_replaced == len(forms)
+    digits = [re.sub("[^0-9]", "", x) for x in got]
+    assert digits[0] == digits[1] == digits[2][1:] and digits[3] == "00" + digits[4] and digits[5].startswith("33")
+    iban = got[6].replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1 and luhn(digits[7]) % 10 == 0
+    assert "-".join(reversed(got[9].split("."))) == got[8]
+
+
 def test_the_permutation_is_one_to_one(spark):
     days = spark.range(0, 20_000).select(F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
     new = days.select(pii._treated(F.col("text"), "another key")["text"].alias("text"))
