@@ -348,7 +348,7 @@ def batch_violations(spark, sf_dir):
 
 # ---- outcomes ---------------------------------------------------------------
 
-CODES_SQL = "['InvalidParameterValue', 'Queue.InvalidMessageContents', 'InvalidAttributeValue', 'MessageTooLong', 'InvalidParameter', 'ServiceUnavailable', 'OverLimit']"
+CODES_SQL = str(list(t.ANSWER_CODES))
 PERMANENT_SQL = "regexp_matches(code, '(InvalidParameterValue|InvalidMessageContents|InvalidAttributeValue|MessageTooLong|InvalidParameter)$')"
 
 
@@ -391,7 +391,7 @@ def answer_audit(spark, sf_dir):
 from (select *, {CODES_SQL}[h % 7 + 1] code from (select *, {q.HASH} h from outbox))"""
 )
 def classify_errors(spark, sf_dir):
-    codes = F.array(*(F.lit(c.strip(" '")) for c in CODES_SQL.strip("[]").split(",")))
+    codes = F.array(*(F.lit(c) for c in t.ANSWER_CODES))
     h = t.hash16(F.col("id"))
     errors = t.outbox(spark, sf_dir).select("source", "id", "event_type", h.alias("h")).withColumn(
         "code", F.element_at(codes, (F.col("h") % 7 + 1).cast("int"))

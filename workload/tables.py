@@ -355,15 +355,17 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionByName(gauged).unionByName(up)
 
 
+ANSWER_CODES = (
+    "InvalidParameterValue", "Queue.InvalidMessageContents", "InvalidAttributeValue", "MessageTooLong", "InvalidParameter",
+    "ServiceUnavailable", "OverLimit",
+)
+"""Error codes of F8, one for each remainder of an id's hash; the queries' SQL takes them from here too."""
+
+
 def responses(spark: SparkSession, sf_dir: str, requests: DataFrame) -> DataFrame:
     """F8: what the broker answered to each request ``(call, index, id)``."""
     h = F.col("h")
-    code = F.element_at(
-        F.array(*(F.lit(c) for c in (
-            "InvalidParameterValue", "AWS.SimpleQueueService.InvalidMessageContents", "InvalidAttributeValue",
-            "MessageTooLong", "InvalidParameter", "InternalError", "KMS.AccessDeniedException",
-        ))), (h % 7 + 1).cast("int"),
-    )
+    code = F.element_at(F.array(*(F.lit(c) for c in ANSWER_CODES)), (h % len(ANSWER_CODES) + 1).cast("int"))
     hashed = requests.withColumn("h", hash16(F.col("id")))
     answered = hashed.where(h % 29 != 0)
     bad = h % 13 == 0
