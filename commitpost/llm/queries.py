@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, lm, near_dup, pii, quality, rules, substring, urls
+from . import bpe, decontaminate, language, lm, near_dup, pii, quality, rules, substring, urls, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,3 +159,8 @@ def op1_quality(spark, sf_dir):
     scored = quality.score(documents, labels, remainder(5) != 0)
     held_out = F.coalesce(remainder(5) == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"))
+
+
+@query()
+def op11_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
