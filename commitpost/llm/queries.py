@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, lm, near_dup, pii, quality, rules, substring, urls, whitening
+from . import bpe, decontaminate, language, lm, near_dup, pii, quality, rules, substring, topk, urls, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -164,3 +164,21 @@ def op1_quality(spark, sf_dir):
 @query()
 def op11_whitening(spark, sf_dir):
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+OP12 = """
+with usable as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) w from embeddings
+    where embedding is not null and vec_id is not null
+        and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+scored as (
+    select q.vec_id query_id, c.vec_id, list_inner_product(q.w, c.w)::bigint score
+    from usable q join usable c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+select query_id, r::int as "rank", vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) r from scored) where r <= 5
+"""
+
+
+@query(OP12)
+def op12_topk(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from commitpost.llm import whitening
+from commitpost.llm import topk, whitening
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -127,3 +127,92 @@ def test_large_components_stay_exact(spark):
     sums = [sum(c) for c in zip(*x)]
     want = {i: sum((90 * c - s) ** 2 for c, s in zip(v, sums)) for i, v in enumerate(x)}
     assert {r["vec_id"]: r["deviation"] for r in got} == want
+
+
+# ---- search -------------------------------------------------------------------
+
+
+def usable(rows):
+    return [(i, tuple(math.floor(256 * c) for c in v)) for i, v in rows if i is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+
+
+def by_all_pairs(rows, k, every):
+    out = []
+    points = usable(rows)
+    for n, (i, q) in enumerate(points):
+        if i % every == 0:
+            others = [(-sum(a * b for a, b in zip(q, p)), j) for m, (j, p) in enumerate(points) if m != n and len(p) == len(q)]
+            out += [(i, rank, j, -less) for rank, (less, j) in enumerate(sorted(others)[:k], 1)]
+    return sorted(out)
+
+
+def found(df, k=5, every=50):
+    return sorted(map(tuple, topk.top_k(df, F.col("vec_id") % every == 0, k).collect()))
+
+
+def clustered(n, dim, seed=0, clusters=12):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((clusters, dim))
+    values = centres[rng.integers(0, clusters, n)] + rng.standard_normal((n, dim)) * 0.02
+    return [(i, [float(np.float32(v)) for v in row]) for i, row in enumerate(values)]
+
+
+@pytest.mark.parametrize("kind", ["random", "clustered", "copies", "ties"])
+def test_search_equals_all_pairs(spark, monkeypatch, kind):
+    for name, value in {"SHARD": 150, "GROUP": 20, "BLOCK": 4, "SAMPLE": 100, "LEAF": 16, "QUERY_LEAF": 4}.items():
+        monkeypatch.setattr(topk, name, value)
+    rows = random_rows(900, 6, 4) if kind == "random" else clustered(900, 6, 4)
+    if kind == "copies":
+        rows = [(i, rows[i % 7 if i % 3 == 0 else i][1]) for i, _ in rows]
+    if kind == "ties":
+        rows = [(i, [float(round(c)) for c in v]) for i, v in rows]
+    assert found(frame(spark, rows).repartition(4), every=10) == by_all_pairs(rows, 5, 10)
+
+
+def test_odd_rows(spark):
+    rows = random_rows(40, 3, 8)
+    rows += [
+        (50, None), (60, [1.0, None, 0.0]), (70, [math.nan, 0.0, 0.0]), (80, [math.inf, 1.0, 1.0]), (None, [1.0, 1.0, 1.0]),
+        (90, []), (91, []), (100, [1.0, 2.0]), (110, [2.0, 1.0]), (120, [0.0]), (10, rows[10][1]), (10, rows[10][1]), (20, [9.0, 9.0, 9.0]),
+    ]
+    df = frame(spark, rows).select("*", F.lit("x").alias("key"), F.lit(1).alias("wanted"), F.lit(2).alias("rank"))
+    assert found(df, every=10) == by_all_pairs(rows, 5, 10)
+    assert found(df.where("1 = 0")) == [] and found(frame(spark, [(0, [1.0])])) == [] and found(frame(spark, [(1, [1.0])])) == []
+
+
+def test_scores_are_exact(spark):
+    rows = [(i, [60_000.0 - i * 0.25, -59_999.75 + i, 31_000.5]) for i in range(60)]
+    assert found(frame(spark, rows), every=20) == by_all_pairs(rows, 5, 20)
+
+
+def test_cover_tree():
+    points = np.floor(256 * np.array([v for _, v in clustered(3000, 5)]))
+    tree = topk.cover_tree(points)
+    assert sorted(tree.order) == list(range(3000)) and (tree.points == points[tree.order]).all()
+    for n in range(len(tree.start)):
+        inside = tree.points[tree.start[n] : tree.end[n]]
+        middle = tree.points[tree.centre[n]]
+        assert topk.distances(inside, middle).max() == tree.radius[n]
+        children = range(tree.child[n], tree.child[n] + tree.children[n])
+        if tree.children[n]:
+            assert tree.start[children[0]] == tree.start[n] and tree.end[children[-1]] == tree.end[n]
+            middles = [tree.points[tree.centre[c]] for c in children]
+            for a, one in enumerate(middles):
+                assert all(topk.distances(one[None], two)[0] > tree.radius[n] / 2 for two in middles[a + 1 :])
+    assert (tree.children > 0).any()
+
+
+def test_pairs_of_nodes_are_pruned():
+    points = np.floor(256 * np.array([v for _, v in clustered(4000, 5, clusters=30)]))
+    rows, queries = topk.cover_tree(points), topk.cover_tree(points[::40], topk.QUERY_LEAF)
+    best = topk.Best(queries, topk.least_scores(queries.points, points[:500], 6), 6)
+    compared = sum(
+        int((rows.end[others] - rows.start[others]).sum()) * int(queries.end[leaf] - queries.start[leaf])
+        for leaf, others in topk.descend(queries, rows, best.worst)
+    )
+    assert compared < 0.5 * len(points) * 100
+    counts = np.ones(len(points), np.int64)
+    topk.search_tree(best, rows, rows.order, np.concatenate([[0], np.cumsum(counts)]))
+    scores = topk.products(queries.points, rows.points)
+    sixth = np.sort(scores, axis=1)[:, -6]
+    assert [s for _, s in sorted(zip(best.query, best.score)) if s >= 0] and (np.sort(best.score.reshape(-1, 6), axis=1)[:, 0] == sixth).all()
