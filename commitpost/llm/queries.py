@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from workload.ship import ship
 
-from . import bpe, decontaminate, language, lm, near_dup, pii, quality, rules, substring, topk, urls, whitening
+from . import bpe, decontaminate, language, lm, near_dup, phrases, pii, quality, rules, substring, topk, urls, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -182,3 +182,38 @@ from (select *, row_number() over (partition by query_id order by score desc, ve
 @query(OP12)
 def op12_topk(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP13 = """
+with pieces as (
+    select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece
+    from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces),
+places as (select lang, w, unnest(range(1, len(w) + 1)) i from words where len(w) > 0),
+grams as materialized (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') phrase, count(*) f
+    from (select *, unnest([1, 2, 3]) k from places) where i + k - 1 <= len(w) group by all),
+totals as (select lang, sum(f)::bigint n from grams where k = 1 group by 1),
+candidates as materialized (select lang, k, phrase, f a, string_split(phrase, ' ') w from grams where k > 1 and f >= 10),
+halves as materialized (
+    select lang, k, phrase, a, w, j, array_to_string(w[1 : j], ' ') p, array_to_string(w[j + 1 :], ' ') q
+    from (select *, unnest(range(1, k)) j from candidates)),
+cuts as (
+    select h.*, x.f l, y.f r, (1000000::hugeint * a * a) // (x.f::hugeint * y.f) s
+    from halves h join grams x on x.lang = h.lang and x.phrase = h.p join grams y on y.lang = h.lang and y.phrase = h.q),
+chosen as (select * from (select *, row_number() over (partition by lang, phrase order by s, j) o from cuts) where o = 1),
+longer as (
+    select lang, part, max(a) longest from (
+        select lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) part from candidates where k = 3) group by all),
+kept as (
+    select c.* from chosen c left join longer x on x.lang = c.lang and x.part = c.phrase
+    where x.longest is null or 100 * x.longest < 50 * a),
+ranked as (select *, row_number() over (partition by lang order by s desc, a desc, phrase) place from kept)
+select lang, place as "rank", phrase, a, l, r, n, s::bigint score from ranked join totals using (lang) where place <= 2000
+"""
+
+
+@query(OP13)
+def op13_phrases(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
