@@ -37,7 +37,8 @@ LEAST, TOP, COVERED = 10, 2_000, 50
 PART = 1 << 19  # candidates of a trie, and words of a vocabulary part, about
 PART_CODES = 1 << 20  # codes of a vocabulary part; parts are dealt by hash, so none is twice the usual size
 HELD = 1 << 20  # rows a task keeps before it hands on their counts
-HELD_KEYS = 1 << 22
+HELD_KEYS = 1 << 20
+CODE_BYTES = 1 << 21  # codes are worked on in stretches of about this size
 SIEVE_BITS = 25
 SALTS = 64  # each language's first rows are taken from so many parts of it
 ROOT = 0
@@ -161,9 +162,11 @@ def filled(rows: DataFrame, known: Broadcast, last: bool) -> DataFrame:
     return rows.mapInArrow(fill, ", ".join([*(f"{c} string" for c in kept), "codes binary"]))
 
 
-def codes_of(batch: pa.RecordBatch) -> np.ndarray:
-    """The codes of all rows, one after the other."""
-    return np.frombuffer(b"".join(batch["codes"].to_pylist()), np.int32)
+def stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The codes of some rows at a time, one after the other."""
+    for batch in batches:
+        for part in slices(batch, "codes", CODE_BYTES):
+            yield np.frombuffer(b"".join(part["codes"].to_pylist()), np.int32)
 
 
 # ---- tries --------------------------------------------------------------------
@@ -390,8 +393,7 @@ def neighbours(codes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = Keys()
-        for batch in batches:
-            found = codes_of(batch)
+        for found in stretches(batches):
             both = np.flatnonzero((found[:-1] > 0) & (found[1:] > 0))
             seen.add(pair_key(found[both], found[both + 1]))
             if (ready := seen.out()) is not None:
@@ -430,8 +432,7 @@ def advanced(codes: DataFrame, sent: Broadcast, words: int, digits: int) -> Data
             at = owner[ready[0] >> 32]
             return counted(level.a[at], ready[0] & 0xFFFFFFFF, ready[1])
 
-        for batch in batches:
-            found = codes_of(batch)
+        for found in stretches(batches):
             place, states = walk(level.trie, found, words, digits)
             total += np.bincount(states, minlength=size)
             if level.sieve is not None:
