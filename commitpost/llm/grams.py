@@ -1,7 +1,9 @@
 """Words and hashes of many texts at once: numpy over the bytes of an Arrow column.
 
-All hashes are polynomials modulo 2**64 with a final mix. They only propose; where a result must be exact, the
-operator compares the words themselves, or two independent hashes (128 bits).
+Spans of up to ``SHORT`` bytes, and runs of words, are hashed by polynomials modulo 2**64 with a final mix, longer spans
+by a keyed BLAKE2b digest. The limit matters: for every odd base some pairs of two-letter words of 1,024 letters have
+equal polynomials modulo 2**64, and shorter ones agree in part of their bits (19 of 64 at 32 letters or words). Two such
+hashes together keep 90 bits or more that no repetition pattern of a word or window can make equal.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import pyarrow.compute
 SLICE_BYTES = 1 << 20
 """Texts are worked on in slices of about this size, so that memory depends on the longest text, not on the batch."""
 
+SHORT = 32
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 LETTERS_DIGITS = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 """Bytes of the words [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ of a lower-cased text."""
@@ -50,12 +53,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-    """Hash of values[start:end] for each span."""
+    """Hash of values[start:end] for each span of bytes or of hashes."""
     up, down = powers(base, len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=sums[1:])
     raw = (sums[ends] - sums[starts]) * down[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    found = mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    if values.dtype == np.uint8:
+        key = base.to_bytes(8, "little")
+        for i in np.flatnonzero(ends - starts > SHORT):
+            digest = hashlib.blake2b(values[starts[i] : ends[i]], digest_size=8, key=key).digest()
+            found[i] = int.from_bytes(digest, "little")
+    return found
 
 
 class Texts:

@@ -223,6 +223,28 @@ def test_substrings_of_odd_and_empty_tables(spark):
     assert substring.dedup(no_documents(spark)).count() == 0
 
 
+def thue_morse(letters, size):
+    return "".join(letters[i.bit_count() % 2] for i in range(size))
+
+
+@pytest.mark.parametrize("size", [32, 64, 512, 1024, 2048])
+def test_words_that_polynomials_confuse(spark, size):
+    """Hashes, substrings and line counts tell a Thue-Morse word from its complement."""
+    one, two = thue_morse("ab", size), thue_morse("ba", size)
+    words = grams.Texts(pa.array([f"{one} {two}"])).words()
+    for which in (0, 1):
+        a, b = words.hashes(which).tolist()
+        assert a != b
+    both = grams.Texts(pa.array([" ".join(thue_morse([letters, letters[::-1]], 64)) for letters in ("xy", "yx")])).words()
+    assert len({tuple(both.gram_hashes(np.array([at]), 64, which)[0] for which in (0, 1)) for at in both.offsets[:-1]}) == 2
+    shared = prose(4, 49, [f"s{i}" for i in range(90)])
+    docs = [(1, f"{shared} {one}"), (2, f"{shared} {two}"), (3, f"{shared} {one}")]
+    got = substring.dedup(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted(tuple(r) for r in got) == plain_cut(docs, 50)
+    text = f"{one}\n{two}\n{one} x y\n{two} x y"
+    assert [r[:5].tolist() for r in rules.statistics(pa.array([text]))] == [plain_counts(text)]
+
+
 # ---- rules
 
 
