@@ -113,19 +113,29 @@ def insert_values(data: Column, names: Column) -> Column:
     )
 
 
-def relation_asof(log: DataFrame, limit: int | None = None) -> DataFrame:
-    """Inserts with the position and columns of the latest relation message of their table."""
-    rows = log.where(F.col("kind").isin("R", "I"))
-    relation = F.struct("wal_pos", relation_columns(F.col("data")).alias("names"))
-    known = {"relation": Agg("last", F.when(F.col("kind") == "R", relation))}
+def relation_asof(log: DataFrame, limit: int | None = None, inserts: DataFrame | None = None) -> DataFrame:
+    """Inserts (of ``log``, or those given) with the position and columns of the latest relation message of their table.
+
+    Only positions are scanned: the bytes of the inserts stay out of the window."""
+    if inserts is None:
+        inserts = log.where(F.col("kind") == "I").select("source", "wal_pos", "relation_oid")
+    relation = F.struct("wal_pos", relation_columns(F.col("data")).alias("names")).alias("relation")
+    relations = log.where(F.col("kind") == "R").select("source", "wal_pos", "relation_oid", relation)
+    rows = inserts.unionByName(relations, allowMissingColumns=True).withColumnRenamed("relation", "_relation")
+    known = {"relation": Agg("last", F.col("_relation"))}
     found = running(rows, ["source", "relation_oid"], ["wal_pos"], known, chunks(), limit=limit)
-    return found.where(F.col("kind") == "I")
+    return found.where(F.col("_relation").isNull()).drop("_relation")
 
 
-def decode(log: DataFrame, limit: int | None = None) -> DataFrame:
+def with_data(inserts: DataFrame, log: DataFrame) -> DataFrame:
+    """Inserts with their bytes, which are joined once, after all scans."""
+    return inserts.join(log.where(F.col("kind") == "I").select("source", "wal_pos", "data"), ["source", "wal_pos"])
+
+
+def decode(found: DataFrame) -> DataFrame:
     """Each insert with its column ``names`` and ``values``, or the ``error`` that makes it unreadable."""
-    found = relation_asof(log, limit).withColumn("names", F.col("relation.names"))
-    kept = [c for c in log.columns if c != "data"]
+    kept = [c for c in found.columns if c not in ("data", "relation")]
+    found = found.withColumn("names", F.col("relation.names"))
     # A generator, so that each message is read once however often its values are used.
     return found.select(*kept, "names", F.inline(F.array(insert_values(F.col("data"), F.col("names")))))
 
@@ -140,36 +150,72 @@ def column_of(name: str) -> Column:
     return F.get("values", F.array_position("names", name).cast("int") - 1)
 
 
-def assemble(log: DataFrame, limit: int | None = None) -> DataFrame:
-    """Inserts of committed transactions, with the position and time of their commit.
-
-    An insert is committed if the next begin or commit after it is a commit; a transaction of any size
-    needs no buffer for that. Rolled-back and cut-off transactions give nothing.
-    """
-    rows = log.where(F.col("kind").isin("B", "I", "R", "C"))
-    boundary = F.when(F.col("kind").isin("B", "C"), F.struct("kind", "end_lsn", "commit_micros"))
-    ahead = {"_next": Agg("last", boundary)}
-    seen = running(rows, ["source"], ["wal_pos"], ahead, chunks(), descending=True, limit=limit)
-    committed = seen.where(F.col("kind").isin("I", "R") & ((F.col("kind") == "R") | (F.col("_next.kind") == "C")))
-    return committed.select(
-        "source", "wal_pos", "kind", "relation_oid", "data",
-        F.col("_next.end_lsn").alias("commit_lsn"),
-        text.commit_time(F.col("_next.commit_micros")).alias("committed_at"),
+COMMITTED, OPEN, LOST, STRAY = "committed", "open", "lost", "stray"
+
+
+def boundaries(log: DataFrame, limit: int | None = None) -> DataFrame:
+    """Begins and commits, each with the one after it in ``after`` (null: none yet) and the kind of the one before."""
+    rows = log.where(F.col("kind").isin("B", "C")).select("source", "wal_pos", "kind", "end_lsn", "commit_micros")
+    this = F.struct("kind", "end_lsn", "commit_micros")
+    rows = running(rows, ["source"], ["wal_pos"], {"after": Agg("last", this)}, chunks(), before=True, descending=True, limit=limit)
+    return running(rows, ["source"], ["wal_pos"], {"before": Agg("last", F.col("kind"))}, chunks(), before=True, limit=limit)
+
+
+def transactions(log: DataFrame, bounds: DataFrame, limit: int | None = None) -> DataFrame:
+    """Inserts without their bytes, with the position and time of their commit and the ``state`` of their transaction.
+
+    Between a begin and a commit they are committed; open if nothing follows the begin yet, lost if another begin does
+    (rolled back or cut off); stray if no begin comes before. A transaction of any size needs no buffer for that."""
+    span = F.struct(F.col("kind").alias("opened"), "after").alias("span")
+    inserts = log.where(F.col("kind") == "I").select("source", "wal_pos", "relation_oid")
+    rows = inserts.unionByName(bounds.select("source", "wal_pos", span), allowMissingColumns=True)
+    seen = running(rows, ["source"], ["wal_pos"], {"_in": Agg("last", F.col("span"))}, chunks(), limit=limit)
+    after = F.col("_in.after.kind")
+    state = F.when(F.coalesce(F.col("_in.opened") != "B", F.lit(True)), STRAY).when(after.isNull(), OPEN).when(after == "C", COMMITTED)
+    return seen.where("span is null").select(
+        "source", "wal_pos", "relation_oid", state.otherwise(LOST).alias("state"),
+        F.col("_in.after.end_lsn").alias("commit_lsn"), text.commit_time(F.col("_in.after.commit_micros")).alias("committed_at"),
     )
 
 
+def assemble(log: DataFrame, limit: int | None = None) -> DataFrame:
+    """Inserts of committed transactions, with the position and time of their commit."""
+    found = transactions(log, boundaries(log, limit), limit)
+    return found.where(F.col("state") == COMMITTED).drop("state")
+
+
 def progress_marks(log: DataFrame, limit: int | None = None) -> DataFrame:
     """Positions the source has sent everything up to: commits, and keepalives between transactions."""
     rows = log.where(F.col("kind").isin("B", "C", "K")).select("source", "wal_pos", "kind", "end_lsn")
     latest = {"_open": Agg("last", F.when(F.col("kind") != "K", F.col("kind")))}
-    seen = running(rows, ["source"], ["wal_pos"], latest, chunks(), limit=limit)
-    between = (F.col("kind") == "K") & (F.coalesce("_open", F.lit("C")) == "C")
-    return seen.where((F.col("kind") == "C") | between).select("source", "wal_pos", F.col("end_lsn").alias("lsn"))
+    seen = running(rows, ["source"], ["wal_pos"], latest, chunks(), before=True, limit=limit)
+    marks = F.when(F.col("kind") == "C", F.col("_open") == "B").when(F.col("kind") == "K", F.coalesce("_open", F.lit("C")) == "C")
+    return seen.where(marks).select("source", "wal_pos", F.col("end_lsn").alias("lsn"))
+
+
+def located(log: DataFrame, bounds: DataFrame, limit: int | None = None) -> DataFrame:
+    """All inserts with the state of their transaction, their relation and their bytes."""
+    return with_data(relation_asof(log, limit, transactions(log, bounds, limit)), log)
+
+
+def strays(found: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Inserts and commits outside any transaction, as rejects."""
+    inserts = found.where(F.col("state") == STRAY).select("source", "wal_pos", F.lit("an insert outside of a transaction").alias("error"))
+    commits = bounds.where((F.col("kind") == "C") & F.coalesce(F.col("before") != "B", F.lit(True)))
+    return inserts.unionByName(commits.select("source", "wal_pos", F.lit("a commit without its begin").alias("error")))
 
 
 def decoded_events(log: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Committed outbox events of a log, and the inserts that cannot be events, each with its reason."""
-    rows = decode(assemble(log))
+    """Committed outbox events of a log, and the messages that cannot be events or ends of one, each with its reason."""
+    bounds = boundaries(log)
+    found = located(log, bounds)
+    events, rejects = read_inserts(found.where(F.col("state") == COMMITTED).drop("state"))
+    return events, rejects.unionByName(strays(found, bounds))
+
+
+def read_inserts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events of located inserts, and the inserts that cannot be events."""
+    rows = decode(found)
     missing = F.coalesce(
         "error",
         *(F.when(column_of(c).isNull(), F.lit(f"no value for `{c}`")) for c in REQUIRED),

@@ -99,7 +99,7 @@ def resume_after(spark, sf_dir):
 from wal_log w join wal_events e on w.source = e.source and w.id = e.id where w.kind = 'I' and e.tx % 13 <> 0"""
 )
 def txn_assembly(spark, sf_dir):
-    rows = changelog.assemble(wal(spark, sf_dir)).where(F.col("kind") == "I")
+    rows = changelog.assemble(wal(spark, sf_dir))
     return rows.select("source", "wal_pos", "commit_lsn", us("committed_at").alias("committed_us"))
 
 

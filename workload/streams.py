@@ -7,10 +7,12 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from commitpost.plans.stage import new_path, stage
+from commitpost.sources.schema import EVENT_COLUMNS
 from commitpost.streaming.relay import Relay, dedup_stream, read_events
+from commitpost.streaming.tail import LOG_SCHEMA, LogTail
 
 from . import tables as t, tables_sql as q
-from .queries import query
+from .queries import ORACLE, query
 
 SLICES = 3
 
@@ -99,6 +101,42 @@ def stream_tail(spark, sf_dir):
     return spark.read.parquet(out).select("source", "id", "commit_lsn", "row_seq", "payload", "occurred_at")
 
 
+@once
+def tailed(spark: SparkSession, sf_dir: str) -> LogTail:
+    """The decoder after the log has arrived in stretches cut where it hurts: between the inserts of a transaction, and
+    between a relation message and the first insert that needs it."""
+    log = stage(t.wal_log(spark, sf_dir), "log")
+    ends = log.where("kind = 'R'").select(F.explode(F.array(F.col("wal_pos") + 40, F.col("wal_pos") + 390)).alias("cut"))
+    cuts = ends.agg(F.percentile("cut", [0.2, 0.4, 0.6, 0.8]).alias("c")).first()["c"]  # between messages or at one
+    cuts = [int(c) for c in cuts]
+    tail = LogTail(spark, new_path(spark, "tail"))
+    inbox, checkpoint = new_path(spark, "log"), new_path(spark, "offsets")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = log.where(F.lit(True) if low is None else F.col("wal_pos") >= low)
+        arrive(part.where(F.lit(True) if high is None else F.col("wal_pos") < high), inbox)
+        tail.start(spark.readStream.schema(LOG_SCHEMA).parquet(inbox), checkpoint).awaitTermination()
+    return tail
+
+
+@query(ORACLE["wal_decode"])
+def stream_wal(spark, sf_dir):
+    """The events of ``wal_decode``, out of a log that arrives piece by piece."""
+    events = tailed(spark, sf_dir).table("events").where("progress is null")
+    micros = [F.unix_micros(c).alias(f"{c.removesuffix('_at')}_us") for c in ("created_at", "committed_at")]
+    return events.select(*[c for c in EVENT_COLUMNS if c not in ("created_at", "committed_at")], *micros)
+
+
+@query(ORACLE["wal_rejects"])
+def stream_wal_rejects(spark, sf_dir):
+    return tailed(spark, sf_dir).table("rejects").select("source", "wal_pos", "error")
+
+
+@query(ORACLE["progress_marks"].replace("wal_pos, end_lsn lsn", "end_lsn lsn"))
+def stream_wal_marks(spark, sf_dir):
+    """The marks of ``progress_marks``, as the relay reads them."""
+    return tailed(spark, sf_dir).table("events").where("progress").select("source", F.col("commit_lsn").alias("lsn"))
+
+
 @query(
     q.with_(q.ATTEMPTS)
     + """select source, id, attempt, commit_lsn, concat_ws(':', source, id) dedup_id from attempts where outcome = 'ok'"""
