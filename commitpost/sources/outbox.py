@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -63,9 +63,34 @@ def read_tenants(spark: SparkSession, root: str, databases: list[str]) -> DataFr
     return spark.read.option("basePath", root).parquet(*(f"{root}/source={name}" for name in names))
 
 
-def resume_after(events: DataFrame, acks: DataFrame) -> DataFrame:
+LITERAL_SOURCES = 1_000
+"""Up to so many positions become literals of the filter, which prune files and row groups; more are joined."""
+
+
+def past(positions: Sequence[tuple[str, int, int | None]]) -> Column:
+    """True for events after the position ``(source, commit_lsn, row_seq)`` of their source, and for sources without one.
+
+    A ``row_seq`` of None stands for the whole of ``commit_lsn``. The filter has a bound for each listed source, so a
+    scan reads the row groups behind it only."""
+    ahead = ~F.col("source").isin([source for source, _, _ in positions]) if positions else F.lit(True)
+    for source, lsn, seq in positions:
+        later = F.col("commit_lsn") > lsn
+        if seq is not None:
+            later = later | (F.col("commit_lsn") == lsn) & (F.col("row_seq") > seq)
+        ahead = ahead | (F.col("source") == source) & later
+    if positions:
+        # Implied by the above for listed sources; stated alone it reaches the scan's statistics.
+        lowest = min(lsn for _, lsn, _ in positions)
+        ahead = ahead & ((F.col("commit_lsn") >= lowest) | ~F.col("source").isin([source for source, _, _ in positions]))
+    return ahead
+
+
+def resume_after(events: DataFrame, acks: DataFrame, literals: int = LITERAL_SOURCES) -> DataFrame:
     """Events after the acknowledged position of their source; a source without one starts from the beginning."""
-    acked = acks.groupBy("source").agg(F.max("acked").alias("_acked"))
+    acked = acks.groupBy("source").agg(F.max("acked").alias("_acked")).where("source is not null and _acked is not null")
+    known = acked.limit(literals + 1).collect()
+    if len(known) <= literals:
+        return events.where(past([(r["source"], r["_acked"], None) for r in known]))
     spread = F.concat_ws(":", "commit_lsn", "row_seq")
     joined = lookup_join(events, acked, ["source"], spread)
     return joined.where(F.col("commit_lsn") > F.coalesce("_acked", F.lit(0))).drop("_acked")

@@ -17,7 +17,7 @@ ROWS_OUT = 10_000
 
 Send = Callable[[list[dict]], Iterable[tuple]]
 """Sends the entries of one call. Answers ``(index, ok, sender_fault, code, message)`` per entry it knows of;
-raises ``CallError`` if the call failed as a whole."""
+raises ``CallError`` if the call failed as a whole; any other exception stops its source until the next step."""
 
 
 class CallError(Exception):
@@ -25,46 +25,60 @@ class CallError(Exception):
 
 
 def judged(entries: list[dict], send: Send) -> dict[int, tuple[str, str]]:
-    """Outcome and reason of every entry of a call. What is not reported is retried."""
+    """Outcome and reason of every entry of a call. What is not reported is retried, as is all of a call that raises."""
+    return answered(entries, send)[0]
+
+
+def answered(entries: list[dict], send: Send) -> tuple[dict[int, tuple[str, str]], bool]:
+    """``judged``, and whether the broker is out of reach: the client broke, or refused a call of several entries."""
     try:
         answers = list(send(entries))
     except CallError as error:
         code = str(error.args[0])
         kind = "permanent" if len(entries) == 1 and code == CALL_TOO_LONG else "retryable"
-        return {entry["index"]: (kind, code) for entry in entries}
+        return {entry["index"]: (kind, code) for entry in entries}, len(entries) > 1
+    except Exception as error:  # the client itself broke: its source waits, the others go on
+        return {entry["index"]: ("retryable", f"{type(error).__name__}: {error}") for entry in entries}, True
     found = {entry["index"]: ("retryable", NOT_REPORTED) for entry in entries}
     for index, ok, sender_fault, code, message in sorted(answers, key=lambda answer: not answer[1]):
         if index in found:
             content = sender_fault and code.endswith(CONTENT_ERRORS)
             kind = "permanent" if content else "retryable"
             found[index] = ("ok", "") if ok else (kind, f"{code}: {message}")
-    return found
+    return found, False
 
 
 def send_in_order(requests: DataFrame, send: Send, retries: int = 0) -> DataFrame:
     """Sends every call of every lane in order, and returns an outcome row per attempt made.
 
     A retryable failure is sent again up to ``retries`` times; then later events of its key are not sent, so
-    none overtakes it. Lanes are shared among tasks; only keys that failed are remembered.
-    ``requests`` has ``order_key`` and ``attempt``, the attempts made before.
+    none overtakes it. Lanes are shared among tasks; only keys that failed are remembered. If the broker is out of
+    reach for a source, the task sends nothing more of that source, whose other events wait untried, and goes on with
+    the others: a failing source holds back itself only. ``requests`` has ``order_key`` and ``attempt``, the attempts made before.
     """
 
     def attempts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         rows = (row for batch in batches for row in batch.to_dict("records"))
         stopped: set[str] = set()
-        for _, call in groupby(rows, key=itemgetter(*CALL)):
+        down: set[str] = set()
+        for (source, *_), call in groupby(rows, key=itemgetter(*CALL)):
+            if source in down:
+                continue
             entries = [entry for entry in call if entry["order_key"] not in stopped]
+            unreachable = False
             for again in range(retries + 1):
                 if not entries:
                     break
                 for entry in entries:
                     entry["attempt"] += 1
-                found = judged(entries, send)
+                found, unreachable = answered(entries, send)
                 at = pd.Timestamp.now(tz="UTC")
                 for entry in entries:
                     yield entry["source"], entry["id"], entry["attempt"], *found[entry["index"]], at
                 entries = [entry for entry in entries if found[entry["index"]][0] == "retryable"]
             stopped.update(entry["order_key"] for entry in entries)
+            if unreachable:  # still, after the last try
+                down.add(source)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["source", "id", "attempt", "outcome", "reason", "sent_at"]

@@ -156,3 +156,18 @@ def test_window_streams(spark, tmp_path):
     assert sorted(r["dedup_id"] for r in kept.collect()) == ["a", "b", "c"]
     rates = spark.read.parquet(str(tmp_path / "rate")).select(F.unix_seconds("minute").alias("m"), "deliveries")
     assert sorted(map(tuple, rates.collect())) == [(0, 1), (60, 1), (120, 1)]
+
+
+def test_a_source_whose_client_breaks_holds_back_itself_only(backlog):
+    """Each task tries it once and leaves its other calls alone."""
+
+    def broken_for_one(entries):
+        if entries[0]["source"] == "s1":
+            raise TimeoutError("no route")
+        return [(e["index"], True, False, "", "") for e in entries]
+
+    rows = send_in_order(requests(backlog, lanes=1), broken_for_one).collect()
+    sent = {r["id"] for r in rows if r["outcome"] == "ok"}
+    assert sent == {r["id"] for r in backlog.where("source = 's0'").collect()}
+    failed = [r for r in rows if r["source"] == "s1"]
+    assert {(r["outcome"], r["reason"]) for r in failed} == {("retryable", "TimeoutError: no route")} and len(failed) <= 10

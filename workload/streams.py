@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from commitpost.plans.stage import new_path, stage
 from commitpost.sources.schema import EVENT_COLUMNS
+from commitpost.streaming.paged import PagedOutbox
 from commitpost.streaming.relay import Relay, dedup_stream, read_events
 from commitpost.streaming.tail import LOG_SCHEMA, LogTail
 
@@ -278,37 +279,69 @@ def stream_drain(spark, sf_dir):
     return runs[0].unionByName(runs[1])
 
 
+def down_for_one(entries: list[dict]) -> list[tuple]:
+    """The broker of F5, which tenant_2 cannot reach."""
+    if entries[0]["source"] == "tenant_2":
+        raise ConnectionError("tenant_2 has no broker")
+    return broker(entries)
+
+
+@once
+def isolated(spark: SparkSession, sf_dir: str) -> Relay:
+    """One job for all tenants; the sender raises for one of them."""
+    relay = Relay(spark, new_path(spark, "relay"), down_for_one, retries=3)
+    inbox = new_path(spark, "inbox")
+    arrive(t.outbox(spark, sf_dir), inbox)
+    relay.start(read_events(spark, inbox), new_path(spark, "offsets")).awaitTermination()
+    return relay
+
+
 @query(
     q.with_(q.ATTEMPTS)
     + "select source, id, attempt from attempts where outcome = 'ok' and source <> 'tenant_2'"
 )
 def stream_tenants(spark, sf_dir):
-    """One query per tenant, at the same time; tenant_2 fails and holds back no other."""
-    events = stage(t.outbox(spark, sf_dir), "events")
-    inbox = new_path(spark, "inbox")
-    events.write.partitionBy("source").parquet(inbox)
+    """A failing tenant holds back no other."""
+    return isolated(spark, sf_dir).table("deliveries").select("source", "id", "attempt")
 
-    def failing(entries):
-        raise ConnectionError("tenant_2 has no broker")
 
-    relays, streams = [], []
-    for number in range(5):
-        name = f"tenant_{number}"
-        relay = Relay(spark, new_path(spark, "relay"), failing if number == 2 else broker, retries=3)
-        rows = read_events(spark, f"{inbox}/source={name}").withColumn("source", F.lit(name))
-        streams.append(relay.start(rows, new_path(spark, "offsets")))
-        relays.append(relay)
-    for number, stream in enumerate(streams):
-        try:
-            stream.awaitTermination()
-        except Exception:
-            if number != 2:
-                raise
-    delivered = [relay.table("deliveries").select("source", "id", "attempt") for relay in relays]
-    union = delivered[0]
-    for rows in delivered[1:]:
-        union = union.unionByName(rows)
-    return union
+@query(q.with_(q.OUTBOX) + "select source, id, commit_lsn from outbox where source = 'tenant_2'")
+def stream_tenants_pending(spark, sf_dir):
+    """All of the failing tenant's events wait, and nothing else does."""
+    relay = isolated(spark, sf_dir)
+    return relay.at_step("pending", relay.last_step()).select("source", "id", "commit_lsn")
+
+
+PAGE = 400
+
+
+@query(
+    q.with_(q.OUTBOX)
+    + f"""select page, source, count(*) events, min(commit_lsn) first_lsn, max(commit_lsn) last_lsn, count(distinct id) ids
+from (select *, cast((row_number() over (partition by source order by commit_lsn, row_seq) - 1) // {PAGE} as int) page from outbox) group by all"""
+)
+def stream_flush(spark, sf_dir):
+    """Pages of at most so many events of each source, read by position; the job dies in its second page, whose restart
+    reads the same events."""
+    events = stage(t.outbox(spark, sf_dir), "events")
+    store, out = new_path(spark, "positions"), new_path(spark, "pages")
+    died: list[int] = []
+
+    def keep(rows: DataFrame, page: int) -> None:
+        rows.select("source", "id", "commit_lsn").write.mode("overwrite").parquet(f"{out}/page={page}")
+        if page == 1 and not died:
+            died.append(page)
+            raise Crash
+
+    try:
+        PagedOutbox(spark, events, store, PAGE).run(keep)
+    except Crash:
+        PagedOutbox(spark, events, store, PAGE).run(keep)
+    pages = spark.read.parquet(out)
+    return pages.groupBy("page", "source").agg(
+        F.count(F.lit(1)).alias("events"), F.min("commit_lsn").alias("first_lsn"), F.max("commit_lsn").alias("last_lsn"),
+        F.count_distinct("id").alias("ids"),
+    )
 
 
 @query(q.with_(q.DELIVERIES) + "select distinct source, id from deliveries")
