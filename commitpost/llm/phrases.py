@@ -134,14 +134,33 @@ def encode(texts: DataFrame, words: DataFrame, parts: int) -> DataFrame:
     spark = texts.sparkSession
     rows = texts.withColumn("codes", F.lit(None).cast("binary"))
     for part in range(parts):
-        mine = words.where(F.col("part") == part).select("lang", "word", "code").toArrow()
-        keys = [lang.encode() + b"\t" + word.encode() for lang, word in zip(mine["lang"].to_pylist(), mine["word"].to_pylist())]
-        known = spark.sparkContext.broadcast(dict(zip(keys, mine["code"].to_pylist())))
+        key = F.encode(F.concat_ws("\t", "lang", "word"), "UTF-8").alias("key")
+        mine = words.where(F.col("part") == part).select(key, "code").toArrow()
+        known = spark.sparkContext.broadcast(Vocabulary(mine))
         rows = stage(filled(rows, known, part == parts - 1), "phrase-codes")
         known.unpersist()
     return rows
 
 
+class Vocabulary:
+    """The codes of words by ``lang <tab> word``. It travels as columns; a task's process makes its dictionary once."""
+
+    def __init__(self, table: pa.Table):
+        self.table, self.codes = table, None
+
+    def __getstate__(self):
+        return self.table, None
+
+    def __setstate__(self, state):
+        self.table, self.codes = state
+
+    def of(self, keys: list[bytes]) -> np.ndarray:
+        if self.codes is None:
+            self.codes = dict(zip(self.table["key"].to_pylist(), self.table["code"].to_pylist()))
+            self.table = None
+        return np.array([self.codes.get(key, 0) for key in keys], np.int32)
+
+
 def filled(rows: DataFrame, known: Broadcast, last: bool) -> DataFrame:
     kept = [] if last else ["lang", "text"]
 
@@ -149,7 +168,7 @@ def filled(rows: DataFrame, known: Broadcast, last: bool) -> DataFrame:
         for batch in batches:
             for part in slices(batch):
                 cut = Cut(part)
-                found = np.array([known.value.get(key, 0) for key in cut.keys()], np.int32)
+                found = known.value.of(cut.keys())
                 codes = np.zeros(cut.offsets[-1], np.int32)
                 codes[cut.place] = found[cut.which]
                 old = [v for v in part["codes"].to_pylist() if v is not None]
