@@ -13,11 +13,14 @@ from __future__ import annotations
 
 import datetime
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from commitpost.functions import outcome, text
+from commitpost.operators.dedup import DEDUP_WINDOW_MS
 from commitpost.operators.messages import publish_requests
 from commitpost.operators.outcomes import new_dead_letters
 from commitpost.plans.batches import MAX_EVENTS
@@ -229,6 +232,35 @@ def dedup_stream(deliveries: DataFrame, minutes: int = 5) -> DataFrame:
     return marked.dropDuplicatesWithinWatermark(["dedup_id"])
 
 
+def exact_dedup_stream(sends: DataFrame, window_ms: int = DEDUP_WINDOW_MS, lateness: str = "5 minutes") -> DataFrame:
+    """``(dedup_id, sent_ms)`` that a queue accepts: not within the window after an accepted one of the same id.
+
+    The last accepted time of an id is its state, and the window is measured from that, not from copies. Event time
+    evicts it: once the watermark has passed the end of its window, no copy can fall inside. Sends of an id must arrive
+    in time order from one micro-batch to the next, as a delivery log does; those of one micro-batch may be mixed."""
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    def accept(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        times = sorted({int(ms) for batch in batches for ms in batch["sent_ms"]})
+        accepted = state.get[0] if state.exists else None
+        kept = []
+        for ms in times:
+            if accepted is None or ms - accepted >= window_ms:
+                accepted = ms
+                kept.append(ms)
+        state.update((accepted,))
+        state.setTimeoutTimestamp(max(accepted + window_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"dedup_id": key[0], "sent_ms": kept})
+
+    marked = sends.select("dedup_id", F.unix_millis("sent_at").alias("sent_ms"), "sent_at").withWatermark("sent_at", lateness)
+    return marked.groupBy("dedup_id").applyInPandasWithState(
+        accept, "dedup_id string, sent_ms bigint", "accepted bigint", "append", GroupStateTimeout.EventTimeTimeout
+    )
+
+
 def rate_stream(deliveries: DataFrame, lateness: str = "5 minutes") -> DataFrame:
     """Deliveries per source and minute; a minute is final once ``lateness`` has passed."""
     marked = deliveries.withWatermark("sent_at", lateness)

@@ -6,10 +6,11 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from commitpost.functions import text
 from commitpost.plans.stage import new_path, stage
 from commitpost.sources.schema import EVENT_COLUMNS
 from commitpost.streaming.paged import PagedOutbox
-from commitpost.streaming.relay import Relay, dedup_stream, read_events
+from commitpost.streaming.relay import Relay, exact_dedup_stream, rate_stream, read_events
 from commitpost.streaming.tail import LOG_SCHEMA, LogTail
 
 from . import tables as t, tables_sql as q
@@ -344,13 +345,33 @@ def stream_flush(spark, sf_dir):
     )
 
 
-@query(q.with_(q.DELIVERIES) + "select distinct source, id from deliveries")
+@query(ORACLE["fifo_dedup"])
 def stream_dedup(spark, sf_dir):
-    """Every id passes the window at least once."""
-    sends = stage(t.deliveries(spark, sf_dir), "sends").withColumn("dedup_id", F.concat_ws(":", "source", "id"))
+    """What ``fifo_dedup`` accepts, send by send: copies 30 s later are dropped, those 10 min later are not. The log
+    arrives in slices of its time, and some copies in a later slice than their first send."""
+    sends = stage(t.deliveries(spark, sf_dir), "sends").select(text.dedup_key().alias("dedup_id"), "sent_at")
+    low, high = sends.agg(F.min(F.unix_millis("sent_at")), F.max(F.unix_millis("sent_at"))).first()
+    width = (high - low) // SLICES + 1
     inbox, out, checkpoint = new_path(spark, "inbox"), new_path(spark, "dedup"), new_path(spark, "offsets")
-    arrive(sends.select("dedup_id", "source", "id", "sent_at"), inbox)
-    stream = spark.readStream.schema("dedup_id string, source string, id string, sent_at timestamp").parquet(inbox)
-    writer = dedup_stream(stream).writeStream.format("parquet").option("path", out)
-    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out).select("source", "id").distinct()
+    for i in range(SLICES):
+        arrive(sends.where(F.floor((F.unix_millis("sent_at") - low) / width) == i), inbox)
+        stream = spark.readStream.schema("dedup_id string, sent_at timestamp").parquet(inbox)
+        writer = exact_dedup_stream(stream).writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query(ORACLE["rate_per_minute"])
+def stream_rate(spark, sf_dir):
+    """Counts of ``rate_per_minute`` as a stream; one send a day after the last closes every minute before it."""
+    sends = stage(t.deliveries(spark, sf_dir), "sends").select("source", "sent_at")
+    inbox, out, checkpoint = new_path(spark, "inbox"), new_path(spark, "rates"), new_path(spark, "offsets")
+    closing = sends.agg(F.timestamp_micros(F.unix_micros(F.max("sent_at")) + 86_400_000_000).alias("sent_at"))
+    for part in (sends, closing.select(F.lit("end").alias("source"), "sent_at")):
+        arrive(part, inbox)
+        stream = spark.readStream.schema("source string, sent_at timestamp").parquet(inbox)
+        writer = rate_stream(stream).writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    rates = spark.read.parquet(out)
+    minute = F.floor(F.unix_micros("minute") / 60_000_000).alias("minute")
+    return rates.where("source <> 'end'").select("source", minute, "deliveries")
