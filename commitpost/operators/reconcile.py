@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from commitpost.functions import text
 from commitpost.plans.batches import KEY, MAX_EVENTS
@@ -38,9 +38,10 @@ def tenant_mismatches(events: DataFrame, received: DataFrame) -> DataFrame:
 
 
 def consume_once(received: DataFrame, processed: DataFrame) -> DataFrame:
-    """The first delivery of every event a consumer has not processed before."""
+    """The first delivery of every event a consumer has not processed before; of several at one time, the least by all
+    columns."""
     rest = [c for c in received.columns if c not in ID]
-    first = received.groupBy(*ID).agg(F.min_by(F.struct(*rest), F.col("sent_at")).alias("_row"))
+    first = received.groupBy(*ID).agg(F.min_by(F.struct(*rest), F.struct("sent_at", *rest)).alias("_row"))
     return first.select(*ID, "_row.*").join(processed.select(*ID).distinct(), ID, "left_anti")
 
 
@@ -109,6 +110,16 @@ def retention_candidates(events: DataFrame, settled: DataFrame, before) -> DataF
     return events.where(F.col("created_at") < before).join(settled.select(*ID).distinct(), ID, "left_semi")
 
 
+def retention_plan(events: DataFrame, settled: DataFrame, before, day: Column) -> DataFrame:
+    """What to do with each day's partition: ``drop`` it if every event in it may go, ``rewrite`` it if some may."""
+    done = settled.select(*ID).distinct().withColumn("_done", F.lit(True))
+    expired = F.coalesce(F.col("created_at") < before, F.lit(False)) & F.col("_done").isNotNull()
+    marked = events.select(*ID, "created_at", day.alias("day")).join(done, ID, "left")
+    days = marked.groupBy("day").agg(F.count(F.lit(1)).alias("events"), F.count_if(expired).alias("expired"))
+    verdict = F.when(F.col("expired") == F.col("events"), "drop").when(F.col("expired") > 0, "rewrite").otherwise("keep")
+    return days.withColumn("verdict", verdict)
+
+
 def trim_points(groups: DataFrame) -> DataFrame:
     """The entry up to which every consumer group of a stream has read."""
     return groups.groupBy("stream").agg(F.min("last_delivered").alias("trim_below"))

@@ -11,6 +11,7 @@ from commitpost.operators import alerts, dedup, messages, outcomes, reconcile, r
 from commitpost.plans import ack, batches
 from commitpost.plans.stage import new_path, stage
 from commitpost.sources import changelog, outbox as outbox_source, schema, tenants as registry
+from commitpost.sources.dated import DatedOutbox, day_of
 
 from . import tables as t, tables_sql as q
 from .ship import ship
@@ -337,13 +338,21 @@ def publish_requests(spark, sf_dir):
 
 
 @query(
-    q.with_(q.OUTBOX, BATCHES_SQL)
+    q.with_(
+        q.OUTBOX, BATCHES_SQL,
+        """broken as (select source, lane, aggregate_id, case when lane = 1 then "round" // 2 else "round" end "round",
+  case when lane = 2 then batch // 2 else batch end batch from plan)""",
+    )
     + """select source, lane, "round", batch, count(*) events, cast(max(c) as bigint) most_of_one_key from (
-  select source, lane, "round", batch, aggregate_id, count(*) over (partition by source, lane, "round", batch, aggregate_id) c from plan)
+  select *, count(*) over (partition by source, lane, "round", batch, aggregate_id) c from broken)
 group by all having count(*) > 10 or max(c) > 1"""
-)
+)
 def batch_violations(spark, sf_dir):
-    return reconcile.batch_violations(planned(spark, sf_dir), ["source", "lane", "round", "batch"])
+    """Over a plan that was broken on purpose: lane 1 runs two rounds at once, lane 2 two batches."""
+    plan = planned(spark, sf_dir)
+    halved = lambda lane, c: F.when(F.col("lane") == lane, F.floor(F.col(c) / 2)).otherwise(F.col(c))
+    broken = plan.withColumns({"round": halved(1, "round"), "batch": halved(2, "batch")})
+    return reconcile.batch_violations(broken, ["source", "lane", "round", "batch"])
 
 
 # ---- outcomes ---------------------------------------------------------------
@@ -653,6 +662,29 @@ def retention_candidates(spark, sf_dir):
     return old.select("source", "id", us("created_at").alias("created_us"))
 
 
+@query(
+    q.with_(q.DELIVERIES)
+    + f"""select strftime(created_at, '%Y-%m-%d') "day", count(*) events, cast(count_if(gone) as bigint) expired,
+  case when bool_and(gone) then 'drop' when bool_or(gone) then 'rewrite' else 'keep' end verdict, cast(count_if(not gone) as bigint) left_over
+from (select created_at, created_at < timestamp '{RETAIN_BEFORE}' and ((source, id) in (select source, id from deliveries)
+  or (source, id) in (select source, id from attempts where outcome = 'permanent')) and {q.HASH} % 499 <> 3
+  and day(created_at) % 3 <> 2 gone from outbox) group by all"""
+)
+def retention_plan(spark, sf_dir):
+    """Verdicts for each day, and how many events the table holds of it after they have been carried out."""
+    events = stage(t.outbox(spark, sf_dir), "events")
+    dead = t.attempts(spark, sf_dir).where(F.col("outcome") == "permanent").select("source", "id")
+    settled = t.deliveries(spark, sf_dir).select("source", "id").unionByName(dead)
+    open_days = events.where((F.dayofmonth("created_at") % 3 == 2) | (t.hash16(F.col("id")) % 499 == 3))
+    settled = stage(settled.join(open_days.select("source", "id"), ["source", "id"], "left_anti"), "settled")
+    table = DatedOutbox(spark, new_path(spark, "dated"), events.schema)
+    table.create(events)
+    plan = stage(table.expire(settled, F.lit(RETAIN_BEFORE).cast("timestamp")), "plan")
+    table.vacuum()
+    left = table.read().groupBy(day_of().alias("day")).agg(F.count(F.lit(1)).alias("left_over"))
+    return plan.join(left, "day", "left").withColumn("left_over", F.coalesce("left_over", F.lit(0)))
+
+
 @query(
     q.with_(
         q.OUTBOX,

@@ -4,17 +4,18 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from commitpost.functions import text
 from commitpost.plans.stage import new_path, stage
 from commitpost.sources.schema import EVENT_COLUMNS
+from commitpost.streaming.answers import ANSWER_SCHEMA, REQUEST_SCHEMA, outcome_stream
 from commitpost.streaming.paged import PagedOutbox
 from commitpost.streaming.relay import Relay, exact_dedup_stream, rate_stream, read_events
 from commitpost.streaming.tail import LOG_SCHEMA, LogTail
 
 from . import tables as t, tables_sql as q
-from .queries import ORACLE, query
+from .queries import BATCHES_SQL, CODES_SQL, ORACLE, PERMANENT_SQL, planned, query
 
 SLICES = 3
 
@@ -198,7 +199,7 @@ def stream_ack_open(spark, sf_dir):
 
 @query(
     q.with_(q.OUTBOX)
-    + """, broken as (select *, row_number() over (order by source, id) % 5 k from outbox where ('0x' || substr(md5(id), 1, 4))::int % 37 = 3)
+    + """, broken as (select *, ('0x' || substr(md5(id), 5, 4))::int % 5 k from outbox where ('0x' || substr(md5(id), 1, 4))::int % 37 = 3)
 select case when k <> 1 then source end source, case when k <> 0 then id end id, case when k <> 3 then commit_lsn end commit_lsn,
     row_seq, case k when 0 then 'id: missing' when 1 then 'source: missing' when 2 then 'payload: not JSON'
         when 3 then 'commit_lsn: missing' else 'headers: missing' end problem
@@ -208,8 +209,7 @@ def stream_rejects(spark, sf_dir):
     """Every row that is no event, each by itself, however many of them look alike."""
     events = stage(t.outbox(spark, sf_dir), "events")
     h = F.conv(F.substring(F.md5("id"), 1, 4), 16, 10).cast("int")
-    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("source", "id"))
-    broken = events.where(h % 37 == 3).withColumn("k", place % 5)
+    broken = events.where(h % 37 == 3).withColumn("k", F.conv(F.substring(F.md5("id"), 5, 4), 16, 10).cast("int") % 5)
     null = lambda k, c: F.when(F.col("k") != k, F.col(c))
     broken = broken.withColumns({
         "payload": F.when(F.col("k") == 2, F.lit("{")).otherwise(F.col("payload")), "headers": null(4, "headers"),
@@ -375,3 +375,45 @@ def stream_rate(spark, sf_dir):
     rates = spark.read.parquet(out)
     minute = F.floor(F.unix_micros("minute") / 60_000_000).alias("minute")
     return rates.where("source <> 'end'").select("source", minute, "deliveries")
+
+
+@query(
+    q.with_(
+        q.OUTBOX, BATCHES_SQL,
+        f"""named as (select *, concat_ws('-', source, lane, "round", batch) c, {q.HASH} h from plan),
+judged as (select c, "position" idx, source, id, h, h % 29 = 0 or cast(concat('0x', substr(md5(c), 1, 4)) as bigint) % 23 = 0 silent,
+  h % 13 = 0 bad, h % 2 = 0 fault, {CODES_SQL}[h % 7 + 1] code from named)""",
+    )
+    + f"""select c as "call", idx as "index", source, id,
+  case when silent then 'retryable' when not bad then 'ok' when fault and {PERMANENT_SQL} then 'permanent' else 'retryable' end outcome,
+  case when silent then 'missing from the broker response' when not bad then '' else concat(code, ': entry ', idx) end reason from judged"""
+)
+def stream_outcomes(spark, sf_dir):
+    """Calls go out and answers come back as two logs, cut at the same times; an answer may be in a later stretch than its
+    request. Some are never answered, some calls only 45 s later, after the deadline of 30 s."""
+    place = F.floor((F.max("commit_lsn") - t.LSN_BASE) / t.LSN_STEP)
+    call = F.concat_ws("-", "source", "lane", "round", "batch").alias("call")
+    plan = stage(planned(spark, sf_dir).select(call, F.col("position").alias("index"), "source", "id", "commit_lsn"), "plan")
+    times = plan.groupBy("call").agg(F.timestamp_seconds(place).alias("sent_at"))
+    requests = stage(plan.drop("commit_lsn").join(times, "call"), "requests")
+    delay = F.when(t.hash16(F.col("call")) % 23 == 0, 45_000).otherwise(80 + t.hash16(F.col("call")) % 900)
+    answers = t.responses(spark, sf_dir, requests).join(times, "call")
+    answers = stage(answers.withColumn("answered_at", t.plus_ms(F.col("sent_at"), delay)).drop("sent_at"), "answers")
+    low, high = times.agg(F.min(F.unix_seconds("sent_at")), F.max(F.unix_seconds("sent_at"))).first()
+    width = (high - low) // SLICES + 1
+    sent_box, answer_box = new_path(spark, "requests"), new_path(spark, "answers")
+    out, checkpoint = new_path(spark, "outcomes"), new_path(spark, "offsets")
+    day_later = F.timestamp_seconds(F.lit(high + 86_400))
+    end = spark.range(1).select(
+        F.lit("end").alias("call"), F.lit(0).alias("index"), day_later.alias("sent_at"), day_later.alias("answered_at")
+    )  # moves time on: an answer without an index would be left out before its time counts
+    for i in range(SLICES + 1):
+        for rows, at, box, schema in ((requests, "sent_at", sent_box, REQUEST_SCHEMA), (answers, "answered_at", answer_box, ANSWER_SCHEMA)):
+            part = F.least(F.floor((F.unix_seconds(at) - low) / width), F.lit(SLICES - 1))
+            fresh = rows.where(part == i) if i < SLICES else rows.limit(0).unionByName(end.select("call", "index", at), allowMissingColumns=True)
+            arrive(fresh.select(*(F.col(c.split()[0]).cast(c.split()[1]) for c in schema.split(", "))), box)
+        streams = [spark.readStream.schema(s).parquet(b) for b, s in ((sent_box, REQUEST_SCHEMA), (answer_box, ANSWER_SCHEMA))]
+        writer = outcome_stream(*streams).writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    settled = spark.read.parquet(out).where("call <> 'end'")
+    return settled.select("call", "index", "source", "id", "outcome", F.coalesce("reason", F.lit("")).alias("reason"))
