@@ -15,6 +15,9 @@ the earliest node of its buckets, which settles groups of copies. Buckets that s
 bound: what no other open text has cannot be shared, so two texts are at most as similar as the lighter of their
 shared weights allows. Texts that are alike only in a passage, or changed too much, drop out by themselves; of the
 others only pairs within the bound are compared. The bound is exact, so no link between two classes is lost.
+Before that, rounds of centres merge classes with few comparisons: every bucket draws a few texts, the larger a class the
+likelier of its own, and the bucket's texts of other classes are compared with them. Where many texts are linked to
+many, each round settles a share of those still apart, so their number of comparisons grows with the texts.
 
 Cases: null text and text without words is alone in its class; texts of fewer than five words are linked to equal ones
 only; rows with a null id are alone, with a null class; rows of one id are one document, of which the text with the
@@ -37,6 +40,9 @@ HASHES, ROWS = 64, 4
 WORD_BUCKETS = 1 << 16
 THINNINGS = 2
 """How often the bound is taken anew after texts have dropped out; any number gives the same classes."""
+ROUNDS, DRAWS, PROGRESS = 12, 8, 0.1
+"""Rounds of centres at most, centres of a bucket in each, and the share of the open classes a round must merge for another one. What they leave is
+compared pair by pair, so any numbers give the same classes."""
 
 SIGNATURES = "doc_id bigint, digest string, weight double, bands array<bigint>"
 
@@ -212,6 +218,42 @@ def _open(rows: DataFrame) -> DataFrame:
     return rows.select("*", part).join(buckets.select("bucket", part), ["bucket", "part"], "left_semi").drop("part")
 
 
+def _merge(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``labels`` after linking labels (a, b), and the labels that changed (label, final)."""
+    merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("final"))
+    every = labels.union(merged.select("label", "label")).dropDuplicates(["node"])  # a label without a link yet is its own
+    joined = every.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label"))
+    return stage(joined, "labels"), merged
+
+
+def _settle(rows: DataFrame, labels: DataFrame, texts: DataFrame, idf, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The open rows and the labels after rounds of centres."""
+    for seed in range(ROUNDS):
+        text, turns = F.struct("node", "label", "weight", "shared"), range(seed * DRAWS, (seed + 1) * DRAWS)
+        drawn = F.array(*(F.min_by(text, F.struct(F.xxhash64("node", F.lit(i)), "node")) for i in turns))
+        centres = rows.groupBy("bucket").agg(F.array_distinct(drawn).alias("drawn"))
+        near = rows.join(centres, "bucket").withColumn("c", F.explode("drawn"))
+        most = F.least("shared", "c.shared")
+        close = most >= (threshold - 1e-6) * (F.col("weight") + F.col("c.weight") - most)
+        ends = F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")
+        of = F.array_sort(F.array("label", "c.label")).alias("of")
+        apart = near.where((F.col("label") != F.col("c.label")) & close)
+        pairs = stage(apart.select(*ends, of).dropDuplicates(["a", "b"]), "pairs")
+        if pairs.isEmpty():
+            break
+        classes_left = rows.select("label").distinct().count()
+        links = verify(pairs.select("a", "b"), texts, idf, threshold).join(pairs, ["a", "b"])
+        links = stage(links.select(F.col("of")[0].alias("a"), F.col("of")[1].alias("b")).distinct(), "links")
+        if links.isEmpty():
+            break
+        labels, merged = _merge(labels, links)
+        joined = rows.join(merged, "label", "left").withColumn("label", F.coalesce("final", "label")).drop("final")
+        rows = stage(_open(joined), "open")
+        if merged.where("label <> final").count() < PROGRESS * classes_left:
+            break
+    return rows, labels
+
+
 def _own_weight(texts: DataFrame, idf) -> DataFrame:
     """node, own: the weight of each text's shingles that no other of ``texts`` has."""
 
@@ -260,6 +302,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows = rows.drop("shared").join(own, "node", "left")
         rows = rows.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("own")
         rows = stage(_open(rows.where(F.col("shared") >= (threshold - 1e-6) * F.col("weight"))), "open")
+    rows, labels = _settle(rows, labels, texts, idf, threshold)
     lists = rows.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))  # two for each band at most
     rows = rows.join(lists, "node")
     side = lambda s: rows.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "weight", "label", "shared", "buckets")))
@@ -270,9 +313,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     pairs = side("a").join(side("b"), "bucket").where(apart & close & once)
     pairs = stage(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), "label_a", "label_b"), "pairs")
     links = verify(pairs, texts, idf, threshold).join(pairs, ["a", "b"]).select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("final"))
-    every = labels.union(merged.select("label", "label")).dropDuplicates(["node"])  # a label without a link yet is its own
-    labels = stage(every.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label")), "labels")
+    labels, _ = _merge(labels, links)
 
     node_of = one.select("doc_id", "digest").join(nodes.select("digest", "node"), "digest")
     labelled = node_of.join(labels, "node", "left").select("doc_id", F.coalesce("label", "node").alias("class_id"))

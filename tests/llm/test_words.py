@@ -166,6 +166,36 @@ def test_thinning_loses_no_link(spark):
     assert {r.doc_id: r.class_id for r in near_dup.classes(df).collect()} == plain_classes(docs, near_dup.idf_table(df))
 
 
+def test_texts_of_shared_paragraphs_are_not_all_paired(spark, monkeypatch):
+    """Every shingle is shared and one pair in ten or so is a link; twice the texts take about twice the comparisons."""
+    paragraphs = [prose(900 + k, 14, [f"{k}a{j}" for j in range(60)]) for k in range(40)]
+    compared = []
+
+    def counting(pairs, *rest, verify=near_dup.verify):
+        compared[-1] += pairs.count()
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(near_dup, "verify", counting)
+    for n in (80, 160, 320):
+        rng = random.Random(n)
+        texts = [" ".join(paragraphs[k] for k in range(40) if k not in left_out) for left_out in (rng.sample(range(40), 5) for _ in range(n))]
+        compared.append(0)
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        got = {r.doc_id: r.class_id for r in near_dup.classes(df).collect()}
+        if n == 80:
+            idf = near_dup.idf_table(df)
+            a, b = np.triu_indices(n, 1)
+            column = pa.array(texts)
+            linked = near_dup.similarities(column.take(pa.array(a)), column.take(pa.array(b)), idf) >= 0.8 - 1e-9
+            root = np.arange(n)
+            for x, y in zip(a[linked], b[linked]):
+                low, high = sorted((root[x], root[y]))
+                root[root == high] = low
+            assert got == dict(enumerate(root.tolist()))
+    assert compared[2] < 2.5 * compared[1]
+    assert compared[2] < 0.6 * 320 * 319 / 2
+
+
 def test_signatures_estimate_the_similarity():
     idf = np.ones(near_dup.WORD_BUCKETS)
     pairs = [family(i, 1, 8, 300) for i in range(40)]
