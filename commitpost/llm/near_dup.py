@@ -15,7 +15,7 @@ the earliest node of its buckets, which settles groups of copies. Buckets that s
 bound: what no other open text has cannot be shared, so two texts are at most as similar as the lighter of their
 shared weights allows. Texts that are alike only in a passage, or changed too much, drop out by themselves; of the
 others only pairs within the bound are compared. The bound is exact, so no link between two classes is lost.
-Before that, rounds of centres merge classes with few comparisons: every bucket draws a few texts, the larger a class the
+Before that, ``rounds`` of centres (none by default) merge classes with few comparisons: every bucket draws a few texts, the larger a class the
 likelier of its own, and the bucket's texts of other classes are compared with them. Where many texts are linked to
 many, each round settles a share of those still apart, so their number of comparisons grows with the texts.
 
@@ -40,9 +40,9 @@ HASHES, ROWS = 64, 4
 WORD_BUCKETS = 1 << 16
 THINNINGS = 2
 """How often the bound is taken anew after texts have dropped out; any number gives the same classes."""
-ROUNDS, DRAWS, PROGRESS = 12, 8, 0.1
-"""Rounds of centres at most, centres of a bucket in each, and the share of the open classes a round must merge for another one. What they leave is
-compared pair by pair, so any numbers give the same classes."""
+DRAWS, PROGRESS = 8, 0.1
+"""Centres of a bucket in a round, and the share of the open classes a round must merge for another one. What rounds
+leave is compared pair by pair, so any numbers give the same classes."""
 
 SIGNATURES = "doc_id bigint, digest string, weight double, bands array<bigint>"
 
@@ -226,9 +226,9 @@ def _merge(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage(joined, "labels"), merged
 
 
-def _settle(rows: DataFrame, labels: DataFrame, texts: DataFrame, idf, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _settle(rows: DataFrame, labels: DataFrame, texts: DataFrame, idf, threshold: float, rounds: int) -> tuple[DataFrame, DataFrame]:
     """The open rows and the labels after rounds of centres."""
-    for seed in range(ROUNDS):
+    for seed in range(rounds):
         text, turns = F.struct("node", "label", "weight", "shared"), range(seed * DRAWS, (seed + 1) * DRAWS)
         drawn = F.array(*(F.min_by(text, F.struct(F.xxhash64("node", F.lit(i)), "node")) for i in turns))
         centres = rows.groupBy("bucket").agg(F.array_distinct(drawn).alias("drawn"))
@@ -269,7 +269,7 @@ def _own_weight(texts: DataFrame, idf) -> DataFrame:
     return single.where("n = 1").groupBy("node").agg(F.sum("weight").alias("own"))
 
 
-def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def classes(documents: DataFrame, threshold: float = THRESHOLD, rounds: int = 0) -> DataFrame:
     """doc_id, class_id (the smallest id of the class) for each different id, and null, null for each null id."""
     spark = documents.sparkSession
     idf = spark.sparkContext.broadcast(idf_table(documents))
@@ -302,7 +302,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         rows = rows.drop("shared").join(own, "node", "left")
         rows = rows.withColumn("shared", F.col("weight") - F.coalesce("own", F.lit(0.0))).drop("own")
         rows = stage(_open(rows.where(F.col("shared") >= (threshold - 1e-6) * F.col("weight"))), "open")
-    rows, labels = _settle(rows, labels, texts, idf, threshold)
+    rows, labels = _settle(rows, labels, texts, idf, threshold, rounds)
     lists = rows.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))  # two for each band at most
     rows = rows.join(lists, "node")
     side = lambda s: rows.select("bucket", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "weight", "label", "shared", "buckets")))
