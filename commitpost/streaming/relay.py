@@ -1,9 +1,11 @@
 """The relay as a streaming job: events in, broker calls out, and tables of what became of them.
 
-Every step writes, in this order: rejects, outcomes, dead letters, deliveries, the pending table, acknowledgements. A
-failure anywhere runs the micro-batch again: duplicates with the same ids, never a loss. Tables live under one folder,
+Every step writes, in this order: rejects, outcomes, dead letters, deliveries, the pending table, metric samples,
+acknowledgements. A failure anywhere runs the micro-batch again: duplicates with the same ids, never a loss. Tables live under one folder,
 one ``batch=``/``retry=`` partition per step: retry 0 is the micro-batch itself, later ones send again what is due. A
 repeated step replaces its own partition, except in ``deliveries``, where copies stay visible as they would in a queue.
+A micro-batch that brings nothing while nothing is due is no step and writes nothing; what a step stages is deleted at
+its end. Dead letters are a ``KeyedStore``: a step opens the live runs of the buckets it adds to.
 
 A row of the stream is an event, or, with ``progress`` set, a mark: its source has sent everything up to
 ``commit_lsn`` (true), or nothing but a wake-up call (false).
@@ -13,7 +15,7 @@ from __future__ import annotations
 
 import datetime
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -24,27 +26,28 @@ from commitpost.operators.dedup import DEDUP_WINDOW_MS
 from commitpost.operators.messages import publish_requests
 from commitpost.operators.outcomes import new_dead_letters
 from commitpost.plans.batches import MAX_EVENTS
-from commitpost.plans.stage import stage
+from commitpost.plans.stage import scope, stage
 from commitpost.sources.schema import EVENT_COLUMNS, problem
 
+from .metrics import SAMPLES, step_samples
 from .send import OUTCOMES, Send, send_in_order
+from .store import KeyedStore
 
 EVENT_SCHEMA = (
     "source string, id string, aggregate_type string, aggregate_id string, event_type string, payload string, "
     "headers string, created_at timestamp, occurred_at string, commit_lsn bigint, row_seq bigint, committed_at timestamp"
 )
 STREAM_SCHEMA = f"{EVENT_SCHEMA}, progress boolean"
-DEAD_LETTER_BUCKETS = 64
-"""Dead letters are stored by a hash of their id, so a step reads the buckets of its own ids only."""
+DEAD_LETTERS = "slot string, id string, envelope string, reason string, failed_at timestamp"
 
 TABLES = {
     "rejects": "source string, id string, commit_lsn bigint, row_seq bigint, problem string",
     "outcomes": OUTCOMES,
     "deliveries": "source string, id string, aggregate_type string, aggregate_id string, attempt int, commit_lsn bigint, "
     "row_seq bigint, committed_at timestamp, sent_at timestamp, dedup_id string, body string",
-    "dead_letters": "slot string, id string, envelope string, reason string, failed_at timestamp",
     "pending": f"{EVENT_SCHEMA}, attempt int, retry_at timestamp",
     "acks": "source string, acked bigint, seen bigint",
+    "metric_samples": SAMPLES,
 }
 
 Step = tuple[int, int]
@@ -79,7 +82,8 @@ class Relay:
 
     A step needs only what the step before it wrote to ``pending`` and ``acks``: older partitions of these can be
     dropped. Failed events wait as ``backoff_ms`` says, ``initial_ms`` first and ``max_ms`` at most, and later events
-    of their keys wait with them.
+    of their keys wait with them. ``replica`` and ``sink`` name this job and its broker in the metric samples, whose time
+    is that of ``clock``.
     """
 
     spark: SparkSession
@@ -91,10 +95,18 @@ class Relay:
     retries: int = 0
     initial_ms: int = outcome.INITIAL_BACKOFF_MS
     max_ms: int = outcome.MAX_BACKOFF_MS
+    replica: str = "r0"
+    sink: str = "queue"
+    clock: Callable[[], float] = time.time
     finished: Step | None = None
 
+    def __post_init__(self) -> None:
+        self.dead_letters = KeyedStore(self.spark, f"{self.path}/dead_letters", DEAD_LETTERS, ("slot", "id"))
+
     def table(self, name: str) -> DataFrame:
-        """A table over all steps, with their ``batch`` and ``retry``."""
+        """A table over all steps, with their ``batch`` and ``retry``; dead letters as they are after the last step."""
+        if name == "dead_letters":
+            return self.dead_letters.read(self.last_step())
         schema = f"{TABLES[name]}, batch bigint, retry bigint"
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
@@ -122,15 +134,19 @@ class Relay:
     def prepare(self) -> None:
         """Empty tables, so that the first micro-batch has something to read."""
         for name, schema in TABLES.items():
-            bucket = "/bucket=0" if name == "dead_letters" else ""
-            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self._folder(name, (-1, 0)) + bucket)
+            self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self._folder(name, (-1, 0)))
+        self.dead_letters.prepare()
 
     def publish(self, new: DataFrame, batch: int) -> None:
         """One micro-batch of the stream."""
         self.run_step(new, (batch, 0))
 
     def run_step(self, new: DataFrame, step: Step) -> None:
-        """Everything due and everything new, in commit order per key."""
+        """Everything due and everything new, in commit order per key; no step if there is neither."""
+        with scope(self.spark):
+            self._run_step(new, step)
+
+    def _run_step(self, new: DataFrame, step: Step) -> None:
         previous = self.last_step(before=step)
         now = F.lit(datetime.datetime.now(datetime.timezone.utc))
         if "progress" not in new.columns:
@@ -138,6 +154,8 @@ class Relay:
         pending = self.at_step("pending", previous)
         checked = new.withColumn("problem", F.when(F.col("progress").isNull(), problem(EVENT_COLUMNS)))
         taken = stage(checked.select(*EVENT_COLUMNS, "progress", "problem"), "taken")  # the stream is read once
+        if taken.where("progress is null or progress").isEmpty() and self._nothing_due(pending, now):
+            return
         self.write("rejects", taken.where("problem is not null").select("source", "id", "commit_lsn", "row_seq", "problem"), step)
 
         # Copies of an event in one micro-batch: the one that was committed first.
@@ -160,7 +178,7 @@ class Relay:
             F.concat(F.lit("outbox_"), "source").alias("slot"), "id", text.envelope().alias("envelope"),
             F.col("last.reason").alias("reason"), F.col("last.sent_at").alias("failed_at"),
         )
-        self.store_dead_letters(rejected, step)
+        self.store_dead_letters(rejected, previous, step)
 
         sent = state.where(F.col("last.outcome") == "ok").select(
             "source", "id", "aggregate_type", "aggregate_id", F.col("last.attempts").alias("attempt"), "commit_lsn", "row_seq",
@@ -178,19 +196,23 @@ class Relay:
             "retry_at": F.when(F.col("last").isNull(), F.col("retry_at")).otherwise(again), "attempt": attempt,
         })
         waiting = self.write("pending", waiting.select(*EVENT_COLUMNS, "attempt", "retry_at"), step)
+        before, named = self.at_step("metric_samples", previous), (self.replica, self.sink)
+        seen = taken.where("problem is null").select("source")
+        self.write("metric_samples", step_samples(before, seen, outcomes, sent, waiting, *named, self.clock()), step)
         self.acknowledge(taken, waiting, previous, step)
         self.finished = step
 
-    def store_dead_letters(self, rejected: DataFrame, step: Step) -> None:
-        """Appends the dead letters that no earlier step has stored."""
-        bucket = F.pmod(F.xxhash64("slot", "id"), F.lit(DEAD_LETTER_BUCKETS)).alias("bucket")
-        rejected = stage(rejected.select("*", bucket), "rejected")
-        buckets = [r["bucket"] for r in rejected.select("bucket").distinct().collect()]  # DEAD_LETTER_BUCKETS at most
-        schema = f"{TABLES['dead_letters']}, batch bigint, retry bigint, bucket bigint"
-        stored = self.spark.read.schema(schema).parquet(f"{self.path}/dead_letters").where(F.col("bucket").isin(buckets))
-        stored = stored.where(_earlier(step))
-        new = new_dead_letters(rejected, stored) if buckets else rejected
-        new.write.mode("overwrite").partitionBy("bucket").parquet(self._folder("dead_letters", step))
+    def _nothing_due(self, pending: DataFrame, now: Column) -> bool:
+        """True if some event of every pending key has to wait still."""
+        keys = pending.groupBy(text.ordering_key().alias("key")).agg(F.bool_or(F.coalesce(F.col("retry_at") > now, F.lit(False))).alias("early"))
+        return keys.where(~F.col("early")).isEmpty()
+
+    def store_dead_letters(self, rejected: DataFrame, previous: Step, step: Step) -> None:
+        """Adds the dead letters that no earlier step has stored."""
+        rejected = stage(rejected, "rejected")
+        buckets = self.dead_letters.buckets_of(rejected)
+        new = new_dead_letters(rejected, self.dead_letters.read(previous, buckets)) if buckets else rejected
+        self.dead_letters.add(new, buckets, previous, step)
 
     def acknowledge(self, taken: DataFrame, waiting: DataFrame, previous: Step, step: Step) -> None:
         """Moves each source's safe position: as far as it is known to be complete, and below its first open event.
@@ -223,7 +245,7 @@ class Relay:
             time.sleep(max(0.0, earliest / 1e6 - time.time()))
         step = (last[0], last[1] + 1)
         self.run_step(self.spark.createDataFrame([], STREAM_SCHEMA), step)
-        return not self.at_step("pending", step).isEmpty()
+        return not self.at_step("pending", self.last_step()).isEmpty()
 
 
 def dedup_stream(deliveries: DataFrame, minutes: int = 5) -> DataFrame:

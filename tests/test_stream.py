@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -5,7 +6,8 @@ import pytest
 from events import events
 from pyspark.sql import functions as F
 
-from commitpost.streaming.relay import Relay, dedup_stream, rate_stream, read_events
+from commitpost.operators.reports import LATENCY_BOUNDS
+from commitpost.streaming.relay import STREAM_SCHEMA, Relay, dedup_stream, rate_stream, read_events
 from commitpost.streaming.send import CallError, judged, send_in_order
 from commitpost.operators.messages import publish_requests
 from commitpost.functions import text
@@ -171,3 +173,78 @@ def test_a_source_whose_client_breaks_holds_back_itself_only(backlog):
     assert sent == {r["id"] for r in backlog.where("source = 's0'").collect()}
     failed = [r for r in rows if r["source"] == "s1"]
     assert {(r["outcome"], r["reason"]) for r in failed} == {("retryable", "TimeoutError: no route")} and len(failed) <= 10
+
+
+def busy_for_one():
+    """A function of this function's own, so that tasks get it by value."""
+
+    def send(entries):
+        return [(e["index"], e["id"] != "e3", False, "Busy", "") for e in entries]
+
+    return send
+
+
+def test_a_relay_at_rest_writes_nothing(spark, backlog, tmp_path, monkeypatch):
+    """Wake-up calls without due events are no steps, and a step leaves nothing staged."""
+    staged = tmp_path / "staged"
+    monkeypatch.setattr("commitpost.plans.stage.shared_dir", lambda _: str(staged))
+    relay = Relay(spark, str(tmp_path / "relay"), busy_for_one(), lanes=4, initial_ms=3_600_000, max_ms=3_600_000)
+    relay.prepare()
+    relay.publish(backlog, 0)
+    names = lambda: sorted(os.path.join(r, n) for top in (tmp_path / "relay", staged) for r, _, ns in os.walk(top) for n in ns)
+    before = names()
+    assert not [n for n in before if n.startswith(str(staged))]
+    tick = spark.createDataFrame([(*[None] * (len(STREAM_SCHEMA.split(", ")) - 1), False)], STREAM_SCHEMA)
+    for batch in range(1, 21):
+        relay.publish(tick, batch)
+    assert names() == before and relay.last_step() == (0, 0)
+    assert relay.retry_pending(wait=False) and names() == before
+    held = {r["id"] for r in relay.at_step("pending", (0, 0)).collect()}
+    assert "e3" in held and len(held) > 1  # later events of its key wait untried
+
+
+def test_dead_letters_are_stored_once_over_many_steps(spark, tmp_path):
+    def refuse(entries):
+        return [(e["index"], False, True, "InvalidParameterValue", "no") for e in entries]
+
+    relay = Relay(spark, str(tmp_path / "relay"), refuse, lanes=2)
+    relay.dead_letters.buckets, relay.dead_letters.fan = 2, 3
+    relay.prepare()
+    for batch in range(6):
+        rows = [{"id": f"d{batch // 2}", "commit_lsn": batch + 1}, {"id": f"x{batch}", "aggregate_id": "q", "commit_lsn": batch + 1}]
+        relay.publish(events(spark, rows), batch)
+    ids = Counter(r["id"] for r in relay.table("dead_letters").collect())
+    assert ids == Counter([f"d{n}" for n in range(3)] + [f"x{n}" for n in range(6)])
+    assert len(relay.dead_letters.manifest((5, 0))) <= 2 * 2 * 3
+
+
+def test_samples_count_a_repeated_step_once(spark, backlog, tmp_path):
+    class Dying(Relay):
+        armed = True
+
+        def acknowledge(self, *args):
+            if Dying.armed:
+                Dying.armed = False
+                raise RuntimeError("crash")
+            super().acknowledge(*args)
+
+    relay = Dying(spark, str(tmp_path / "relay"), busy_for_one(), lanes=4, initial_ms=3_600_000, max_ms=3_600_000, replica="r7", sink="mirror", clock=lambda: 12.0)
+    relay.prepare()
+    with pytest.raises(RuntimeError):
+        relay.publish(backlog, 0)
+    relay.publish(backlog, 0)
+    relay.publish(events(spark, [{"id": "late", "source": "s9", "commit_lsn": 9_000}]), 1)
+    rows = relay.at_step("metric_samples", (1, 0)).collect()
+    assert {(r["at_us"], r["replica"], r["sink"]) for r in rows} == {(12_000_000, "r7", "mirror")}
+    assert len({(r["source"], r["metric"], r["kind"]) for r in rows}) == len(rows)
+    value = {(r["source"], r["metric"], r["kind"]): r["value"] for r in rows}
+    pending = Counter(r["source"] for r in relay.at_step("pending", (1, 0)).collect())
+    stuck = backlog.where("id = 'e3'").first()["source"]
+    for source, total in (("s0", 60), ("s1", 60), ("s9", 1)):
+        published = value[source, "events_published_total", ""]
+        assert published + value[source, "pending_events", ""] == total
+        assert value[source, "pending_events", ""] == pending[source]
+        assert value[source, "publish_errors_total", "retryable"] == (source == stuck)
+        assert value[source, "dead_letters_total", ""] == 0
+        buckets = [value[source, "publish_latency_bucket", le] for le in [str(b) for b in LATENCY_BOUNDS] + ["+Inf"]]
+        assert buckets == sorted(buckets) and buckets[-1] == published

@@ -7,12 +7,14 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from commitpost.functions import text
+from commitpost.operators import alerts
 from commitpost.plans.stage import new_path, stage
 from commitpost.sources.schema import EVENT_COLUMNS
 from commitpost.streaming.answers import ANSWER_SCHEMA, REQUEST_SCHEMA, outcome_stream
 from commitpost.streaming.paged import PagedOutbox
 from commitpost.streaming.relay import Relay, exact_dedup_stream, rate_stream, read_events
 from commitpost.streaming.tail import LOG_SCHEMA, LogTail
+from commitpost.streaming.watch import held_stream
 
 from . import tables as t, tables_sql as q
 from .queries import BATCHES_SQL, CODES_SQL, ORACLE, PERMANENT_SQL, planned, query
@@ -153,7 +155,7 @@ def stream_relay(spark, sf_dir):
 @query(q.with_(q.ATTEMPTS) + "select source, id, attempt, outcome from attempts")
 def stream_retry(spark, sf_dir):
     """Without retries in place, failed events and what they hold back go through the pending table."""
-    relay = settled(spark, sf_dir, retries=2)
+    relay = settled(spark, sf_dir, retries=2, sink="second")
     return relay.table("outcomes").select("source", "id", "attempt", "outcome")
 
 
@@ -169,7 +171,7 @@ def stream_dead_letters(spark, sf_dir):
 @query(q.with_(q.OUTBOX) + "select source, max(commit_lsn) - 1 acked from outbox group by source")
 def stream_ack(spark, sf_dir):
     """Without marks a source is complete below its highest position only."""
-    relay = settled(spark, sf_dir, retries=2)
+    relay = settled(spark, sf_dir, retries=2, sink="second")
     return relay.at_step("acks", relay.last_step()).select("source", "acked")
 
 
@@ -417,3 +419,67 @@ def stream_outcomes(spark, sf_dir):
         writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     settled = spark.read.parquet(out).where("call <> 'end'")
     return settled.select("call", "index", "source", "id", "outcome", F.coalesce("reason", F.lit("")).alias("reason"))
+
+
+METRIC_TOTALS = (
+    ("events_published_total", "", "outcome = 'ok'"), ("publish_errors_total", "retryable", "outcome = 'retryable'"),
+    ("publish_errors_total", "permanent", "outcome = 'permanent'"), ("dead_letters_total", "", "outcome = 'permanent'"),
+)
+
+
+@query(
+    q.with_(q.ATTEMPTS)
+    + " union all ".join(
+        f"select '{sink}' sink, source, '{m}' metric, '{k}' kind, count(*) filter ({c})::double as \"value\" from attempts group by source"
+        for sink in ("queue", "second") for m, k, c in METRIC_TOTALS
+    )
+)
+def stream_metrics(spark, sf_dir):
+    """The last samples of two relays, one that retries in place and one that goes through the pending table, with as
+    many outcomes: the counters are carried over all their steps."""
+    relays = [relayed(spark, sf_dir, retries=3), settled(spark, sf_dir, retries=2, sink="second")]
+    rows = [r.at_step("metric_samples", r.last_step()) for r in relays]
+    totals = rows[0].unionByName(rows[1]).where(F.col("metric").isin([m for m, _, _ in METRIC_TOTALS]))
+    return totals.select("sink", "source", "metric", "kind", "value")
+
+
+@query(
+    q.with_(
+        q.ATTEMPTS,
+        f"bounds as (select min(commit_lsn) lo, (max(commit_lsn) - min(commit_lsn)) // {SLICES} + 1 width from outbox)",
+    )
+    + f"""select 'r0' replica, source, min(n) * 60000000 since_us, min(n) * 60000000 fired_us, {SLICES - 1}::bigint * 60000000 until_us
+from (select source, (commit_lsn - lo) // width n from attempts, bounds where outcome = 'permanent') where n > 0 group by source"""
+)
+def stream_poison(spark, sf_dir):
+    """``alert_poison`` over the samples a relay has written, one step a minute by its clock: from the first step in which a
+    source's count of dead letters grew, to the last."""
+    minutes = iter(range(1_000))
+    relay = Relay(spark, new_path(spark, "relay"), broker, retries=3, clock=lambda: 60.0 * next(minutes))
+    inbox, checkpoint = new_path(spark, "inbox"), new_path(spark, "offsets")
+    for part in slices(stage(t.outbox(spark, sf_dir), "events")):
+        arrive(part, inbox)
+        relay.start(read_events(spark, inbox), checkpoint).awaitTermination()
+    return alerts.poison_events(relay.table("metric_samples").drop("batch", "retry"))
+
+
+@query(ORACLE["alert_firings"])
+def stream_alerts(spark, sf_dir):
+    """The stretches of ``alert_firings`` from samples that arrive in slices of their time; one sample a day after the last
+    ends what is still open."""
+    rows = alerts.gauge(t.metric_samples(spark, sf_dir), "source_up").select("replica", "source", "at_us", "value")
+    rows = stage(rows, "gauge")
+    low, high = rows.agg(F.min("at_us"), F.max("at_us")).first()
+    width = (high - low) // SLICES + 1
+    day_later = spark.range(1).select(
+        F.lit("end").alias("replica"), F.lit("end").alias("source"), F.lit(high + 86_400_000_000).alias("at_us"), F.lit(1.0).alias("value")
+    )
+    inbox, out, checkpoint = new_path(spark, "samples"), new_path(spark, "alerts"), new_path(spark, "offsets")
+    parts = [rows.where(F.floor((F.col("at_us") - low) / width) == i) for i in range(SLICES)]
+    for part in (*parts, day_later):
+        arrive(part, inbox)
+        stream = spark.readStream.schema("replica string, source string, at_us bigint, value double").parquet(inbox)
+        writer = held_stream(stream, ["replica", "source"], F.col("value") == 0, 3).writeStream.format("parquet")
+        writer = writer.option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        writer.start().awaitTermination()
+    return spark.read.parquet(out).where("state = 'resolved'").drop("state")
