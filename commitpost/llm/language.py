@@ -1,11 +1,11 @@
 """Language identification by rank-order profiles.
 
-Letters are folded into 63 classes (a to z, 37 for all others; those of Latin-1 keep apart), every other run of
-characters into one gap. A profile is the ``PROFILE`` most frequent runs of one to three classes, counted over all
-training texts of a language. A document's own most frequent runs are compared with each profile: the distance is
-the sum of the differences in rank, with ``PROFILE`` for a run the profile lacks.
+Texts are lower-cased; every run of characters that are no letters is one gap. A profile is the ``PROFILE`` most
+frequent n-grams of one to three letters (gaps at their ends count as letters of longer ones), counted over all training
+texts of a language, whatever its script. A document's own most frequent n-grams are compared with each profile: the
+distance is the sum of the differences in rank, with ``PROFILE`` for an n-gram the profile lacks.
 
-Cases: null text, or text without a letter, is ``und`` with score 0; equal counts rank by run, equal distances by
+Cases: null text, or text without a letter, is ``und`` with score 0; equal counts rank by code points, equal distances by
 name of the language; without any training text everything is ``und``; repeated rows are judged one by one, alike;
 other columns are ignored.
 """
@@ -17,86 +17,128 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .grams import slices
 
 PROFILE = 400
-CLASSES = 64
-RUNS = CLASSES**3 + CLASSES**2 + CLASSES
+BITS = 21
+"""Bits of a code point; a run of three fits a long. Nothing is 0 and a gap is 1, which is no letter."""
+GAP = 1
+HELD = 1 << 20
+"""A task keeps about so many different (language, run) before it passes its counts on."""
+PARTS = 64
+"""A language's most frequent runs are sought in so many parts of its runs first."""
 UNDETERMINED = "und"
 
-_classes: list[np.ndarray] = []
+_letters: list[np.ndarray] = []
 
 
-def classes() -> np.ndarray:
-    """Class of each code point; 0 is no letter."""
-    if not _classes:
-        table = np.zeros(sys.maxunicode + 1, np.uint8)
-        points = np.fromiter((p for p in range(sys.maxunicode + 1) if chr(p).isalpha()), np.int64)
-        table[points] = 27 + points % 37
-        table[97:123] = np.arange(1, 27)
-        table[65:91] = np.arange(1, 27)
-        _classes.append(table)
-    return _classes[0]
+def letters() -> np.ndarray:
+    """True for each code point that is a letter."""
+    if not _letters:
+        _letters.append(np.fromiter((chr(p).isalpha() for p in range(sys.maxunicode + 1)), bool))
+    return _letters[0]
 
 
 def runs(text: str) -> np.ndarray:
-    """Codes of all runs of one to three classes; gaps only at the ends of a run."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds = classes()[points].astype(np.int64)
-    kinds = np.concatenate([[0], kinds, [0]])
-    kinds = kinds[np.concatenate([[True], (kinds[1:] > 0) | (kinds[:-1] > 0)])]
-    one = kinds[kinds > 0] + CLASSES**3 + CLASSES**2
+    """All n-grams of one to three letters as numbers; gaps only at the ends of one."""
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    points = np.concatenate([[GAP], np.where(letters()[points], points, GAP), [GAP]])
+    points = points[np.concatenate([[True], (points[1:] != GAP) | (points[:-1] != GAP)])]
+    one = points[points != GAP]
     if not len(one):
         return one
-    two = kinds[:-1] * CLASSES + kinds[1:] + CLASSES**3
-    three = ((kinds[:-2] * CLASSES + kinds[1:-1]) * CLASSES + kinds[2:])[kinds[1:-1] > 0]
+    two = points[:-1] << BITS | points[1:]
+    three = (points[:-2] << 2 * BITS | two[1:])[points[1:-1] != GAP]
     return np.concatenate([one, two, three])
 
 
-def profiles(documents: DataFrame, training: Column) -> dict[str, np.ndarray]:
-    """For each language, the rank of each run (PROFILE for those outside its profile).
+class _Counts:
+    """Counts of one task by language and run; what is over ``HELD`` of them is passed on."""
 
-    Tasks count runs in one array per language and pass on what they counted; the counts meet by language and run.
+    def __init__(self) -> None:
+        self.parts: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.size = 0
+
+    def add(self, lang: str, codes: np.ndarray) -> None:
+        found = np.unique(codes, return_counts=True)
+        self.parts.setdefault(lang, []).append(found)
+        self.size += len(found[0])
+
+    def merge(self) -> None:
+        self.size = 0
+        for lang, parts in self.parts.items():
+            codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+            counts = np.zeros(len(codes), np.int64)
+            np.add.at(counts, place, np.concatenate([n for _, n in parts]))
+            self.parts[lang] = [(codes, counts)]
+            self.size += len(codes)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        self.merge()
+        for lang, [(codes, counts)] in self.parts.items():
+            for at in range(0, len(codes), 1 << 16):
+                part = codes[at : at + (1 << 16)]
+                names = pa.array([lang] * len(part), pa.string())
+                yield pa.RecordBatch.from_arrays([names, pa.array(part), pa.array(counts[at : at + (1 << 16)])], ["lang", "run", "n"])
+        self.parts, self.size = {}, 0
+
+
+def profiles(documents: DataFrame, training: Column) -> dict[str, dict[int, int]]:
+    """For each language, its most frequent runs and their ranks from 0.
+
+    Tasks count what they read and pass on sums; these meet by language and run, and the best of each part of a
+    language's runs compete for its profile, so that no task holds all runs of a language.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                counts.setdefault(lang, np.zeros(RUNS, np.int64))
-                np.add.at(counts[lang], runs(text), 1) if len(text) < 1000 else _add(counts[lang], runs(text))
-        for lang, found in counts.items():
-            codes = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int32)), pa.array(found[codes])],
-                ["lang", "run", "n"],
-            )
+        counts = _Counts()
+        for whole in batches:
+            for batch in slices(whole):
+                found: dict[str, list[np.ndarray]] = {}
+                for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+                    found.setdefault(lang, []).append(runs(text))
+                for lang, codes in found.items():
+                    counts.add(lang, np.concatenate(codes))
+                if counts.size > 2 * HELD:
+                    counts.merge()
+                    if counts.size > HELD:
+                        yield from counts.rows()
+        yield from counts.rows()
 
     known = documents.where(training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    totals = known.mapInArrow(count, "lang string, run int, n bigint").groupBy("lang", "run").agg(F.sum("n").alias("n"))
-    best = totals.groupBy("lang").agg(
-        F.expr(f"slice(array_sort(collect_list(struct(-n AS n, run))), 1, {PROFILE})").alias("best")
-    )
-    ranks = {}
-    for row in best.collect():  # one short list for each language
-        ranks[row["lang"]] = np.full(RUNS, PROFILE, np.int32)
-        ranks[row["lang"]][[r["run"] for r in row["best"]]] = np.arange(len(row["best"]))
+    best = known.mapInArrow(count, "lang string, run bigint, n bigint").groupBy("lang", "run").agg(F.sum("n").alias("n"))
+    best = best.withColumn("part", F.pmod(F.xxhash64("run"), F.lit(PARTS)))
+    for by in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*by).orderBy(F.desc("n"), "run")
+        best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PROFILE)
+    ranks: dict[str, dict[int, int]] = {r["lang"]: {} for r in known.select("lang").distinct().collect()}
+    for row in best.collect():  # PROFILE rows for each language
+        ranks[row["lang"]][row["run"]] = row["rank"] - 1
     return dict(sorted(ranks.items()))
 
 
-def _add(counts: np.ndarray, codes: np.ndarray) -> None:
-    counts += np.bincount(codes, minlength=RUNS)
+def tables(ranks: dict[str, dict[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, ranks): all runs of the profiles in order, and for each profile the rank of each of them (PROFILE if it
+    lacks the run); one column more stands for all other runs."""
+    codes = np.unique(np.array([code for table in ranks.values() for code in table], np.int64))
+    found = np.full((len(ranks), len(codes) + 1), PROFILE, np.int32)
+    for row, table in zip(found, ranks.values()):
+        row[np.searchsorted(codes, np.fromiter(table, np.int64, len(table)))] = np.fromiter(table.values(), np.int32, len(table))
+    return codes, found
 
 
-def out_of_place(text: str, table: np.ndarray) -> tuple[np.ndarray, int] | None:
+def out_of_place(text: str, codes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, int] | None:
     """Distance to each profile, and the largest possible one; None without a letter."""
-    codes, counts = np.unique(runs(text).astype(np.uint32), return_counts=True)
-    if not len(codes):
+    own, counts = np.unique(runs(text), return_counts=True)
+    if not len(own):
         return None
-    best = codes[np.lexsort((codes, -counts))[:PROFILE]].astype(np.int64)
-    there = table[:, best]
+    best = own[np.lexsort((own, -counts))[:PROFILE]]
+    place = np.searchsorted(codes, best)
+    known = place < len(codes)
+    known[known] = codes[place[known]] == best[known]
+    there = table[:, np.where(known, place, len(codes))]
     distance = np.where(there < PROFILE, np.abs(there - np.arange(len(best))), PROFILE)
     return distance.sum(axis=1), PROFILE * len(best)
 
@@ -105,14 +147,14 @@ def identify(documents: DataFrame, training: Column) -> DataFrame:
     """doc_id, lang_pred and score: 1 - nearest distance / (2 * second nearest), so 0.5 is a draw and 1 a perfect fit."""
     ranks = profiles(documents, training)
     names = list(ranks)
-    table = documents.sparkSession.sparkContext.broadcast(np.stack(list(ranks.values())) if names else None)
+    table = documents.sparkSession.sparkContext.broadcast(tables(ranks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 languages, scores = [], []
                 for text in batch["text"].to_pylist():
-                    found = out_of_place(text, table.value) if text and names else None
+                    found = out_of_place(text, *table.value) if text and names else None
                     if found is None:
                         languages.append(UNDETERMINED)
                         scores.append(0.0)
