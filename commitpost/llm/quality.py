@@ -1,33 +1,41 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives are labelled documents of quality 1; unlabelled are documents without a label. Negatives are never
+Trusted positives are labelled documents of quality 1; unlabelled are all documents without a label. Negatives are never
 used. A classifier g on counts of the text minimises the non-negative unbiased risk
-``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` with the logistic loss, by Adam on both samples; where the second
-term is negative its gradient is reversed, so g does not fit the unlabelled sample's positives away. The prior (the
-share of positives among the unlabelled) is estimated first: a classifier of positives against unlabelled ranks both
-samples, and the smallest ratio of the shares above a score, with its sampling error, bounds the prior.
+``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` with the logistic loss, by Adam; where the second term is negative its
+gradient is reversed, so g does not fit the unlabelled documents' positives away. The prior (the share of positives among
+the unlabelled) is estimated first: a classifier of positives against unlabelled ranks both, and the smallest ratio of
+the shares above a score, with its sampling error, bounds the prior.
 
-Both samples are bounded (``POSITIVES``, ``UNLABELLED``: the rows with the smallest hashes of their ids); every
-document is scored.
+The positives are bounded (``POSITIVES``: the rows with the smallest hashes of their ids), the unlabelled are not: they
+are dealt by a hash of their ids into parts of about ``PART``, each part is minimised against all the positives, and the
+weights are averaged. Sums over parts are of whole numbers, so nothing depends on the layout of the files. Texts are
+read once; everything after that is on counts.
 
 Cases: null text is scored as empty; a null id is neither learned from nor held out; of several labels of one document
 the lowest counts; without positives or unlabelled documents the score is the prior ``DEFAULT_PRIOR`` for all;
-repeated rows are scored alike; other columns are ignored.
+of rows with the same id one (the smallest counts) is learned from; repeated rows are scored alike; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.stage import stage
 from .grams import slices
 from .rules import COUNTS, EXTRA, STATISTICS, statistics
 
-POSITIVES, UNLABELLED = 10_000, 20_000
+POSITIVES = 10_000
+PART = 32_768
+NAMES = [*COUNTS, *EXTRA]
+SCALE = 1 << 20
+"""Vectors are summed over parts in this fraction of one; sums fit a long for 10**11 documents."""
 STEPS, RATE, DECAY = 600, 0.03, 1e-4
 DEFAULT_PRIOR = 0.5
 CUTS = np.array([0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.7, 0.9])
@@ -49,14 +57,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray, confidence: float = 1.0) -> float:
-    """The smallest (share of unlabelled scores above t + error) / share of positive scores above t, where at least a
-    tenth of the positives are above t."""
-    at = np.unique(np.quantile(positive, np.linspace(0, 0.9, 91)))
-    of_positive = (positive[:, None] >= at).mean(axis=0)
-    of_unlabelled = (unlabelled[:, None] >= at).mean(axis=0)
-    error = confidence * np.sqrt(0.25 / len(unlabelled)) + confidence * np.sqrt(0.25 / len(positive))
-    return float(np.clip(((of_unlabelled + error) / of_positive).min(), 0.01, 0.99))
+def thresholds(positive: np.ndarray) -> np.ndarray:
+    """Scores above which between all and a tenth of the positives are."""
+    return np.quantile(positive, np.linspace(0, 0.9, 91))
+
+
+def estimate_prior(positive: np.ndarray, above: np.ndarray, n: int, confidence: float = 1.0) -> float:
+    """The smallest (share of unlabelled scores above t + error) / share of positive scores above t; ``above`` tells how
+    many of the ``n`` unlabelled are above each of the ``thresholds``."""
+    of_positive = (positive[:, None] >= thresholds(positive)).mean(axis=0)
+    error = confidence * np.sqrt(0.25 / n) + confidence * np.sqrt(0.25 / len(positive))
+    return float(np.clip(((above / n + error) / of_positive).min(), 0.01, 0.99))
 
 
 def minimise(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None) -> np.ndarray:
@@ -94,54 +105,78 @@ class Classifier:
         return _sigmoid((features(counts) - self.low) / self.scale @ self.weights[:-1] + self.weights[-1])
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray) -> Classifier:
-    """From the counts of both samples."""
-    if not len(positive) or not len(unlabelled):
+def _summed(dealt: DataFrame, work: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sum of the vectors that ``work`` makes of the counts of each part."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        vector = work(rows.sort_values(NAMES)[NAMES].to_numpy())
+        return pd.DataFrame({"place": np.arange(len(vector)), "n": np.rint(vector * SCALE).astype(np.int64)})
+
+    sums = dealt.groupBy("part").applyInPandas(run, "place bigint, n bigint").groupBy("place").agg(F.sum("n").alias("n"))
+    return np.array([r["n"] for r in sums.orderBy("place").collect()], float) / SCALE  # one number for each place
+
+
+def train(positive: np.ndarray, dealt: DataFrame, n: int) -> Classifier:
+    """From the counts of the positives and of ``n`` unlabelled documents in parts."""
+    if not len(positive) or not n:
         return Classifier(None, DEFAULT_PRIOR)
-    p, u = features(positive), features(unlabelled)
-    both = np.vstack([p, u])
-    low, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 0.05)
-    p, u = (p - low) / scale, (u - low) / scale
-    ranking = minimise(p, u, None)
-    prior = estimate_prior(p @ ranking[:-1], u @ ranking[:-1])
-    return Classifier(minimise(p, u, prior), prior, low, scale)
-
-
-def fit(documents: DataFrame, labels: DataFrame, learned_from: Column) -> Classifier:
-    spark = documents.sparkSession
-    ids = documents.where(F.col("doc_id").isNotNull() & learned_from).select("doc_id").distinct()
-    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    joined = ids.join(known.withColumn("labelled", F.lit(True)), "doc_id", "left")
+    p = features(positive)
+    width, everything = p.shape[1], len(p) + n
+
+    def moments(counts: np.ndarray) -> np.ndarray:
+        x = features(counts)
+        return np.concatenate([x.sum(axis=0), (x * x).sum(axis=0)])
 
-    def bounded(rows: DataFrame, most: int) -> list[int]:
-        return [r["doc_id"] for r in rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select("doc_id").collect()]
+    first, second = np.split(_summed(dealt, moments) + np.concatenate([p.sum(axis=0), (p * p).sum(axis=0)]), [width])
+    low = first / everything
+    scale = np.maximum(np.sqrt(np.maximum(second / everything - low * low, 0)), 0.05)
+    p = (p - low) / scale
 
-    positives = bounded(joined.where("quality = 1"), POSITIVES)
-    unlabelled = bounded(joined.where("labelled is null"), UNLABELLED)
-    chosen = spark.createDataFrame([(i, 1) for i in positives] + [(i, 0) for i in unlabelled], "doc_id bigint, trusted int")
+    def averaged(prior: float | None) -> np.ndarray:
+        return _summed(dealt, lambda c: len(c) * minimise(p, (features(c) - low) / scale, prior)) / n
+
+    ranking = averaged(None)[:-1]
+    of_positive = p @ ranking
+    at = thresholds(of_positive)
+    above = _summed(dealt, lambda c: (((features(c) - low) / scale @ ranking)[:, None] >= at).sum(axis=0))
+    prior = estimate_prior(of_positive, above, n)
+    return Classifier(averaged(prior), prior, low, scale)
+
+
+def counted(documents: DataFrame, learned_from: Column) -> DataFrame:
+    """doc_id, learn and the counts of each row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["trusted", *COUNTS, *EXTRA]
         for whole in batches:
             for batch in slices(whole):
                 counts = statistics(batch["text"])
-                yield pa.RecordBatch.from_arrays([batch["trusted"], *map(pa.array, counts.T)], names)
+                yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["learn"], *map(pa.array, counts.T)], ["doc_id", "learn", *NAMES])
+
+    learn = F.coalesce(learned_from, F.lit(False)).alias("learn")
+    return documents.select("doc_id", learn, "text").mapInArrow(run, f"doc_id bigint, learn boolean, {STATISTICS}")
 
-    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("trusted", "text")
-    table = sample.mapInArrow(run, f"trusted int, {STATISTICS}").toPandas()
-    table = table.sort_values(list(table.columns))
-    counts, trusted = table[[*COUNTS, *EXTRA]].to_numpy(), table["trusted"].to_numpy() == 1
-    return train(counts[trusted], counts[~trusted])
+
+def fit(counts: DataFrame, labels: DataFrame) -> Classifier:
+    """From the rows of ``counted`` that may be learned from."""
+    rows = counts.where("learn and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*NAMES)).alias("c"))
+    known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    joined = stage(rows.join(known.withColumn("labelled", F.lit(True)), "doc_id", "left"), "learned")
+    chosen = joined.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES).select("c.*").toPandas()
+    positive = chosen.sort_values(NAMES)[NAMES].to_numpy()
+    unlabelled = joined.where("labelled is null")
+    n = unlabelled.count()
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(-(-n // PART) or 1)).alias("part")
+    return train(positive, unlabelled.select(part, "c.*"), n)
 
 
 def score(documents: DataFrame, labels: DataFrame, learned_from: Column) -> DataFrame:
     """doc_id and score (0 to 1, higher: better) for each row of ``documents``."""
-    classifier = documents.sparkSession.sparkContext.broadcast(fit(documents, labels, learned_from))
+    counts = stage(counted(documents, learned_from), "counts")
+    classifier = documents.sparkSession.sparkContext.broadcast(fit(counts, labels))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                scores = classifier.value.scores(statistics(batch["text"]))
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(scores)], ["doc_id", "score"])
+        for batch in batches:
+            values = np.stack([batch[name].to_numpy(zero_copy_only=False) for name in NAMES], axis=1)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(classifier.value.scores(values))], ["doc_id", "score"])
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double")
+    return counts.select("doc_id", *NAMES).mapInArrow(run, "doc_id bigint, score double")

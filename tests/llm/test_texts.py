@@ -173,7 +173,8 @@ def test_prior_is_near_the_share_of_positives():
     for share in (0.3, 0.6, 0.9):
         n = int(8000 * share)
         unlabelled = np.concatenate([rng.normal(2, 1, n), rng.normal(-2, 1, 8000 - n)])
-        assert abs(quality.estimate_prior(positive, unlabelled) - share) < 0.06
+        above = [(unlabelled >= t).sum() for t in quality.thresholds(positive)]
+        assert abs(quality.estimate_prior(positive, np.array(above), len(unlabelled)) - share) < 0.06
 
 
 def test_positive_unlabelled_risk_finds_the_negatives():
@@ -185,6 +186,37 @@ def test_positive_unlabelled_risk_finds_the_negatives():
     assert says[:1500].mean() > 0.9 and says[1500:].mean() < 0.1
 
 
+def test_quality_learns_from_every_unlabelled_document_in_any_layout(spark, monkeypatch):
+    """Parts by a plain loop: moments, ranking, prior and weights over all unlabelled documents."""
+    monkeypatch.setattr(quality, "PART", 150)
+    docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    learned = queries.remainder(5) != 0
+    counts = quality.counted(docs, learned).cache()
+    found = quality.fit(counts, labels)
+    kind = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [(r.doc_id, tuple(r)[2:]) for r in counts.where("learn").collect()]
+    positive = quality.features(np.array(sorted(c for i, c in rows if kind.get(i) == 1)))
+    unlabelled = [(i, c) for i, c in rows if i not in kind]
+    parts = -(-len(unlabelled) // 150)
+    dealt = spark.createDataFrame([(i,) for i, _ in unlabelled], "doc_id bigint")
+    part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(parts))
+    of = {r[0]: r[1] for r in dealt.select("doc_id", part).collect()}
+    groups = [quality.features(np.array(sorted(c for i, c in unlabelled if of[i] == n))) for n in range(parts)]
+    both = np.vstack([positive, *groups])
+    low, scale = both.mean(axis=0), np.maximum(both.std(axis=0), 0.05)
+    positive, groups = (positive - low) / scale, [(g - low) / scale for g in groups]
+    total = sum(map(len, groups))
+    mean = lambda prior: sum(len(g) * quality.minimise(positive, g, prior) for g in groups) / total
+    ranking = mean(None)[:-1]
+    scores = np.concatenate([g @ ranking for g in groups])
+    above = np.array([(scores >= t).sum() for t in quality.thresholds(positive @ ranking)])
+    assert parts > 2 and total == len(unlabelled) and np.allclose(found.low, low, atol=1e-5) and np.allclose(found.scale, scale, atol=1e-4)
+    prior = quality.estimate_prior(positive @ ranking, above, total)
+    assert abs(found.prior - prior) < 0.01 and np.allclose(found.weights, mean(prior), atol=0.05)
+    again = quality.fit(quality.counted(docs.unionByName(docs.limit(40)).repartition(40), learned), labels)
+    assert again.prior == found.prior and (again.weights == found.weights).all()
+
+
 def test_quality_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = queries.QUERIES["op1_quality"](spark, SF)
