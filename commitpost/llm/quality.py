@@ -161,7 +161,10 @@ def fit(counts: DataFrame, labels: DataFrame) -> Classifier:
     rows = counts.where("learn and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct(*NAMES)).alias("c"))
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     joined = stage(rows.join(known.withColumn("labelled", F.lit(True)), "doc_id", "left"), "learned")
-    chosen = joined.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").limit(POSITIVES).select("c.*").toPandas()
+    trusted = joined.where("quality = 1").withColumn("hash", F.xxhash64("doc_id"))
+    share = min(1.0, 2 * POSITIVES / max(trusted.count(), 1))  # holds the smallest hashes many times over
+    trusted = trusted.where(F.col("hash") <= min(int((share - 0.5) * 2**64), 2**63 - 1))
+    chosen = trusted.orderBy("hash", "doc_id").limit(POSITIVES).select("c.*").toPandas()
     positive = chosen.sort_values(NAMES)[NAMES].to_numpy()
     unlabelled = joined.where("labelled is null")
     n = unlabelled.count()
