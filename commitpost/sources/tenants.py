@@ -30,11 +30,12 @@ def expand_tenants(tenants: DataFrame) -> DataFrame:
     listed = listed.where(F.col("database") != "").unionByName(alone)
     expanded = listed.withColumn("dsn", F.replace("dsn_template", mark, text.percent_encoded(F.col("database")))).withColumn(
         "slot", F.replace("slot_template", mark, F.col("database"))
-    ).withColumn("source", database_name(F.col("dsn")))
-    repeated = expanded.groupBy("group_id", "database").agg(F.count(F.lit(1)).alias("_listed"))
-    named = expanded.groupBy("group_id", "source").agg(F.count(F.lit(1)).alias("_same_name"))
-    checked = expanded.join(repeated, ["group_id", "database"])
-    checked = lookup_join(checked, named, ["group_id", "source"], F.col("database"), "inner")
+    ).withColumn("source", database_name(F.col("dsn"))).where("source is not null")
+    several = F.count(F.lit(1)) > 1  # names that occur once need no row in a lookup table
+    repeated = expanded.groupBy("group_id", "database").agg(several.alias("_listed")).where("_listed")
+    named = expanded.groupBy("group_id", "source").agg(several.alias("_same_name")).where("_same_name")
+    checked = lookup_join(expanded, repeated, ["group_id", "database"], F.col("dsn"))
+    checked = lookup_join(checked, named, ["group_id", "source"], F.col("database"))
     dsn_template = F.col("dsn_template").contains(PLACEHOLDER)
     slot_template = F.col("slot_template").contains(PLACEHOLDER)
     problem = (
@@ -42,8 +43,8 @@ def expand_tenants(tenants: DataFrame) -> DataFrame:
         .when(~F.col("_named") & (dsn_template | slot_template), "no databases for the templates")
         .when(F.col("_named") & ~dsn_template, "dsn is not a template")
         .when(F.col("_named") & ~slot_template, "slot is not a template")
-        .when(F.col("_listed") > 1, "listed twice")
+        .when(F.col("_listed"), "listed twice")
         .when(~text.is_slot_name(F.col("slot")), "not a slot name")
-        .when(F.col("_same_name") > 1, "several sources of one name")
+        .when(F.col("_same_name"), "several sources of one name")
     )
     return checked.select("group_id", "database", "source", "dsn", "slot", "publication", problem.alias("problem"))

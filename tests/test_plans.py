@@ -164,6 +164,15 @@ def test_lookup_is_the_same_broadcast_or_salted(spark, broadcast_rows):
     assert all(r["v"] == (1 if r["k"] == "hot" else 2 if r["k"] == "7" else None) for r in got)
 
 
+def test_a_large_lookup_is_not_broadcast_and_only_hot_keys_are_repeated(spark):
+    big = spark.range(500).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    small = spark.range(-1, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    joined = lookup_join(big, small, ["k"], F.col("id"), broadcast_rows=0, hot=100)
+    assert {r["id"]: r["v"] for r in joined.collect()} == {i: -2 if i % 3 == 0 else i * 2 if i < 400 else None for i in range(500)}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "_hot_key" in plan
+
+
 @pytest.mark.parametrize("limit", [10, None])
 def test_fifo_window(spark, limit):
     rng = random.Random(5)
