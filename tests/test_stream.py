@@ -7,7 +7,7 @@ from events import events
 from pyspark.sql import functions as F
 
 from commitpost.operators.reports import LATENCY_BOUNDS
-from commitpost.streaming.relay import STREAM_SCHEMA, Relay, dedup_stream, rate_stream, read_events
+from commitpost.streaming.relay import STREAM_SCHEMA, Relay, dedup_stream, exact_dedup_stream, rate_stream, read_events
 from commitpost.streaming.send import CallError, judged, send_in_order
 from commitpost.operators.messages import publish_requests
 from commitpost.functions import text
@@ -248,3 +248,24 @@ def test_samples_count_a_repeated_step_once(spark, backlog, tmp_path):
         assert value[source, "dead_letters_total", ""] == 0
         buckets = [value[source, "publish_latency_bucket", le] for le in [str(b) for b in LATENCY_BOUNDS] + ["+Inf"]]
         assert buckets == sorted(buckets) and buckets[-1] == published
+
+
+def test_dedup_ids_share_state_by_parts(spark, tmp_path):
+    """Many ids in few parts, over micro-batches: what each accepts is its own, and expired ids leave the state."""
+    minute = 60_000
+    sends = [[(f"i{n}", n * 10 + late) for n in range(300) for late in (0, 2 * minute)], [(f"i{n}", 5 * minute + n * 10) for n in range(0, 300, 3)]]
+    sends += [[("i0", 40 * minute)], [("i0", 44 * minute), (None, 44 * minute), ("i1", 44 * minute)], [("i0", 45 * minute), (None, 46 * minute)]]
+    sends = [[(id, 1_000_000_000_000 + ms) for id, ms in rows] for rows in sends]
+    box, out = str(tmp_path / "box"), str(tmp_path / "out")
+    for rows in sends:
+        part = spark.createDataFrame(rows, "dedup_id string, ms bigint").select("dedup_id", F.timestamp_millis("ms").alias("sent_at"))
+        part.write.mode("append").parquet(box)
+        stream = spark.readStream.schema("dedup_id string, sent_at timestamp").parquet(box)
+        writer = exact_dedup_stream(stream, 5 * minute, parts=4).writeStream.format("parquet").option("path", out)
+        writer.option("checkpointLocation", str(tmp_path / "offsets")).trigger(availableNow=True).start().awaitTermination()
+    last, expected = {}, []
+    for id, ms in (row for rows in sends for row in sorted(rows, key=lambda row: row[1])):
+        if id not in last or ms - last[id] >= 5 * minute:
+            last[id] = ms
+            expected.append((id, ms))
+    assert sorted(map(str, map(tuple, spark.read.parquet(out).collect()))) == sorted(map(str, expected))
