@@ -40,6 +40,24 @@ def test_a_restart_repeats_the_unfinished_page_and_goes_on(spark, tmp_path):
     assert pages.seen == [(0, ["a0", "a1", "a2"]), (1, ["a3", "a4", "a5"]), (1, ["a3", "a4", "a5"]), (2, ["a6", "a7", "c0"])]
 
 
+def test_pages_that_go_out_together_are_the_same_pages(spark, tmp_path):
+    """Steps of 1 and 2 pages; the second dies and is repeated, and the steps start small again."""
+    steps = []
+
+    def take(rows, page):
+        steps.append((page, sorted((r["page"], r["id"]) for r in rows.select("page", "id").collect())))
+        if len(steps) == 2:
+            raise RuntimeError("died")
+
+    rows, store = backlog(spark, {"a": 20, "b": 4}), str(tmp_path)
+    with pytest.raises(RuntimeError):
+        PagedOutbox(spark, rows, store, 3, together=4).run(take)
+    PagedOutbox(spark, rows, store, 3, together=4).run(take)
+    assert [page for page, _ in steps] == [0, 1, 1, 3, 5] and steps[1] == steps[2]
+    pages = sorted(sum((found for _, found in steps[:1] + steps[2:]), []))
+    assert pages == sorted([(n // 3, f"a{n}") for n in range(20)] + [(n // 3, f"b{n}") for n in range(4)])
+
+
 def test_resume_reads_only_what_lies_ahead(spark, tmp_path):
     rows = backlog(spark, {"a": 400, "b": 400})
     for low in range(0, 1000, 100):
