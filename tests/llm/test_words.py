@@ -322,6 +322,23 @@ def test_threshold_keeps_the_good_rows():
     assert rules.calibrate(scores, np.ones(5, bool)) == rules.DEFAULT_THRESHOLD
 
 
+def test_every_labelled_document_sets_the_threshold(spark):
+    """More labelled rows than any sample of thousands: threshold and kept share are those of all rows."""
+    rng = np.random.default_rng(4)
+    n = 15_000
+    counts = np.full((n, 9), 100)
+    counts[:, 2:4], counts[:, 6:8] = rng.integers(0, 40, (n, 2)), rng.integers(0, 60, (n, 2))
+    good = rng.random(n) < 0.8
+    counts[~good, 2] += 60
+    table = spark.createDataFrame([(i, *map(int, row)) for i, row in enumerate(counts)], f"doc_id bigint, {rules.STATISTICS}").repartition(4)
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id bigint, quality int")
+    counts[:, 4] = 0
+    forest = rules.fit(table.withColumn("n_repeat_words", F.lit(0).cast("bigint")), labels)
+    scores = forest.scores(rules.rates(counts))
+    assert np.isclose(forest.threshold, rules.calibrate(scores, good), rtol=1e-12)
+    assert (scores[good] <= forest.threshold).mean() >= rules.KEEP_CLEAN
+
+
 def test_rules_of_odd_and_empty_tables(spark):
     docs, labels = odd_documents(spark), spark.read.parquet(f"{SF}/labels.parquet")
     rows = rules.judge(docs, labels).collect()
