@@ -269,3 +269,12 @@ def test_dedup_ids_share_state_by_parts(spark, tmp_path):
             last[id] = ms
             expected.append((id, ms))
     assert sorted(map(str, map(tuple, spark.read.parquet(out).collect()))) == sorted(map(str, expected))
+
+
+def test_copies_in_a_micro_batch_go_out_once_from_their_first_position(spark, tmp_path):
+    rows = [{"id": f"e{n % 4}", "source": "s", "aggregate_id": "k", "commit_lsn": 1000 - n * 100, "row_seq": n} for n in range(6)]
+    relay = Relay(spark, str(tmp_path), lambda entries: [(e["index"], True, False, "", "") for e in entries])
+    relay.prepare()
+    relay.publish(events(spark, rows), 0)
+    sent = relay.table("deliveries").select("id", "commit_lsn").collect()
+    assert sorted(map(tuple, sent)) == [("e0", 600), ("e1", 500), ("e2", 800), ("e3", 700)]
