@@ -6,10 +6,13 @@ I insert, C commit, K keepalive; others are ignored. ``wal_pos`` orders the mess
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from commitpost.functions import text
 from commitpost.plans.scan import Agg, running
+from commitpost.plans.stage import stage
 
 from .schema import EVENT_COLUMNS, JSON_COLUMNS, REQUIRED
 
@@ -35,6 +38,11 @@ def letter(data: Column, start: Column | int) -> Column:
     return F.substring(data, at, F.lit(1)).cast("string")
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once: inside a lambda function nothing else keeps it from being repeated."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def up_to(n: Column) -> Column:
     return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.expr("cast(array() as array<int>)"))
 
@@ -75,22 +83,32 @@ def insert_values(data: Column, names: Column) -> Column:
     )
 
     def read(state: Column, i: Column) -> Column:
-        kind = letter(data, state["at"])
-        length = F.coalesce(uint(data, state["at"] + 1, LENGTH_BYTES, "bigint"), F.lit(0))
-        fits = length <= size - state["at"] - LENGTH_BYTES  # a length of 32 bits may be larger than any message
-        length = F.when(fits, length).otherwise(size).cast("int")
-        value = F.substring(data, state["at"] + 1 + LENGTH_BYTES, length).cast("string")
-        is_text = kind == TEXT_VALUE
-        after = state["at"] + 1 + F.when(is_text, length + LENGTH_BYTES).otherwise(0)
+        head = F.struct(
+            letter(data, state["at"]).alias("kind"),
+            F.coalesce(uint(data, state["at"] + 1, LENGTH_BYTES, "bigint"), F.lit(0)).alias("length"),
+        )
+        return bound(head, lambda head: body(state, i, head))
+
+    def body(state: Column, i: Column, head: Column) -> Column:
+        fits = head["length"] <= size - state["at"] - LENGTH_BYTES  # a length of 32 bits may be larger than any message
+        length = F.when(fits, head["length"]).otherwise(size).cast("int")
+        is_text = head["kind"] == TEXT_VALUE
+        field = F.struct(
+            F.when(is_text, F.substring(data, state["at"] + 1 + LENGTH_BYTES, length).cast("string")).alias("value"),
+            (state["at"] + 1 + F.when(is_text, length + LENGTH_BYTES).otherwise(0)).alias("after"),
+        )
+        return bound(field, lambda field: judged(state, i, head["kind"], field))
+
+    def judged(state: Column, i: Column, kind: Column, field: Column) -> Column:
         error = (
             F.when(state["error"].isNotNull(), state["error"])
-            .when(after > size + 1, F.lit("the message ends too early"))
-            .when(is_text & ~F.is_valid_utf8(value), F.lit("value is not UTF-8"))
+            .when(field["after"] > size + 1, F.lit("the message ends too early"))
+            .when((kind == TEXT_VALUE) & ~F.is_valid_utf8(field["value"]), F.lit("value is not UTF-8"))
             .when(~kind.isin(NULL_VALUE, TEXT_VALUE), F.concat(F.lit("value kind not read in "), F.element_at(names, i)))
         )
         return F.struct(
-            after.alias("at"),
-            F.concat(state["values"], F.array(F.when(is_text, value))).alias("values"),
+            field["after"].alias("at"),
+            F.concat(state["values"], F.array(field["value"])).alias("values"),
             error.alias("error"),
         )
 
@@ -213,8 +231,9 @@ def decoded_events(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return events, rejects.unionByName(strays(found, bounds))
 
 
-def read_inserts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Events of located inserts, and the inserts that cannot be events."""
+def read_inserts(found: DataFrame, once: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Events of located inserts, and the inserts that cannot be events. A caller that uses both has them decoded ``once``:
+    what was read is staged."""
     rows = decode(found)
     missing = F.coalesce(
         "error",
@@ -222,6 +241,8 @@ def read_inserts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
         *(F.when(~text.is_json(column_of(c)), F.lit(f"{c}: not JSON")) for c in JSON_COLUMNS),
     )
     checked = rows.withColumn("error", missing)
+    if once:
+        checked = stage(checked, "decoded")
     rejects = checked.where(F.col("error").isNotNull()).select("source", "wal_pos", "error")
     values = {c: column_of(c) for c in REQUIRED}
     values["occurred_at"] = text.rfc3339(values["created_at"])

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from commitpost.plans.stage import drop, stage
+from commitpost.plans.stage import drop, scope, stage
 from commitpost.sources import changelog
 from commitpost.sources.schema import EVENT_COLUMNS
 
@@ -59,7 +59,11 @@ class LogTail:
             self.spark.createDataFrame([], schema).write.mode("ignore").parquet(self._folder(name, -1))
 
     def step(self, new: DataFrame, batch: int) -> None:
-        """One micro-batch of the log."""
+        """One micro-batch of the log; what it stages is deleted at its end."""
+        with scope(self.spark):
+            self._step(new, batch)
+
+    def _step(self, new: DataFrame, batch: int) -> None:
         previous = self.last_step(batch)
         kept = self.spark.createDataFrame([], LOG_SCHEMA)
         if previous is not None:
@@ -70,7 +74,7 @@ class LogTail:
         found = stage(changelog.located(log, bounds), "inserts")
 
         committed = found.where(F.col("state") == changelog.COMMITTED).drop("state")
-        events, rejects = changelog.read_inserts(committed)
+        events, rejects = changelog.read_inserts(committed, once=True)
         events = events.select(*EVENT_COLUMNS).withColumn("progress", F.lit(None).cast("boolean"))
         events.write.mode("overwrite").parquet(self._folder("events", batch))
         marks = changelog.progress_marks(log).select("source", F.col("lsn").alias("commit_lsn"), F.lit(True).alias("progress"))
@@ -91,9 +95,6 @@ class LogTail:
             state = state.unionByName(rows, allowMissingColumns=True)
         state = self.spark.createDataFrame([], LOG_SCHEMA).unionByName(state, allowMissingColumns=True)
         state.write.mode("overwrite").parquet(self._folder("state", batch))
-        for staged in (log, bounds, found):
-            for path in {file.rsplit("/", 1)[0] for file in staged.inputFiles()}:
-                drop(self.spark, path)
         if previous is not None and previous >= 0:
             drop(self.spark, self._folder("state", previous - 1))
         self.finished = batch

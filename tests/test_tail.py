@@ -1,7 +1,11 @@
 """The change log as a stream: state across micro-batches, strays, steps that run again, idle steps."""
 
+import os
+
+from pyspark.sql import functions as F
 from test_operators import NAMES, VALUES, insert, log
 
+from commitpost.plans import stage as stages
 from commitpost.sources import changelog
 from commitpost.streaming.relay import Relay, read_events
 from commitpost.streaming.tail import LogTail
@@ -61,6 +65,30 @@ def test_a_step_that_runs_again_and_an_empty_one(spark, tmp_path):
     assert len(list((tmp_path / "state").glob("batch=*"))) <= 3
 
 
+def test_a_step_decodes_each_insert_once_and_leaves_nothing_staged(spark, tmp_path, monkeypatch):
+    decoded, staged = spark.sparkContext.accumulator(0), []
+
+    def counted(data):
+        decoded.add(1)
+        return bytes(data)
+
+    plain = changelog.decode
+    count = F.udf(counted, "binary").asNondeterministic()
+    monkeypatch.setattr(changelog, "decode", lambda found: plain(found.withColumn("data", count("data"))))
+    monkeypatch.setattr(stages, "new_path", lambda _, name: staged.append(str(tmp_path / f"{len(staged)}-{name}")) or staged[-1])
+    tail = LogTail(spark, str(tmp_path / "tail"))
+    tail.prepare()
+    tail.step(log(spark, ROWS), 0)
+    assert results(tail) == WANT
+    assert decoded.value == 3
+    assert len(staged) >= 4 and not any(os.path.exists(path) for path in staged)
+
+
+def test_an_insert_reads_the_head_of_a_field_once():
+    text = changelog.insert_values(F.col("data"), F.col("names"))._jc.toString()
+    assert text.count("conv(") <= 5  # the count of values four times, outside of the loop, and the length of a field
+
+
 def test_a_relay_reads_the_tail(spark, tmp_path):
     tail = LogTail(spark, str(tmp_path / "tail"))
     tail.prepare()
