@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from commitpost.functions import text
 from commitpost.plans.batches import KEY, MAX_EVENTS
 from commitpost.plans.scan import Agg, count, log_levels, running, time_levels
+from commitpost.plans.stage import stage
 
 ID = ["source", "id"]
 
@@ -93,8 +94,9 @@ def poll_inversions(events: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def commit_order(events: DataFrame, limit: int | None = None) -> DataFrame:
-    """Each event's place in its source. Nothing is sorted across sources."""
-    narrow = events.select("source", "id", "commit_lsn", "row_seq")
+    """Each event's place in its source. Nothing is sorted across sources; ``events`` are read once, however often the
+    scan looks for large groups."""
+    narrow = stage(events.select("source", "id", "commit_lsn", "row_seq"), "positions")
     return running(narrow, ["source"], ["commit_lsn", "row_seq"], {"place": count()}, log_levels(), limit=limit)
 
 

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from commitpost.operators.reconcile import commit_order
 from commitpost.plans.scan import Agg, count, log_levels, running
 
 
@@ -37,3 +38,17 @@ def test_matches_plain_window(rows, before, descending, limit):
     assert got.columns == plain.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     assert got.select(key).distinct().count() == 3000
+
+
+def test_commit_order_reads_its_events_once_however_many_groups_are_hot(spark, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(lsn):
+        read.add(1)
+        return lsn
+
+    events = rows.select("source", F.col("row_seq").cast("string").alias("id"), "row_seq",
+                         F.udf(counted, "bigint").asNondeterministic()("commit_lsn").alias("commit_lsn"))
+    got = commit_order(events, limit=100)
+    assert got.where("source = 'hot'").agg(F.max("place")).first()[0] == rows.where("source = 'hot'").count()
+    assert read.value == 3000
