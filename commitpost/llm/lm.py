@@ -22,7 +22,6 @@ training texts all counts are 0 and the model is its start; repeated rows are sc
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +49,8 @@ CLASSES = 2 * SIZES + 1  # the last is the end
 START = CLASSES
 BLOCK = 2048
 """Windows that are scored at once."""
+PLACES = 4096
+"""Places whose decisions are scored at once."""
 END_HASH = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -74,27 +75,45 @@ class Subwords:
         self.packed = np.dtype("<u2" if self.end < 1 << 16 else "<u4")
         self.input_kinds = self.kinds.copy()
         self.input_kinds[self.end] = START  # as an input, an end is what stands before a text
-        self.kept: dict[int, tuple[int, ...]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, np.uint64)  # hashes of the words kept, in order; their ids in ``pool`` and how many
+        self.begins, self.lengths, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.packed)
 
     def of_words(self, words: Words, first: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, how many for each word) of the words that ``first`` points at. Words not kept are encoded together,
-        each after a space: a word holds no space, so it begins where an id does whose token begins with one."""
-        if len(self.kept) > KEPT_WORDS:
-            self.kept.clear()
-        kept, keys = self.kept, hashes.tolist()
-        new = [i for i, key in enumerate(keys) if key not in kept]
-        if new:
-            texts = [words.text(w, w + 1) for w in first[new].tolist()]
-            ids = np.array(self.encode(" " + " ".join(texts)), np.int64)
-            begins = np.flatnonzero(self.spaced[ids])
-            if len(begins) == len(new):
-                parts = [tuple(part.tolist()) for part in np.split(ids, begins[1:])]
-            else:  # an odd space inside a word
-                parts = [tuple(self.encode(" " + text)) for text in texts]
-            kept.update(zip([keys[i] for i in new], parts))
-        found = [kept[key] for key in keys]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int64, int(lengths.sum())), lengths
+        """(ids, how many for each word) of the words that ``first`` points at; ``hashes``: theirs, rising."""
+        if len(self.keys) > KEPT_WORDS:
+            self._forget()
+        at = np.searchsorted(self.keys, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys.take(at[inside]) != hashes[inside]
+        if new.any():
+            ids, lengths = self._encoded(words, first[new])
+            before = at[new]
+            self.keys = np.insert(self.keys, before, hashes[new])
+            self.begins = np.insert(self.begins, before, len(self.pool) + np.cumsum(lengths) - lengths)
+            self.lengths = np.insert(self.lengths, before, lengths)
+            self.pool = np.concatenate([self.pool, ids.astype(self.packed)])
+            at += np.cumsum(new) - new
+        lengths = self.lengths.take(at)
+        return self.pool.take(ragged(self.begins.take(at), lengths)).astype(np.int64), lengths
+
+    def _encoded(self, words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many for each word) of words encoded together, each after a space: a word holds no space, so it begins
+        where an id does whose token begins with one. If an odd space inside a word hides that, halves are encoded."""
+        sizes = words.ends[which] - words.starts[which] + 1
+        joined = words.texts.data.take(ragged(words.starts[which] - 1, sizes), mode="clip")
+        joined[np.cumsum(sizes) - sizes] = 32
+        ids = np.array(self.encode(joined.tobytes().decode()), np.int64)
+        begins = np.flatnonzero(self.spaced[ids])
+        if len(which) == 1:
+            return ids, np.array([len(ids)])
+        if len(begins) == len(which):
+            return ids, np.diff(begins, append=len(ids))
+        halves = [self._encoded(words, half) for half in np.array_split(which, 2)]
+        return np.concatenate([x for x, _ in halves]), np.concatenate([n for _, n in halves])
 
 
 _loaded: dict[tuple[str, str], Subwords] = {}
@@ -111,7 +130,13 @@ class Tokens:
 
     def __init__(self, column: pa.Array, subwords: Subwords):
         self.words = words = Texts(column).lower().words()
-        self.hashes, first, self.which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        order = np.argsort(words.hashes())
+        in_order = words.hashes().take(order)
+        opens = np.ones(len(order), bool)
+        opens[1:] = in_order[1:] != in_order[:-1]
+        self.hashes, first = in_order[opens], order[opens]
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(opens) - 1
         ids, lengths = subwords.of_words(words, first, self.hashes)
         self.unique_ids, self.unique_lengths = ids, lengths
         self.subwords = subwords
@@ -154,9 +179,9 @@ def laid_out(ids: np.ndarray, lengths: np.ndarray, subwords: Subwords) -> tuple[
     which = np.repeat(np.arange(len(n)), n)
     at = (begin[which] + ragged(np.zeros(len(n), np.int64), n) * STRIDE)[:, None] + np.arange(WINDOW + 1)
     there = at < (begin + lengths)[which, None]
-    own = np.where(there, ids[np.minimum(at, max(len(ids) - 1, 0))], subwords.end)
-    targets = np.where(there[:, 1:] & (np.arange(WINDOW) >= CONTEXT), subwords.kinds[own[:, 1:]], -1)
-    return subwords.input_kinds[own[:, :-1]], targets, own[:, :-1], own[:, 1:]
+    own = np.where(there, ids.take(at, mode="clip") if len(ids) else 0, subwords.end)
+    targets = np.where(there[:, 1:] & (np.arange(WINDOW) >= CONTEXT), subwords.kinds.take(own[:, 1:]), -1)
+    return subwords.input_kinds.take(own[:, :-1]), targets, own[:, :-1], own[:, 1:]
 
 
 def score_windows(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -177,8 +202,8 @@ def score_windows(ids: np.ndarray, offsets: np.ndarray, end: int) -> tuple[np.nd
 
 
 class Tree:
-    """Huffman's tree of the ids of each class, by their counts. ``nodes`` and ``sides`` from ``offsets[id]`` are the
-    decisions on the way to an id, ``prior`` the log odds of each node's side 1 by the counts."""
+    """Huffman's tree of the ids of each class, by their counts. ``nodes`` and ``signs`` from ``offsets[id]`` are the
+    decisions on the way to an id (1 for a node's side 1, else -1), ``prior`` the log odds of side 1 by the counts."""
 
     def __init__(self, kinds: np.ndarray, counts: np.ndarray):
         n, weight = len(kinds), (counts + 0.5).tolist()
@@ -212,13 +237,17 @@ class Tree:
         sides = np.array([x for _, x in steps]).reshape(len(steps), n).T
         self.lengths = (nodes >= 0).sum(axis=1)
         self.offsets = np.cumsum(self.lengths) - self.lengths
-        self.nodes, self.sides, self.prior = nodes[nodes >= 0].astype(np.int32), sides[nodes >= 0], prior
+        self.nodes, self.prior = nodes[nodes >= 0], prior
+        self.signs = (2 * sides[nodes >= 0] - 1).astype(np.float32)
 
     def ways(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(which of ``ids``, node, side) of all decisions on the way to each."""
-        lengths = self.lengths[ids]
-        at = ragged(self.offsets[ids], lengths)
-        return np.repeat(np.arange(len(ids)), lengths), self.nodes[at], self.sides[at].astype(np.float32)
+        """(which of ``ids``, node, sign) of all decisions on the way to each."""
+        lengths = self.lengths.take(ids)
+        ends = np.cumsum(lengths)
+        which = np.repeat(np.arange(len(ids)), lengths)
+        at = (self.offsets.take(ids) - ends + lengths).take(which)
+        at += np.arange(len(at))
+        return which, self.nodes.take(at), self.signs.take(at)
 
 
 SHAPES = {
@@ -244,6 +273,19 @@ def start_weights(seed: int = 5, kinds: np.ndarray | None = None) -> dict[str, n
     return out | {k: np.zeros((len(kinds), WIDTH), np.float32) for k in TABLES}
 
 
+LIMIT = 60
+
+
+def _exp(x: np.ndarray, more: int = 0) -> np.ndarray:
+    """exp(x) + more, in place and without the largest-first step of a softmax: products and logits of so small a model
+    stay far below what float32 can take as an exponent, and are cut at ``LIMIT`` to be sure."""
+    np.clip(x, -LIMIT, LIMIT, out=x)
+    np.exp(x, out=x)
+    if more:
+        x += more
+    return x
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(axis=-1, keepdims=True))
     return e / e.sum(axis=-1, keepdims=True)
@@ -259,52 +301,106 @@ def attend(w: dict[str, np.ndarray], inputs: np.ndarray, ids: np.ndarray | None
     return x, q, k, v, a, x + a @ v
 
 
-def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different rows, the sum of the values of each, and how many there are."""
-    different, back, times = np.unique(rows, return_inverse=True, return_counts=True)
-    sums = np.stack([np.bincount(back, column, len(different)) for column in values.T], axis=1)
-    return different, sums.astype(values.dtype), times
+def _spread(values: np.ndarray, width: int) -> np.ndarray:
+    """Each value in a row of ``width``: with short rows faster than numpy's own broadcast of a column."""
+    return values.repeat(width).reshape(-1, width)
+
+
+def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """``out`` with each of ``values`` added to its row; two columns at a time, as complex numbers are added."""
+    pair = np.result_type(values.dtype, np.complex64)
+    for column, part in zip(out.view(pair).T, values.view(pair).T):
+        np.add.at(column, rows, part)
+    return out
+
+
+def _by_row(rows: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different rows of ``size``, the sum of the values of each, and how many there are."""
+    place, order = np.empty(size, np.intp), np.arange(len(rows))  # read only where written
+    place[rows] = order
+    different = rows.take(np.flatnonzero(place.take(rows) == order))
+    place[different] = order[: len(different)]
+    place = place.take(rows)
+    sums = _add_rows(np.zeros((len(different), values.shape[1]), values.dtype), place, values)
+    return different, sums, np.bincount(place, minlength=len(different))
 
 
 def gradients(
     w: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray, input_ids: np.ndarray | None = None,
-    target_ids: np.ndarray | None = None, tree: Tree | None = None,
+    target_ids: np.ndarray | None = None, tree: Tree | None = None, with_loss: bool = True,
 ) -> tuple[float, dict]:
-    """Mean cross-entropy of the targets that are there, and its gradients; those of the tables by row (``_by_row``)."""
-    x, q, k, v, a, h = attend(w, inputs, None if tree is None else input_ids)
-    p = _softmax(h @ w["out"] + w["bias"])
+    """Mean cross-entropy of the targets that are there (0 without ``with_loss``), and its gradients; those of the tables
+    by row (``_by_row``). Places before the first that has a target in any window ask nothing. Sums over short rows are
+    products with ones, and all windows are one matrix wherever they share a factor."""
+    first = 0 if (targets[:, :CONTEXT] >= 0).any() else CONTEXT
+    x = w["embedding"].take(inputs, axis=0) + w["place"]
+    if tree is not None:
+        x += w["piece"].take(input_ids, axis=0)
+    windows, dtype, scale = len(x), x.dtype, x.dtype.type(WIDTH**-0.5)
+    ones = np.ones(WINDOW, dtype)
+    rows = x.reshape(-1, WIDTH)
+    asking = x[:, first:].reshape(-1, WIDTH)
+    shape = (windows, WINDOW - first, -1)
+    q = (asking @ (w["query"] * scale)).reshape(shape)
+    k, v = (rows @ w["key"]).reshape(x.shape), (rows @ w["value"]).reshape(x.shape)
+    a = q @ np.ascontiguousarray(k.transpose(0, 2, 1))
+    _exp(a)
+    a *= CAUSAL[first:]
+    flat = a.reshape(-1, WINDOW)
+    flat *= _spread(1 / (flat @ ones), WINDOW)
+    h = (a @ v).reshape(-1, WIDTH)
+    h += asking
+
+    p = np.ascontiguousarray(w["out"].T) @ h.T  # a row for each class
+    p += w["bias"][:, None]
+    _exp(p)
+    p *= 1 / p.sum(axis=0)
+    targets = targets[:, first:].ravel()
     there = targets >= 0
-    n = max(1, there.sum())
-    right = np.take_along_axis(p, np.maximum(targets, 0)[..., None], 2)[..., 0]
-    loss = -np.log(np.maximum(right[there], 1e-9)).sum() / n
-    d = p
-    np.put_along_axis(d, np.maximum(targets, 0)[..., None], (right - 1)[..., None], 2)
-    d = d * (there[..., None] / np.float32(n))
-    flat2 = lambda m: m.reshape(-1, m.shape[-1])
-    g = {"out": flat2(h).T @ flat2(d), "bias": flat2(d).sum(axis=0)}
-    dh = d @ w["out"].T
+    n = max(1, np.count_nonzero(there))
+    right = np.maximum(targets, 0), np.arange(len(targets))
+    loss = -np.log(np.maximum(p[right][there], 1e-9)).sum() / n if with_loss else 0.0
+    p[right] -= 1
+    p *= there * dtype.type(1 / n)
+    g = {"out": h.T @ p.T, "bias": p.sum(axis=1)}
+    dh = p.T @ w["out"].T
     if tree is not None:
-        which, nodes, sides = tree.ways(target_ids[there])
-        known = h[there]
-        known_there, decides = known[which], w["node"][nodes]
-        signs = 2 * sides - 1
-        z = signs * (tree.prior[nodes] + np.einsum("ij,ij->i", known_there, decides))
-        loss += np.logaddexp(0, -z).sum() / n
-        dz = (-signs / (1 + np.exp(np.clip(z, -60, 60))) / np.float32(n))[:, None]
-        g["node"] = _by_row(nodes, dz * known_there)
-        dh[there] += np.stack([np.bincount(which, c, len(known)) for c in (dz * decides).T], axis=1).astype(dh.dtype)
-    dv = a.transpose(0, 2, 1) @ dh
-    da = dh @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    for name, grad in (("query", dq), ("key", dk), ("value", dv)):
-        g[name] = flat2(x).T @ flat2(grad)
-    dx = dh + dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T
-    one_hot = inputs.ravel()[:, None] == np.arange(CLASSES + 1)
-    g["embedding"] = one_hot.T.astype(np.float32) @ flat2(dx)
-    g["place"] = dx.sum(axis=0)
+        asked = np.flatnonzero(there)
+        which, nodes, signs = tree.ways(target_ids[:, first:].ravel().take(asked))
+        which = asked.take(which)
+        known, decides = h.take(which, axis=0), w["node"].take(nodes, axis=0)
+        z = tree.prior.take(nodes) + (known * decides) @ ones[:WIDTH]
+        z *= signs
+        if with_loss:
+            loss += np.logaddexp(0, -z).sum() / n
+        dz = signs / _exp(z, 1) * dtype.type(-1 / n)
+        dz = _spread(dz, WIDTH)
+        known *= dz
+        decides *= dz
+        g["node"] = _by_row(nodes, known, len(w["node"]))
+        _add_rows(dh, which, decides)
+
+    dv = a.transpose(0, 2, 1) @ dh.reshape(shape)
+    da = dh.reshape(shape) @ v.transpose(0, 2, 1)
+    da *= a
+    flat *= _spread(da.reshape(-1, WINDOW) @ ones, WINDOW)
+    da -= a
+    dq, dk = (da @ k).reshape(-1, WIDTH), (da.transpose(0, 2, 1) @ q).reshape(-1, WIDTH)
+    dq *= scale
+    dv = dv.reshape(-1, WIDTH)
+    g["query"], g["key"], g["value"] = asking.T @ dq, rows.T @ dk, rows.T @ dv
+    dh += dq @ w["query"].T
+    dx = dk @ w["key"].T
+    dx += dv @ w["value"].T
+    dx.reshape(x.shape)[:, first:] += dh.reshape(shape)
+    g["place"] = dx.reshape(x.shape).sum(axis=0)
+    kinds = inputs.ravel()
     if tree is not None:
-        g["piece"] = _by_row(input_ids.ravel(), flat2(dx))
+        g["piece"] = _by_row(input_ids.ravel(), dx, len(w["piece"]))
+        kind = np.empty(len(w["piece"]), np.intp)  # read only where written
+        kind[input_ids.ravel()] = kinds
+        kinds, dx = kind.take(g["piece"][0]), g["piece"][1]
+    g["embedding"] = _add_rows(np.zeros((CLASSES + 1, WIDTH), dtype), kinds, dx)
     return float(loss), g
 
 
@@ -313,9 +409,13 @@ class Trainer:
 
     def __init__(self, weights: dict[str, np.ndarray] | None = None, tree: Tree | None = None, done: int = 0):
         self.weights = {k: v.copy() for k, v in (weights or start_weights()).items()}
+        # what Adam steps is one vector, of which ``weights`` has views
+        self.small = np.concatenate([self.weights[k].ravel() for k in SHAPES])
+        edges = np.cumsum([self.weights[k].size for k in SHAPES])[:-1]
+        self.weights |= {k: part.reshape(SHAPES[k]) for k, part in zip(SHAPES, np.split(self.small, edges))}
         self.tree, self.done = tree, done
-        self.first = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-        self.second = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.first, self.second_small = np.zeros_like(self.small), np.zeros_like(self.small)
+        self.second = {k: np.zeros_like(self.weights[k]) for k in TABLES if k in self.weights}
         self.used = {k: np.zeros(len(self.weights[k]), np.float32) for k in TABLES if k in self.weights}
         self.steps = self.seen = 0
         self.waiting: list[tuple[np.ndarray, ...]] = []
@@ -336,28 +436,27 @@ class Trainer:
         windows = [np.concatenate(x) for x in zip(*self.waiting)]
         self.waiting, self.n_waiting = [tuple(x[n:] for x in windows)], self.n_waiting - n
         for at in range(0, n, BATCH):
-            _, g = gradients(self.weights, *(x[at : min(n, at + BATCH)] for x in windows), self.tree)
+            batch = [x[at : min(n, at + BATCH)] for x in windows]
+            _, g = gradients(self.weights, *batch, tree=self.tree, with_loss=False)
             self.steps += 1
             rate = 1 / (1 + (self.done + self.steps) / 400)
-            for k in SHAPES:
-                self.first[k] = 0.9 * self.first[k] + 0.1 * g[k]
-                self.second[k] = 0.99 * self.second[k] + 0.01 * g[k] ** 2
-                step = self.first[k] / (1 - 0.9**self.steps) / (np.sqrt(self.second[k] / (1 - 0.99**self.steps)) + 1e-8)
-                self.weights[k] = (self.weights[k] - RATE * rate * step).astype(np.float32)
+            grad = np.concatenate([g[k].ravel() for k in SHAPES])
+            self.first = 0.9 * self.first + 0.1 * grad
+            self.second_small = 0.99 * self.second_small + 0.01 * grad**2
+            step = self.first / (1 - 0.9**self.steps) / (np.sqrt(self.second_small / (1 - 0.99**self.steps)) + 1e-8)
+            self.small -= RATE * rate * step
             for k in TABLES:
                 if k in g:
                     rows, grad, times = g[k]
-                    self.second[k][rows] += grad**2
-                    self.weights[k][rows] -= TABLE_RATE * rate * grad / (np.sqrt(self.second[k][rows]) + 1e-8)
+                    squares = self.second[k].take(rows, axis=0) + grad * grad
+                    self.second[k][rows] = squares
+                    self.weights[k][rows] -= TABLE_RATE * rate * grad / (np.sqrt(squares) + 1e-8)
                     self.used[k][rows] += times
         self.seen += n
 
 
 class Scorer:
-    """``attend`` by tables over ids and places, without the largest-first step of a softmax: products and logits of so
-    small a model stay far below what float32 can take as an exponent, and are cut at ``LIMIT`` to be sure."""
-
-    LIMIT = 60
+    """``attend`` by tables over ids and places."""
 
     def __init__(self, w: dict[str, np.ndarray], tree: Tree | None = None):
         self.w, self.tree = w, tree
@@ -373,31 +472,41 @@ class Scorer:
         self.place = place[CONTEXT:]
         self.query, self.query_place = self.x @ w["query"] * scale, place[CONTEXT:] @ w["query"] * scale
         self.key, self.key_place = self.x @ w["key"], place @ w["key"]
-        self.value = np.hstack([self.x @ w["value"], np.ones((len(x), 1), np.float32)])  # the last sums the weights
-        self.value_place = np.hstack([place @ w["value"], np.zeros((WINDOW, 1), np.float32)])
+        self.value, self.value_place = self.x @ w["value"], place @ w["value"]
 
     def log10(self, inputs: np.ndarray, targets: np.ndarray, kinds: np.ndarray) -> np.ndarray:
         """log10 P of the scored places of each window, 0 where no target is; ``targets`` of those alone."""
-        asking = inputs[:, CONTEXT:]
-        a = (self.query.take(asking, axis=0) + self.query_place) @ (self.key.take(inputs, axis=0) + self.key_place).transpose(0, 2, 1)
-        np.clip(a, -self.LIMIT, self.LIMIT, out=a)
-        np.exp(a, out=a)
+        windows, asking = len(inputs), inputs[:, CONTEXT:]
+
+        def rows(table: np.ndarray, ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+            found = table.take(ids, axis=0)
+            found.reshape(windows, -1)[:] += place.ravel()
+            return found
+
+        key = rows(self.key, inputs, self.key_place)
+        a = rows(self.query, asking, self.query_place) @ np.ascontiguousarray(key.transpose(0, 2, 1))
+        _exp(a)
         a *= CAUSAL[CONTEXT:]
-        found = (a @ (self.value.take(inputs, axis=0) + self.value_place)).reshape(-1, WIDTH + 1)
-        h = found[:, :WIDTH] / found[:, WIDTH:] + (self.x.take(asking, axis=0) + self.place).reshape(-1, WIDTH)
+        h = (a @ rows(self.value, inputs, self.value_place)).reshape(-1, WIDTH)
+        h *= _spread(1 / (a.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)), WIDTH)
+        h += rows(self.x, asking, self.place).reshape(-1, WIDTH)
         logits = self.out @ h.T
         logits += self.bias
-        np.clip(logits, -self.LIMIT, self.LIMIT, out=logits)
         targets = targets.ravel()
-        right = logits[kinds[targets], np.arange(logits.shape[1])]
-        np.exp(logits, out=logits)
-        scores = np.where(targets >= 0, right - np.log(logits.sum(axis=0)), 0).astype(np.float64)
+        there = targets >= 0
+        asked = np.where(there, targets, len(kinds) - 1)  # the end is alone in its class: no decisions
+        right = np.clip(logits[kinds.take(asked), np.arange(len(asked))], -LIMIT, LIMIT)
+        scores = (right - np.log(_exp(logits).sum(axis=0))).astype(np.float64)
         if self.tree is not None:
-            there = np.flatnonzero(targets >= 0)
-            which, nodes, sides = self.tree.ways(targets[there])
-            z = self.tree.prior[nodes] + np.einsum("ij,ij->i", h[there].take(which, axis=0), self.w["node"].take(nodes, axis=0))
-            z *= 2 * sides - 1
-            scores[there] -= np.bincount(which, np.log1p(np.exp(np.clip(-z, -self.LIMIT, self.LIMIT))), len(there))
+            ones = np.ones(WIDTH, np.float32)
+            for at in range(0, len(asked), PLACES):
+                which, nodes, signs = self.tree.ways(asked[at : at + PLACES])
+                known = h[at : at + PLACES].take(which, axis=0)
+                known *= self.w["node"].take(nodes, axis=0)
+                z = self.tree.prior.take(nodes) + known @ ones
+                z *= -signs
+                scores[at : at + PLACES] -= np.bincount(which, np.log1p(_exp(z)), len(asked[at : at + PLACES]))
+        scores *= there
         return (scores / np.log(10)).reshape(-1, STRIDE)
 
 
@@ -468,7 +577,8 @@ def gather(documents: DataFrame, training: Column, name: str, pattern: str) -> D
             yield rows(WORD, signed(keys), n)
         yield rows(WORD, signed(np.array([END_HASH])), np.array([texts]))
         ids[subwords.end] = texts
-        yield rows(ID, np.arange(len(ids)), ids)
+        used = np.flatnonzero(ids)
+        yield rows(ID, used, ids[used])
 
     known = documents.where(training).select(F.xxhash64("doc_id").alias("row"), "text")
     return known.mapInArrow(run, GATHERED)

@@ -415,6 +415,48 @@ def test_words_encoded_together_are_those_encoded_alone():
         assert tokens.ids()[0][:-1].tolist() == want
 
 
+def least_cpu(run, *cases):
+    """The least CPU time of ``run`` over cases."""
+    import time
+
+    took = []
+    for case in cases:
+        start = time.process_time()
+        run(case)
+        took.append(time.process_time() - start)
+    return min(took)
+
+
+def test_a_training_step_costs_few_sorts_of_its_decisions():
+    s = subwords()
+    tokens = lm.Tokens(pa.array([prose(i, 3000, [f"w{k} the of" for k in range(400)]) for i in range(4)]), s)
+    tree = lm.Tree(s.kinds, np.bincount(tokens.ids()[0], minlength=s.end + 1))
+    batch = [x[: lm.BATCH] for x in tokens.training_windows()]
+    decisions = np.random.default_rng(0).integers(0, 1 << 40, len(tree.ways(batch[3][batch[1] >= 0])[0]))
+    trainer = lm.Trainer(lm.start_weights(kinds=s.kinds), tree)
+    step = least_cpu(lambda _: trainer.add(*batch), *range(30))
+    assert trainer.steps == 30 and step < 6 * least_cpu(lambda _: np.sort(decisions, kind="stable"), *range(30))
+
+
+def test_new_words_cost_little_more_than_their_encoding():
+    s = subwords()
+    texts = [" ".join(f"w{i}x{k}" for i in range(8000)) for k in range(10)]
+    tokens = least_cpu(lambda text: lm.Tokens(pa.array([text]), s), *texts)
+    assert tokens < 3 * least_cpu(lambda text: s.encode(" " + text), *texts)
+    some = lm.Tokens(pa.array([texts[3] + " new " + texts[8]]), s)  # kept, new, kept
+    assert some.ids()[0][:-1].tolist() == [i for w in (texts[3] + " new " + texts[8]).split() for i in s.encode(" " + w)]
+
+
+def test_kept_words_start_over(monkeypatch):
+    monkeypatch.setattr(lm, "KEPT_WORDS", 50)
+    s = subwords()
+    for seed in range(5):
+        text = " ".join([prose(seed, 30, [f"v{seed}{i}" for i in range(40)]), "ÀÉ 漢字 x\u00a0y \u3000", prose(seed, 20)])
+        want = [i for w in spaced_words("".join(c.lower() if c.isascii() else c for c in text)) for i in s.encode(" " + w)]
+        assert lm.Tokens(pa.array([text, None, text]), s).ids()[0].tolist() == [*want, s.end, s.end, *want, s.end]
+        assert (s.keys[1:] > s.keys[:-1]).all() and len(s.keys) < 120
+
+
 def test_training_lowers_the_cross_entropy():
     s = subwords()
     texts = pa.array([prose(i, 2000) for i in range(30)])
